@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.skew import key_spread, repeat_rows, spread_rows
+from plumbline.operators.skew import hot_keys, repeat_rows, spread_rows
 from plumbline.session import spool
 
 
@@ -26,20 +26,26 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     both = edges.select("src", "dst").union(edges.select("dst", "src"))
     both = spool(both.filter("src != dst").distinct(), "edges")
     maps = []
-    while not both.isEmpty():
+    while True:
         order = F.xxhash64(F.lit(len(maps)), F.col("dst"))
         own = F.xxhash64(F.lit(len(maps)), F.col("src"))
         best = F.min(F.struct(order.alias("o"), F.col("dst").alias("n")))
-        chosen = both.groupBy("src").agg(best.alias("b"))
+        chosen = both.groupBy("src").agg(best.alias("b"), F.count("*").alias("degree"))
         chosen = spool(
             chosen.select(
                 F.col("src").alias("node"),
                 F.when(F.col("b.o") < own, F.col("b.n")).otherwise(F.col("src")).alias("rep"),
+                "degree",
             ),
             "adopted",
         )
+        size = chosen.agg(F.sum("degree").alias("total"), F.max("degree").alias("top")).first()
+        if not size["total"]:
+            break
+        hot = hot_keys(chosen, ["node"], size["total"], size["top"], "degree")
+        chosen = chosen.drop("degree")
         maps.append(chosen)
-        both = spool(_contract(both, chosen), "edges")
+        both = spool(_contract(both, chosen, hot), "edges")
     if not maps:
         return nodes.select("node", F.col("node").alias("component"))
     final = maps.pop()
@@ -50,20 +56,17 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(final, "node", "left").select("node", F.coalesce("rep", "node").alias("component"))
 
 
-def _contract(both: DataFrame, chosen: DataFrame) -> DataFrame:
+def _contract(both: DataFrame, chosen: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Edges between the adopted nodes.
 
     A node that many others adopted can own a large share of the edges; its
-    edges are spread before they meet its one map row.
+    edges are spread before they meet its one map row. The edges are symmetric,
+    so the same spread serves both ends.
     """
-    degrees = both.groupBy("dst").agg(F.count("*").alias("n"))
-    hot = key_spread(degrees, ["dst"])
-    lookup = repeat_rows(chosen.withColumnRenamed("node", "dst"), hot, ["dst"])
-    half = spread_rows(both, hot, ["dst"], "src").join(lookup, ["dst", "_salt"])
-    half = half.select("src", F.col("rep").alias("dst")).distinct()
-    # The edge set is symmetric, so the same spread serves the other end.
-    hot_src = hot.withColumnRenamed("dst", "src")
-    lookup = repeat_rows(chosen.withColumnRenamed("node", "src"), hot_src, ["src"])
-    full = spread_rows(half, hot_src, ["src"], "dst").join(lookup, ["src", "_salt"])
-    full = full.select(F.col("rep").alias("src"), "dst").filter("src != dst")
-    return full.distinct()
+    out = both
+    for end, other in (("dst", "src"), ("src", "dst")):
+        spread = None if hot is None else hot.withColumnRenamed("node", end)
+        lookup = repeat_rows(chosen.withColumnRenamed("node", end), spread, [end])
+        out = spread_rows(out, spread, [end], other).join(lookup, [end, "_salt"])
+        out = out.select(F.col("rep").alias(end), other)
+    return out.filter("src != dst").select("src", "dst").distinct()

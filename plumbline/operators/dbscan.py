@@ -66,7 +66,7 @@ def dbscan(
     )
     pts = spool(pts, "points")
     cells = spool(pts.groupBy(*cell).agg(F.count("*").alias("n"), *_box_aggs()), "cells")
-    hot = spool(key_spread(cells, cell), "crowded")
+    hot = key_spread(cells, cell)
     pts = spread_rows(pts, hot, cell, "_id")
     full = F.col("n") >= min_points
     sized = repeat_rows(cells.select(*cell, "n"), hot, cell)
@@ -76,9 +76,8 @@ def dbscan(
     probes = pts.filter("NOT _full").select("_id", "_x", "_y", *cell)
     reach = _reach(probes, pts, hot, cell, eps, _AROUND + [(0, 0)])
     enough = reach.groupBy("_id").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_points).select("_id")
-    sparse_core = spool(enough, "core")
     core = spool(
-        pts.join(sparse_core.withColumn("_dense", F.lit(True)), "_id", "left").withColumn(
+        pts.join(enough.withColumn("_dense", F.lit(True)), "_id", "left").withColumn(
             "_core", F.col("_full") | F.coalesce("_dense", F.lit(False))
         ).drop("_dense"),
         "flagged",

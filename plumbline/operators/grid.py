@@ -110,3 +110,41 @@ def box_cells(box: str, own_zoom: str, zooms: list[int]) -> Column:
         for z in zooms
     ]
     return F.expr(f"flatten(array({', '.join(per_zoom)}))")
+
+
+def join_on_cells(
+    points: DataFrame,
+    side: DataFrame,
+    stats: IndexStats,
+    condition: str,
+    *,
+    x: str,
+    y: str,
+    on: tuple[str, ...] = (),
+    how: str = "inner",
+    id_col: str | None = None,
+    salts: int = 16,
+) -> DataFrame:
+    """Points (alias `p`) joined with cell rows (alias `b`) of the same cell where `condition` holds.
+
+    A small side is broadcast and the points never move. Otherwise the points of
+    a cell are spread over `salts` tasks and the few rows of the cell repeated,
+    so one crowded cell fills no single task.
+    """
+    keys = [*CELL, *on]
+    if stats.zooms:
+        probe = points.withColumn("_cell", F.explode(point_cells(x, y, stats.zooms)))
+    else:
+        probe = points.withColumn("_cell", F.expr("named_struct('_z', 0, '_cx', 0L, '_cy', 0L)"))
+    probe = probe.select(*points.columns, *[F.col(f"_cell.{c}").alias(c) for c in CELL])
+    if stats.small:
+        side = F.broadcast(side)
+    else:
+        spread = F.col(id_col) if id_col else F.struct(*points.columns)
+        probe = probe.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        keys = [*keys, "_salt"]
+    cond = F.expr(condition)
+    for key in keys:
+        cond = (F.col(f"p.{key}") == F.col(f"b.{key}")) & cond
+    return probe.alias("p").join(side.alias("b"), cond, how)

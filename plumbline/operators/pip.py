@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
-from plumbline.operators.grid import CELL, IndexStats, cell_index, index_stats, point_cells
+from plumbline.operators.grid import CELL, IndexStats, cell_index, index_stats, join_on_cells
 
 INDEX_COLUMNS = [*CELL, "_whole", "_edges"]
 
@@ -33,9 +33,8 @@ def point_in_polygon(
     needs `id_col`, a unique point column. `first_only` names a boundary column:
     of several containing boundaries the one with its smallest value wins.
 
-    A small index is broadcast and the points never move. A large one is joined
-    on the cell; the points of a cell are spread over `salts` tasks and the
-    cell's few index rows are repeated, so one crowded cell fills no single task.
+    A small index is broadcast; a large one is joined on the cell with the
+    points of each cell spread over `salts` tasks (`grid.join_on_cells`).
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
@@ -44,28 +43,20 @@ def point_in_polygon(
     index = boundaries if "_edges" in boundaries.columns else cell_index(boundaries, rings, splits)
     stats = stats or index_stats(index)
     attrs = [c for c in index.columns if c not in INDEX_COLUMNS and c not in on]
-    keys = [*CELL, *on]
-
-    probe = points.withColumn("_cell", F.explode(point_cells(x, y, stats.zooms))) if stats.zooms else None
-    if probe is None:
-        probe = points.withColumn("_cell", F.expr("named_struct('_z', 0, '_cx', 0L, '_cy', 0L)"))
-    probe = probe.select(*points.columns, *[F.col(f"_cell.{c}").alias(c) for c in CELL])
-    side = index.select(*index.columns)
-    if stats.small:
-        side = F.broadcast(side)
-    else:
-        spread = F.col(id_col) if id_col else F.struct(*points.columns)
-        probe = probe.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys = [*keys, "_salt"]
-
-    inside = F.expr(f"b._whole OR {g.inside_edges('b._edges', f'p.{x}', f'p.{y}')}")
-    cond = inside
-    for key in keys:
-        cond = (F.col(f"p.{key}") == F.col(f"b.{key}")) & cond
     # With one zoom a point has one probe row, so the outer join is direct.
     direct_left = how == "left" and len(stats.zooms) <= 1
-    joined = probe.alias("p").join(side.alias("b"), cond, "left" if direct_left else "inner")
+    joined = join_on_cells(
+        points,
+        index,
+        stats,
+        f"b._whole OR {g.inside_edges('b._edges', f'p.{x}', f'p.{y}')}",
+        x=x,
+        y=y,
+        on=on,
+        how="left" if direct_left else "inner",
+        id_col=id_col,
+        salts=salts,
+    )
     out = joined.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"b.{c}") for c in attrs])
 
     if first_only:
