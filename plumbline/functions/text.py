@@ -84,7 +84,7 @@ def split_address(address) -> Column:
     the rest; anything else stays raw.
     """
     address = _col(address)
-    parts = F.transform(F.split(address, ","), F.trim)
+    parts = F.transform(F.split(address, ","), lambda p: F.trim(p))
     n = F.size(parts)
     tail = F.split(F.trim(F.get(parts, F.lit(2))), r"\s+")
     null = F.lit(None).cast("string")

@@ -13,22 +13,12 @@ from plumbline.operators.pip import label_matches_space, point_in_polygon
 from plumbline.operators.proximity import nearest
 from plumbline.plans import assignment, clustering, enrichment, serving
 from plumbline.queries import bindings as b
+from plumbline.queries.registration import Registry
 from plumbline.session import new_path, spool
 from plumbline.sources import geojson
 from plumbline.streaming.placement import place_stream, write_stream
 
-QUERIES = {}
-CHECKS = {}
-
-
-def query(check: str | None = None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if check:
-            CHECKS[fn.__name__] = check
-        return fn
-
-    return register
+query = Registry()
 
 
 # --- Points in boundaries ---
