@@ -1,8 +1,8 @@
 """A grid of square cells in power-of-two sizes, the join key of spatial joins.
 
-A polygon goes into the zoom where its extent spans about `splits` cells, so
-no polygon yields more than about `(splits + 1)^2` cells whatever its size; a
-point is looked up once per zoom in use. Each cell row carries only the edges a
+A polygon goes into the zoom where its extent spans about `splits` cells, by
+default the square root of its number of edges, so the cells of a polygon grow
+with its detail and not with its size; a point is looked up once per zoom in use. Each cell row carries only the edges a
 ray cast inside that cell can meet: edges of the cell's own band of rows that
 do not lie wholly to its left. The answer equals the ray cast over all edges.
 """
@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
+from plumbline.operators.skew import key_spread, repeat_rows, spread_rows
+from plumbline.session import spool
 
 CELL = ["_z", "_cx", "_cy"]
 MIN_ZOOM, MAX_ZOOM = -40, 40
@@ -22,9 +24,9 @@ MIN_ZOOM, MAX_ZOOM = -40, 40
 BROADCAST_BYTES = 64 << 20
 
 
-def zoom(width: str, splits: int) -> str:
-    """Power of two of the cell size for an extent of `width`."""
-    level = f"CAST(ceil(log2({width} / {splits}D)) AS INT)"
+def zoom(width: str, splits: int | str) -> str:
+    """Power of two of the cell size for an extent of `width` cut into `splits`."""
+    level = f"CAST(ceil(log2({width} / CAST({splits} AS DOUBLE))) AS INT)"
     return f"least({MAX_ZOOM}, greatest({MIN_ZOOM}, coalesce({level}, {MIN_ZOOM})))"
 
 
@@ -32,7 +34,17 @@ def cell_size(z: str) -> str:
     return f"pow(2D, {z})"
 
 
-def cell_index(boundaries: DataFrame, rings: str = "rings", splits: int = 8) -> DataFrame:
+def _zoomed(boundaries: DataFrame, rings: str, splits: int | None, keep: list[str]) -> DataFrame:
+    """Boundaries with a shape, their extent, edges and zoom."""
+    fitting = splits or "least(16, greatest(2, ceil(sqrt(size(_all)))))"
+    return (
+        boundaries.filter(F.size(rings) > 0)
+        .select(*keep, F.expr(g.extent(rings)).alias("_box"), F.expr(g.edges(rings)).alias("_all"))
+        .withColumn("_z", F.expr(zoom("greatest(_box.maxx - _box.minx, _box.maxy - _box.miny)", fitting)))
+    )
+
+
+def cell_index(boundaries: DataFrame, rings: str = "rings", splits: int | None = None) -> DataFrame:
     """Cell rows of the boundaries: their other columns plus `_z, _cx, _cy, _whole, _edges`.
 
     `_whole` marks a cell that lies wholly inside; cells wholly outside are left out.
@@ -40,9 +52,7 @@ def cell_index(boundaries: DataFrame, rings: str = "rings", splits: int = 8) ->
     keep = [c for c in boundaries.columns if c != rings]
     size = cell_size("_z")
     banded = (
-        boundaries.filter(F.size(rings) > 0)
-        .select(*keep, F.expr(g.extent(rings)).alias("_box"), F.expr(g.edges(rings)).alias("_all"))
-        .withColumn("_z", F.expr(zoom("greatest(_box.maxx - _box.minx, _box.maxy - _box.miny)", splits)))
+        _zoomed(boundaries, rings, splits, keep)
         .withColumn("_cy", F.explode(F.expr(f"sequence(floor(_box.miny / {size}), floor(_box.maxy / {size}))")))
         .withColumn(
             "_band",
@@ -75,13 +85,37 @@ class IndexStats:
     small: bool
 
 
-def index_stats(index: DataFrame, limit: int = BROADCAST_BYTES) -> IndexStats:
+def index_stats(index: DataFrame, limit: int | None = None) -> IndexStats:
     """Zooms in use and whether the index is small enough to broadcast: one aggregate job."""
     row = index.agg(
         F.collect_set("_z").alias("z"),
         F.sum(F.size("_edges") * 48 + 400).alias("bytes"),
     ).first()
-    return IndexStats(sorted(row["z"]), (row["bytes"] or 0) <= limit)
+    return IndexStats(sorted(row["z"]), (row["bytes"] or 0) <= (BROADCAST_BYTES if limit is None else limit))
+
+
+def prepared_index(
+    boundaries: DataFrame, rings: str = "rings", splits: int | None = None
+) -> tuple[DataFrame, IndexStats]:
+    """The cell index of the boundaries and its measures.
+
+    A bound on the index size comes from extents and edge counts alone. Where it
+    does not settle that the index is small, the index is written once and measured.
+    """
+    if "_edges" in boundaries.columns:
+        return boundaries, index_stats(boundaries)
+    size = cell_size("_z")
+    nx = f"(floor(_box.maxx / {size}) - floor(_box.minx / {size}) + 1)"
+    ny = f"(floor(_box.maxy / {size}) - floor(_box.miny / {size}) + 1)"
+    rows_met = f"aggregate(_all, 0D, (pi_s, pi_e) -> pi_s + abs(pi_e.y2 - pi_e.y1) / {size} + 3)"
+    row = _zoomed(boundaries, rings, splits, []).agg(
+        F.collect_set("_z").alias("z"), F.expr(f"sum({nx} * ({ny} * 400 + 48 * {rows_met}))").alias("bound")
+    ).first()
+    index = cell_index(boundaries, rings, splits)
+    if (row["bound"] or 0) <= BROADCAST_BYTES:
+        return index, IndexStats(sorted(row["z"]), True)
+    index = spool(index, "index")
+    return index, index_stats(index)
 
 
 def point_cells(x: str, y: str, zooms: list[int]) -> Column:
@@ -123,13 +157,12 @@ def join_on_cells(
     on: tuple[str, ...] = (),
     how: str = "inner",
     id_col: str | None = None,
-    salts: int = 16,
 ) -> DataFrame:
     """Points (alias `p`) joined with cell rows (alias `b`) of the same cell where `condition` holds.
 
-    A small side is broadcast and the points never move. Otherwise the points of
-    a cell are spread over `salts` tasks and the few rows of the cell repeated,
-    so one crowded cell fills no single task.
+    A small side is broadcast and the points never move. Otherwise the points per
+    cell are counted; those of a crowded cell are spread over several tasks and
+    the cell's few rows repeated, so one cell fills no single task.
     """
     keys = [*CELL, *on]
     if stats.zooms:
@@ -140,9 +173,9 @@ def join_on_cells(
     if stats.small:
         side = F.broadcast(side)
     else:
-        spread = F.col(id_col) if id_col else F.struct(*points.columns)
-        probe = probe.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        hot = None if points.isStreaming else key_spread(probe.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+        probe = spread_rows(probe, hot, keys, F.col(id_col) if id_col else F.struct(*points.columns))
+        side = repeat_rows(side, hot, keys)
         keys = [*keys, "_salt"]
     cond = F.expr(condition)
     for key in keys:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
 from plumbline.functions import measures as m
-from plumbline.operators.grid import CELL, box_cells, cell_index, index_stats, zoom
+from plumbline.operators.grid import CELL, box_cells, prepared_index, zoom
 
 # Relative width of the strip around an edge that counts as lying on it.
 _TOLERANCE = 1e-9
@@ -89,8 +89,8 @@ def _kept(shared_counts: bool) -> str:
     return f"CASE WHEN _whole THEN array(_t) ELSE filter({cuts}, ks -> {keep}) END"
 
 
-def _inside_stretches(shapes, key, index, other_key, rings, on, shared_counts) -> DataFrame:
-    stats = index_stats(index)
+def _inside_stretches(shapes, key, others, other_key, rings, on, shared_counts, splits) -> DataFrame:
+    index, stats = prepared_index(others, rings, splits)
     pieces = _pieces(shapes, [key, *on], rings, stats.zooms or [0])
     side = F.broadcast(index) if stats.small else index
     joined = pieces.join(side, [*CELL, *on])
@@ -100,8 +100,8 @@ def _inside_stretches(shapes, key, index, other_key, rings, on, shared_counts) -
 def _stretches(a, b, a_key, b_key, rings, on, splits) -> DataFrame:
     a = a.select(a_key, rings, *on)
     b = b.select(b_key, rings, *on)
-    of_a = _inside_stretches(a, a_key, cell_index(b, rings, splits), b_key, rings, on, True)
-    of_b = _inside_stretches(b, b_key, cell_index(a, rings, splits), a_key, rings, on, False)
+    of_a = _inside_stretches(a, a_key, b, b_key, rings, on, True, splits)
+    of_b = _inside_stretches(b, b_key, a, a_key, rings, on, False, splits)
     return of_a.unionByName(of_b).filter(F.size("_in") > 0)
 
 
@@ -113,7 +113,7 @@ def overlap_areas(
     b_key: str,
     rings: str = "rings",
     on: tuple[str, ...] = (),
-    splits: int = 8,
+    splits: int | None = None,
 ) -> DataFrame:
     """`(a_key, b_key, on..., overlap_area)` of every overlapping pair."""
     share = "aggregate(_in, 0D, (oa_s, oa_t) -> oa_s + oa_t.t1 - oa_t.t0)"
@@ -124,7 +124,7 @@ def overlap_areas(
 
 
 def overlap_geometry(
-    a: DataFrame, b: DataFrame, *, a_key: str, b_key: str, rings: str = "rings", on: tuple[str, ...] = (), splits: int = 8
+    a: DataFrame, b: DataFrame, *, a_key: str, b_key: str, rings: str = "rings", on: tuple[str, ...] = (), splits: int | None = None
 ) -> DataFrame:
     """`(a_key, b_key, on..., rings)`: the common part of each pair.
 
@@ -178,7 +178,7 @@ def intersection_table(
     year: str = "vintage_year",
     state_fips: str | None = None,
     min_overlap: float = 1.0,
-    splits: int = 8,
+    splits: int | None = None,
 ) -> DataFrame:
     """County or VTD against congressional district overlaps with percents and classes.
 
@@ -223,7 +223,7 @@ def intersection_table(
 
 
 def intersecting_pairs(
-    a: DataFrame, b: DataFrame, *, a_key: str, b_key: str, rings: str = "rings", splits: int = 8
+    a: DataFrame, b: DataFrame, *, a_key: str, b_key: str, rings: str = "rings", splits: int = 4
 ) -> DataFrame:
     """`(a_key, b_key)` of every pair that shares a place, touching included.
 

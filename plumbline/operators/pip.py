@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
-from plumbline.operators.grid import CELL, IndexStats, cell_index, index_stats, join_on_cells
+from plumbline.operators.grid import CELL, join_on_cells, prepared_index
 
 INDEX_COLUMNS = [*CELL, "_whole", "_edges"]
 
@@ -22,9 +22,7 @@ def point_in_polygon(
     how: str = "inner",
     id_col: str | None = None,
     first_only: str | None = None,
-    splits: int = 8,
-    salts: int = 16,
-    stats: IndexStats | None = None,
+    splits: int | None = None,
 ) -> DataFrame:
     """Points joined with every boundary that contains them.
 
@@ -33,15 +31,14 @@ def point_in_polygon(
     needs `id_col`, a unique point column. `first_only` names a boundary column:
     of several containing boundaries the one with its smallest value wins.
 
-    A small index is broadcast; a large one is joined on the cell with the
-    points of each cell spread over `salts` tasks (`grid.join_on_cells`).
+    A small index is broadcast; a large one is joined on the cell, with the
+    points of crowded cells spread over several tasks (`grid.join_on_cells`).
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     if (how == "left" or first_only) and not id_col:
         raise ValueError("left joins and first_only need id_col")
-    index = boundaries if "_edges" in boundaries.columns else cell_index(boundaries, rings, splits)
-    stats = stats or index_stats(index)
+    index, stats = prepared_index(boundaries, rings, splits)
     attrs = [c for c in index.columns if c not in INDEX_COLUMNS and c not in on]
     # With one zoom a point has one probe row, so the outer join is direct.
     direct_left = how == "left" and len(stats.zooms) <= 1
@@ -55,7 +52,6 @@ def point_in_polygon(
         on=on,
         how="left" if direct_left else "inner",
         id_col=id_col,
-        salts=salts,
     )
     out = joined.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"b.{c}") for c in attrs])
 

@@ -49,7 +49,7 @@ def top_states(addresses: DataFrame, n: int = 10) -> DataFrame:
 
 def level_geoids(
     points: DataFrame, boundaries: DataFrame, *, id_col: str = "id", x: str = "x", y: str = "y", on: tuple[str, ...] = (),
-    levels: dict[str, str] | None = None, splits: int = 8,
+    levels: dict[str, str] | None = None, splits: int | None = None,
 ) -> DataFrame:
     """`(id, state_geoid, county_geoid, ...)`: one row per point that lies in any boundary.
 

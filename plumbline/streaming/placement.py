@@ -14,7 +14,7 @@ from plumbline.operators.pip import point_in_polygon
 from plumbline.session import spool
 
 
-def place_stream(points: DataFrame, boundaries: DataFrame, *, x: str = "x", y: str = "y", splits: int = 8) -> DataFrame:
+def place_stream(points: DataFrame, boundaries: DataFrame, *, x: str = "x", y: str = "y", splits: int | None = None) -> DataFrame:
     """The stream's points with the boundaries that contain them (inner)."""
     index = spool(cell_index(boundaries, splits=splits), "index")
     return point_in_polygon(points, index, x=x, y=y)

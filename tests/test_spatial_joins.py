@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shapes import as_rings, box, inside, segment_distance, star
 
 from plumbline.functions import geometry as g
-from plumbline.operators import grid
+from plumbline.operators import grid, skew
 from plumbline.operators.pip import label_matches_space, point_in_polygon
 from plumbline.operators.proximity import nearest, within_distance
 
@@ -38,13 +38,15 @@ def test_same_as_ray_cast(world):
     assert {(r.id, r.geoid) for r in got} == want(shapes, pts)
 
 
-def test_large_index_takes_the_salted_join(world, monkeypatch):
+def test_large_index_takes_the_spread_join(world, monkeypatch):
     polys, points, shapes, pts = world
     monkeypatch.setattr(grid, "BROADCAST_BYTES", 0)
-    index = grid.cell_index(polys)
-    stats = grid.index_stats(index, 0)
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    index, stats = grid.prepared_index(polys)
     assert not stats.small
-    got = point_in_polygon(points, index, id_col="id", stats=stats, salts=4).select("id", "geoid").collect()
+    probe = points.selectExpr("x", "y").withColumn("_c", F.explode(grid.point_cells("x", "y", stats.zooms))).select("_c.*")
+    assert skew.key_spread(probe.groupBy(grid.CELL).agg(F.count("*").alias("n")), grid.CELL).count() > 0
+    got = point_in_polygon(points, index, id_col="id").select("id", "geoid").collect()
     assert len(got) == len(set(got))
     assert {(r.id, r.geoid) for r in got} == want(shapes, pts)
 
