@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.skew import hot_keys, repeat_rows, spread_rows
+from plumbline.operators.skew import HOT_ROWS, hot_keys, repeat_rows, spread_rows
 from plumbline.session import spool
 
 
@@ -26,23 +26,20 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     both = edges.select("src", "dst").union(edges.select("dst", "src"))
     both = spool(both.filter("src != dst").distinct(), "edges")
     maps = []
-    while True:
+    while total := both.count():
         order = F.xxhash64(F.lit(len(maps)), F.col("dst"))
         own = F.xxhash64(F.lit(len(maps)), F.col("src"))
         best = F.min(F.struct(order.alias("o"), F.col("dst").alias("n")))
         chosen = both.groupBy("src").agg(best.alias("b"), F.count("*").alias("degree"))
-        chosen = spool(
-            chosen.select(
-                F.col("src").alias("node"),
-                F.when(F.col("b.o") < own, F.col("b.n")).otherwise(F.col("src")).alias("rep"),
-                "degree",
-            ),
-            "adopted",
+        chosen = chosen.select(
+            F.col("src").alias("node"),
+            F.when(F.col("b.o") < own, F.col("b.n")).otherwise(F.col("src")).alias("rep"),
+            "degree",
         )
-        size = chosen.agg(F.sum("degree").alias("total"), F.max("degree").alias("top")).first()
-        if not size["total"]:
-            break
-        hot = hot_keys(chosen, ["node"], size["total"], size["top"], "degree")
+        hot = None
+        if total > HOT_ROWS:
+            chosen = spool(chosen, "adopted")
+            hot = hot_keys(chosen, ["node"], total, chosen.agg(F.max("degree")).first()[0], "degree")
         chosen = chosen.drop("degree")
         maps.append(chosen)
         both = spool(_contract(both, chosen, hot), "edges")

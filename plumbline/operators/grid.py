@@ -36,7 +36,7 @@ def cell_size(z: str) -> str:
 
 def _zoomed(boundaries: DataFrame, rings: str, splits: int | None, keep: list[str]) -> DataFrame:
     """Boundaries with a shape, their extent, edges and zoom."""
-    fitting = splits or "least(16, greatest(2, ceil(sqrt(size(_all)))))"
+    fitting = splits or "least(16, greatest(3, ceil(sqrt(size(_all)))))"
     return (
         boundaries.filter(F.size(rings) > 0)
         .select(*keep, F.expr(g.extent(rings)).alias("_box"), F.expr(g.edges(rings)).alias("_all"))
@@ -53,6 +53,8 @@ def cell_index(boundaries: DataFrame, rings: str = "rings", splits: int | None =
     size = cell_size("_z")
     banded = (
         _zoomed(boundaries, rings, splits, keep)
+        # Shapes differ a lot in the work they make, so they are dealt out before it starts.
+        .repartition("_box")
         .withColumn("_cy", F.explode(F.expr(f"sequence(floor(_box.miny / {size}), floor(_box.maxy / {size}))")))
         .withColumn(
             "_band",

@@ -56,6 +56,8 @@ def _pieces(shapes: DataFrame, keep: list[str], rings: str, zooms: list[int]) ->
         .withColumn("_cx", F.expr(f"floor((_e.x1 + {middle} * (_e.x2 - _e.x1)) / {size})"))
         .withColumn("_cy", F.expr(f"floor((_e.y1 + {middle} * (_e.y2 - _e.y1)) / {size})"))
         .drop("_cuts")
+        # The pieces of one detailed shape leave the task that cut it.
+        .repartition(*keep, *CELL)
     )
 
 
@@ -63,14 +65,23 @@ def _kept(shared_counts: bool) -> str:
     """Stretches `(t0, t1)` of edge `_e` within `_t` that lie inside the other polygon.
 
     A stretch that runs along an edge of the other polygon counts when both run
-    the same way and `shared_counts`, so that it is taken once.
+    the same way and `shared_counts`, so that it is taken once. Only edges near
+    the piece can cut it or run along it; mostly there are none.
     """
     fx, fy = "(kf.x2 - kf.x1)", "(kf.y2 - kf.y1)"
     dx, dy = "(_e.x2 - _e.x1)", "(_e.y2 - _e.y1)"
+    width = f"({_TOLERANCE} * greatest(1D, abs({dx}), abs({dy}), abs(_e.x1), abs(_e.y1)))"
+
+    def apart(v, d):
+        a, b = f"_e.{v}1 + _t.t0 * {d}", f"_e.{v}1 + _t.t1 * {d}"
+        lo, hi = f"least({a}, {b}) - {width}", f"greatest({a}, {b}) + {width}"
+        return f"greatest(kf.{v}1, kf.{v}2) < {lo} OR least(kf.{v}1, kf.{v}2) > {hi}"
+
+    near = f"filter(_edges, kf -> NOT ({apart('x', dx)} OR {apart('y', dy)}))"
     den = f"nullif({dx} * {fy} - {dy} * {fx}, 0D)"
     t = f"((kf.x1 - _e.x1) * {fy} - (kf.y1 - _e.y1) * {fx}) / {den}"
     u = f"((kf.x1 - _e.x1) * {dy} - (kf.y1 - _e.y1) * {dx}) / {den}"
-    crossings = f"transform(filter(_edges, kf -> {u} BETWEEN -{_TOLERANCE} AND 1 + {_TOLERANCE}), kf -> {t})"
+    crossings = f"transform(filter(kn, kf -> {u} BETWEEN -{_TOLERANCE} AND 1 + {_TOLERANCE}), kf -> {t})"
     cuts = (
         f"transform(array(array_sort(concat(array(_t.t0, _t.t1), "
         f"filter({crossings}, kt -> kt > _t.t0 AND kt < _t.t1)))), kc -> "
@@ -78,15 +89,18 @@ def _kept(shared_counts: bool) -> str:
         "ks -> ks.t1 > ks.t0))[0]"
     )
     px, py = f"(_e.x1 + (ks.t0 + ks.t1) / 2 * {dx})", f"(_e.y1 + (ks.t0 + ks.t1) / 2 * {dy})"
-    width = f"({_TOLERANCE} * greatest(1D, abs({dx}), abs({dy}), abs(_e.x1), abs(_e.y1)))"
-    same_line = f"{g.segment_distance('kf', px, py)} <= {width} AND abs({dx} * {fy} - {dy} * {fx}) <= " \
-        f"1e-6 * sqrt(({dx} * {dx} + {dy} * {dy}) * ({fx} * {fx} + {fy} * {fy}))"
-    same_way = f"exists(_edges, kf -> {same_line} AND {dx} * {fx} + {dy} * {fy} > 0)"
-    on_line = f"exists(_edges, kf -> {same_line})"
+    same_line = (
+        f"abs({dx} * {fy} - {dy} * {fx}) <= 1e-6 * sqrt(({dx} * {dx} + {dy} * {dy}) * ({fx} * {fx} + {fy} * {fy})) "
+        f"AND {g.segment_distance('kf', px, py)} <= {width}"
+    )
+    same_way = f"exists(kn, kf -> {dx} * {fx} + {dy} * {fy} > 0 AND {same_line})"
+    on_line = f"exists(kn, kf -> {same_line})"
     inside = g.inside_edges("_edges", px, py)
     shared = same_way if shared_counts else "false"
     keep = f"CASE WHEN {on_line} THEN {shared} ELSE {inside} END"
-    return f"CASE WHEN _whole THEN array(_t) ELSE filter({cuts}, ks -> {keep}) END"
+    whole_piece = f"CASE WHEN {g.inside_edges('_edges', px.replace('ks.', '_t.'), py.replace('ks.', '_t.'))} THEN array(_t) ELSE slice(array(_t), 1, 0) END"
+    per_near = f"CASE WHEN size(kn) = 0 THEN {whole_piece} ELSE filter({cuts}, ks -> {keep}) END"
+    return f"CASE WHEN _whole THEN array(_t) ELSE transform(array({near}), kn -> {per_near})[0] END"
 
 
 def _inside_stretches(shapes, key, others, other_key, rings, on, shared_counts, splits) -> DataFrame:
@@ -102,7 +116,7 @@ def _stretches(a, b, a_key, b_key, rings, on, splits) -> DataFrame:
     b = b.select(b_key, rings, *on)
     of_a = _inside_stretches(a, a_key, b, b_key, rings, on, True, splits)
     of_b = _inside_stretches(b, b_key, a, a_key, rings, on, False, splits)
-    return of_a.unionByName(of_b).filter(F.size("_in") > 0)
+    return of_a.unionByName(of_b)
 
 
 def overlap_areas(
