@@ -50,11 +50,14 @@ def cell_index(boundaries: DataFrame, rings: str = "rings", splits: int | None =
     `_whole` marks a cell that lies wholly inside; cells wholly outside are left out.
     """
     keep = [c for c in boundaries.columns if c != rings]
+    return _cells(_zoomed(boundaries, rings, splits, keep), keep)
+
+
+def _cells(zoomed: DataFrame, keep: list[str]) -> DataFrame:
     size = cell_size("_z")
     banded = (
-        _zoomed(boundaries, rings, splits, keep)
         # Shapes differ a lot in the work they make, so they are dealt out before it starts.
-        .repartition("_box")
+        zoomed.repartition("_box")
         .withColumn("_cy", F.explode(F.expr(f"sequence(floor(_box.miny / {size}), floor(_box.maxy / {size}))")))
         .withColumn(
             "_band",
@@ -101,8 +104,9 @@ def prepared_index(
 ) -> tuple[DataFrame, IndexStats]:
     """The cell index of the boundaries and its measures.
 
-    A bound on the index size comes from extents and edge counts alone. Where it
-    does not settle that the index is small, the index is written once and measured.
+    Extents and edge lists are written once. A bound on the index size comes from
+    them; where it does not settle that the index is small, the index is written
+    too and measured.
     """
     if "_edges" in boundaries.columns:
         return boundaries, index_stats(boundaries)
@@ -110,10 +114,12 @@ def prepared_index(
     nx = f"(floor(_box.maxx / {size}) - floor(_box.minx / {size}) + 1)"
     ny = f"(floor(_box.maxy / {size}) - floor(_box.miny / {size}) + 1)"
     rows_met = f"aggregate(_all, 0D, (pi_s, pi_e) -> pi_s + abs(pi_e.y2 - pi_e.y1) / {size} + 3)"
-    row = _zoomed(boundaries, rings, splits, []).agg(
+    keep = [c for c in boundaries.columns if c != rings]
+    zoomed = spool(_zoomed(boundaries, rings, splits, keep), "shapes")
+    row = zoomed.agg(
         F.collect_set("_z").alias("z"), F.expr(f"sum({nx} * ({ny} * 400 + 48 * {rows_met}))").alias("bound")
     ).first()
-    index = cell_index(boundaries, rings, splits)
+    index = _cells(zoomed, keep)
     if (row["bound"] or 0) <= BROADCAST_BYTES:
         return index, IndexStats(sorted(row["z"]), True)
     index = spool(index, "index")
