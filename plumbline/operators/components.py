@@ -1,11 +1,12 @@
 """Connected components by randomised contraction.
 
 Each round every node adopts the neighbour (or itself) that comes first in a
-fresh pseudo-random order, and the edges are rewritten to the adopted nodes.
-A constant share of the nodes goes in each round in expectation, so rounds grow with the
-logarithm of the graph and not with its diameter (Boegeholz, Brand, Todor:
-"In-database connected component analysis", 2020). The adoption maps are then
-composed from the last to the first; their sizes shrink geometrically.
+fresh pseudo-random order, then what that one adopted, and the edges are
+rewritten to the adopted nodes. A constant share of the nodes goes in each round
+in expectation, so rounds grow with the logarithm of the graph and not with its
+diameter (Boegeholz, Brand, Todor: "In-database connected component analysis",
+2020). The adoption maps are then composed from the last to the first; their
+sizes shrink geometrically.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         if total > HOT_ROWS:
             chosen = spool(chosen, "adopted")
             hot = hot_keys(chosen, ["node"], total, chosen.agg(F.max("degree")).first()[0], "degree")
-        chosen = chosen.drop("degree")
+        chosen = _adopt_twice(chosen.drop("degree"), hot)
         maps.append(chosen)
         both = spool(_contract(both, chosen, hot), "edges")
     if not maps:
@@ -53,6 +54,14 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(final, "node", "left").select("node", F.coalesce("rep", "node").alias("component"))
 
 
+def _adopt_twice(chosen: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Each node with the node adopted by the one it adopted: two rounds' progress in one."""
+    spread = None if hot is None else hot.withColumnRenamed("node", "rep")
+    second = chosen.select(F.col("node").alias("rep"), F.col("rep").alias("_next"))
+    pairs = spread_rows(chosen, spread, ["rep"], "node").join(repeat_rows(second, spread, ["rep"]), ["rep", "_salt"])
+    return pairs.select("node", F.col("_next").alias("rep"))
+
+
 def _contract(both: DataFrame, chosen: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Edges between the adopted nodes.
 
