@@ -132,8 +132,11 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     if table not in SCHEMAS:
         return spark.read.option("mergeSchema", "true").parquet(table)
     path = table_path(root, table)
-    df = spark.read.option("mergeSchema", "true").schema(table_schema(table)).parquet(path)
-    return df
+    declared = table_schema(table)
+    # Columns written later than the declaration follow; declared types keep codes like '01' whole.
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    extra = [f for f in found if f.name not in declared.names]
+    return spark.read.schema(T.StructType([*declared, *extra])).parquet(path).select(*declared.names, *[f.name for f in extra])
 
 
 def address_queue(addresses: DataFrame, boundaries: DataFrame, vintage_year: int) -> tuple[DataFrame, DataFrame]:
