@@ -394,16 +394,21 @@ def voter_cluster_sizes(spark, sf):
     return clustering.cluster_sizes(voters, "cluster_id_within_cd").withColumnRenamed("cluster_id_within_cd", "label")
 
 
-_HULL = """, e AS (SELECT a.k, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM pts a JOIN pts b ON a.k = b.k AND (a.x <> b.x OR a.y <> b.y)
-    WHERE NOT EXISTS (SELECT 1 FROM pts c WHERE c.k = a.k AND (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) < 0))
-    SELECT k, round(sum(x1 * y2 - x2 * y1) / 2, 4) AS area FROM e GROUP BY k"""
+# Whole-number positions, so that points on one line are on one line exactly.
+_HULL_POINTS = f"SELECT c_nationkey AS k, {b._d('c_custkey * 7919 % 36000')} AS x, {b._d('c_custkey * 104729 % 18000')} AS y FROM {{customer}}"
 
 
-@query(f"WITH pts AS (SELECT DISTINCT c_nationkey AS k, {b.ADDRESS_X} AS x, {b.ADDRESS_Y} AS y FROM customer)" + _HULL)
+@query(
+    f"""WITH pts AS (SELECT DISTINCT * FROM ({_HULL_POINTS.format(customer='customer')})),
+    e AS (SELECT a.k, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM pts a JOIN pts b ON a.k = b.k AND (a.x <> b.x OR a.y <> b.y)
+    WHERE NOT EXISTS (SELECT 1 FROM pts c WHERE c.k = a.k AND ((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) < 0
+      OR ((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) = 0 AND (c.x - a.x) * (c.x - b.x) + (c.y - a.y) * (c.y - b.y) > 0))))
+    SELECT k, round(sum(x1 * y2 - x2 * y1) / 2, 4) AS area, count(*) AS vertices FROM e GROUP BY k"""
+)
 def convex_hull_areas(spark, sf):
-    """Hull of each nation's addresses, by its area."""
-    hulls = convex_hulls(b.addresses(spark, sf).withColumnRenamed("c_nationkey", "k"), ["k"])
-    return hulls.select("k", F.expr(f"round({g.area('rings')}, 4)").alias("area"))
+    """Hull of each nation's addresses, by its area and number of corners."""
+    hulls = convex_hulls(b.sql(spark, sf, _HULL_POINTS, "customer"), ["k"])
+    return hulls.select("k", F.expr(f"round({g.area('rings')}, 4)").alias("area"), (F.size(F.col("rings")[0]) - 1).cast("bigint").alias("vertices"))
 
 
 @query(f"SELECT c_mktsegment AS label, CAST(row_number() OVER (ORDER BY c_mktsegment) AS BIGINT) AS gid FROM customer WHERE c_mktsegment <> '-1' GROUP BY 1")
