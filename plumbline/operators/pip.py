@@ -11,6 +11,11 @@ from plumbline.operators.grid import CELL, join_on_cells, prepared_index
 INDEX_COLUMNS = [*CELL, "_whole", "_edges"]
 
 
+def shape_columns(boundaries: DataFrame) -> list[str]:
+    """The columns that carry the shape: `rings`, or those of a `cell_index`."""
+    return INDEX_COLUMNS if "_edges" in boundaries.columns else ["rings"]
+
+
 def point_in_polygon(
     points: DataFrame,
     boundaries: DataFrame,

@@ -9,6 +9,9 @@ from plumbline.operators.history import latest_per_key
 from plumbline.session import spool
 from plumbline.sources.lake import exists, replace_table
 
+# Partitions named one by one in a filter; beyond that a join selects them.
+_MAX_LISTED_PARTITIONS = 500
+
 
 def _same_keys(keys: list[str]):
     cond = F.lit(True)
@@ -51,8 +54,7 @@ def upsert_table(
     target = spark.read.parquet(path)
     parts = [c for c in partition_by or [] if c in keys]
     if parts and parts == list(partition_by or []):
-        touched = source.select(*parts).distinct()
-        target = target.alias("a").join(touched.alias("b"), _same_keys(parts), "left_semi")
+        target = _touched_partitions(target, source.select(*parts).distinct(), parts)
         # The merged rows leave the old files before those are overwritten.
         merged = spool(merge_upsert(target, source, keys), "merge")
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
@@ -61,6 +63,20 @@ def upsert_table(
     return spark.read.parquet(path)
 
 
+def _touched_partitions(target: DataFrame, touched: DataFrame, parts: list[str]) -> DataFrame:
+    """Target rows in the given partitions; a moderate number of them becomes a filter that prunes folders."""
+    values = touched.take(_MAX_LISTED_PARTITIONS + 1)
+    if len(values) > _MAX_LISTED_PARTITIONS:
+        return target.alias("a").join(touched.alias("b"), _same_keys(parts), "left_semi")
+    wanted = F.lit(False)
+    for row in values:
+        same = F.lit(True)
+        for p in parts:
+            same = same & (F.col(p).isNull() if row[p] is None else F.col(p) == F.lit(row[p]))
+        wanted = wanted | same
+    return target.filter(wanted)
+
+
 def update_rows(df: DataFrame, condition, assignments: dict) -> DataFrame:
     """New values for the rows where `condition` holds; a null condition leaves a row alone."""
     condition = F.expr(condition) if isinstance(condition, str) else condition

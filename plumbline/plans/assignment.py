@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.pip import point_in_polygon
+from plumbline.operators.pip import point_in_polygon, shape_columns
 from plumbline.operators.temporal import plan_on_date, plan_windows
 
 # Boundary levels and the address column each one fills.
@@ -56,7 +56,7 @@ def level_geoids(
     One join serves all levels; several containing boundaries of a level give the smallest geoid.
     """
     levels = levels or LEVEL_COLUMNS
-    shapes = boundaries.filter(F.col("summary_level").isin(list(levels))).select("geoid", "summary_level", *on, "rings")
+    shapes = boundaries.filter(F.col("summary_level").isin(list(levels))).select("geoid", "summary_level", *on, *shape_columns(boundaries))
     hits = point_in_polygon(points.select(id_col, x, y, *on), shapes, x=x, y=y, on=on, id_col=id_col, splits=splits)
     return hits.groupBy(id_col).agg(
         *[F.min(F.when(F.col("summary_level") == k, F.col("geoid"))).alias(c) for k, c in levels.items()]

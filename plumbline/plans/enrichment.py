@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import measures as m
 from plumbline.operators.history import best_by_weight
-from plumbline.operators.pip import point_in_polygon
+from plumbline.operators.pip import point_in_polygon, shape_columns
 
 # Variable codes and the address fields they fill.
 KEY_VARIABLES = {
@@ -37,7 +37,7 @@ def add_boundary_names(
     points = addresses.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     hits = point_in_polygon(
         points.select(id_col, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")),
-        shapes.select("geoid", "name", "summary_level", "rings"),
+        shapes.select("geoid", "name", "summary_level", *shape_columns(shapes)),
         id_col=id_col,
     )
     out = addresses.drop(*[f"{lv}_{c}" for lv in levels for c in ("geoid", "name")])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.history import latest_per_key
-from plumbline.operators.pip import point_in_polygon
+from plumbline.operators.pip import point_in_polygon, shape_columns
 
 # Boundary types, and those looked up when none are named.
 BOUNDARY_TYPES = [
@@ -112,7 +112,7 @@ def boundaries_of_points(
             (F.col("effective_from").isNull() | (F.col("effective_from") <= d))
             & (F.col("effective_to").isNull() | (F.col("effective_to") >= d))
         )
-    shapes = shapes.select("boundary_type", "geoid", "name", "vintage_year", "rings")
+    shapes = shapes.select("boundary_type", "geoid", "name", "vintage_year", *shape_columns(shapes))
     hits = point_in_polygon(points.select(id_col, "x", "y"), shapes, id_col=id_col)
     best = F.min(F.struct("geoid", "vintage_year", "name")).alias("_b")
     return hits.groupBy(id_col, "boundary_type").agg(best).select(id_col, "boundary_type", "_b.geoid", "_b.name", "_b.vintage_year")

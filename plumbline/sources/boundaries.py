@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
+from plumbline.operators.grid import cell_index
 from plumbline.sources.lake import replace_table
 
 PARTITIONS = ["boundary_type", "state_fips"]
@@ -43,3 +44,18 @@ def read_boundaries(spark: SparkSession, path: str, **selection) -> DataFrame:
     # Partition values come back as numbers when they look like numbers.
     df = df.withColumn("state_fips", F.lpad(F.col("state_fips").cast("string"), 2, "0"))
     return select_boundaries(df, **selection)
+
+
+def write_cell_index(boundaries: DataFrame, path: str, partition_by: tuple[str, ...] = ("summary_level", "vintage_year")) -> None:
+    """Store the grid index of boundaries with `rings`, built once per vintage.
+
+    Every job that takes boundaries with `rings` takes the stored index in their place.
+    """
+    replace_table(cell_index(boundaries), path, list(partition_by))
+
+
+def read_cell_index(spark: SparkSession, path: str, vintage_year: int | None = None, levels: list[str] | None = None) -> DataFrame:
+    df = spark.read.parquet(path)
+    if vintage_year:
+        df = df.filter(F.col("vintage_year") == vintage_year)
+    return df.filter(F.col("summary_level").isin(levels)) if levels else df

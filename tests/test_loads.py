@@ -215,6 +215,18 @@ def test_gates(spark, shapes):
     assert periods.count() == 3
 
 
+def test_stored_index_serves_as_boundaries(spark, shapes, tmp_path):
+    from plumbline.sources.boundaries import read_cell_index, write_cell_index
+
+    points = spark.range(60).selectExpr("id", "id / 5.0D AS x", "id % 11 + 0.5D AS y")
+    write_cell_index(shapes, str(tmp_path / "index"))
+    index = read_cell_index(spark, str(tmp_path / "index"), 2020)
+    columns = ["id", *assignment.LEVEL_COLUMNS.values()]
+    a = assignment.assign_boundaries(points, index, vintage_year=2020).select(*columns).collect()
+    b = assignment.assign_boundaries(points, shapes, vintage_year=2020).select(*columns).collect()
+    assert sorted(a, key=str) == sorted(b, key=str) and any(r.tract_geoid for r in a)
+
+
 def test_plan_without_a_district_keeps_its_name(spark, shapes):
     points = spark.createDataFrame([(1, 1.0, 1.0), (2, 9.0, 9.0)], "id long, x double, y double")
     plan = spark.createDataFrame([("P", "01", "congress", "2022-01-01", None)], "plan_id string, state_fips string, chamber string, f string, t string").select(
