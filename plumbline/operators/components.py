@@ -28,8 +28,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     both = spool(both.filter("src != dst").distinct(), "edges")
     maps = []
     while total := both.count():
-        order = F.xxhash64(F.lit(len(maps)), F.col("dst"))
-        own = F.xxhash64(F.lit(len(maps)), F.col("src"))
+        # A text seed is passed to the generated code as an object, so every round runs the same compiled classes.
+        seed = F.lit(f"round {len(maps)}")
+        order, own = F.xxhash64(seed, F.col("dst")), F.xxhash64(seed, F.col("src"))
         best = F.min(F.struct(order.alias("o"), F.col("dst").alias("n")))
         chosen = both.groupBy("src").agg(best.alias("b"), F.count("*").alias("degree"))
         chosen = chosen.select(
