@@ -194,24 +194,20 @@ def district_deviation(districts: DataFrame, plan: list[str]) -> DataFrame:
 def roll_up(facts: DataFrame, variables: DataFrame, value: str = "estimate") -> DataFrame:
     """Sums of the extensive variables by state, county and tract code prefixes.
 
-    `level` is state, county or tract. Variables that cannot be summed are left out.
+    `level` is state, county or tract. Variables that cannot be summed are left
+    out. Each task sums its own rows per level before anything is sent on.
     """
     summed = facts.join(
         variables.filter("variable_type = 'extensive'").select("variable_code"), "variable_code", "left_semi"
-    ).select(
-        "variable_code",
-        F.substring("geoid", 1, 2).alias("state"),
-        F.substring("geoid", 1, 5).alias("county"),
-        F.substring("geoid", 1, 11).alias("tract"),
-        F.col(value).alias("_v"),
-    )
-    rolled = summed.rollup("variable_code", "state", "county", "tract").agg(
-        F.sum("_v").alias(value), F.grouping_id().alias("_g")
     )
-    level = F.when(F.col("_g") == 0, "tract").when(F.col("_g") == 1, "county").when(F.col("_g") == 3, "state")
-    return rolled.filter("_g IN (0, 1, 3)").select(
-        "variable_code", level.alias("level"), F.coalesce("tract", "county", "state").alias("geoid"), value
+    levels = F.array(
+        *[
+            F.struct(F.lit(level).alias("level"), F.substring("geoid", 1, n).alias("geoid"))
+            for level, n in t.PARENT_LENGTHS.items()
+        ]
     )
+    rows = summed.select("variable_code", value, F.explode(levels).alias("_l")).select("variable_code", value, "_l.*")
+    return rows.groupBy("variable_code", "level", "geoid").agg(F.sum(value).alias(value))
 
 
 def urbanicity_facts(overlaps: DataFrame, nces_year: int) -> DataFrame:
