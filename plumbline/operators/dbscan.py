@@ -56,7 +56,8 @@ def dbscan(
     side = eps / _ROOT2
     cell = ["_part", "_cx", "_cy"]
     part = F.to_json(F.struct(*partition_by), {"ignoreNullFields": "false"}) if partition_by else F.lit("")
-    pts = points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+    usable = F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double"))
+    pts = points.filter(usable).select(
         F.col(id_col).alias("_id"),
         F.col(x).cast("double").alias("_x"),
         F.col(y).cast("double").alias("_y"),

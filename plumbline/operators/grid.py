@@ -19,7 +19,8 @@ from plumbline.operators.skew import key_spread, repeat_rows, spread_rows
 from plumbline.session import spool
 
 CELL = ["_z", "_cx", "_cy"]
-MIN_ZOOM, MAX_ZOOM = -40, 40
+# Cell sizes from 6e-8 to 1e12; a shape beyond them still works, in fewer or more cells.
+MIN_ZOOM, MAX_ZOOM = -24, 40
 # Bytes of edge lists a broadcast side may hold.
 BROADCAST_BYTES = 64 << 20
 
@@ -35,11 +36,12 @@ def cell_size(z: str) -> str:
 
 
 def _zoomed(boundaries: DataFrame, rings: str, splits: int | None, keep: list[str]) -> DataFrame:
-    """Boundaries with a shape, their extent, edges and zoom."""
+    """Boundaries with an area, their extent, edges and zoom."""
     fitting = splits or "least(16, greatest(3, ceil(sqrt(size(_all)))))"
     return (
         boundaries.filter(F.size(rings) > 0)
         .select(*keep, F.expr(g.extent(rings)).alias("_box"), F.expr(g.edges(rings)).alias("_all"))
+        .filter("_box.maxx > _box.minx AND _box.maxy > _box.miny")
         .withColumn("_z", F.expr(zoom("greatest(_box.maxx - _box.minx, _box.maxy - _box.miny)", fitting)))
     )
 

@@ -124,10 +124,16 @@ def assign_boundaries(
     else:
         found = found.withColumns({"assignment_method": method, "plan_id": plan_id})
     columns = [*LEVEL_COLUMNS.values(), "assignment_method", "plan_id"]
-    base = addresses.drop(*columns, "census_year")
+    base = addresses.drop(*columns, "census_year", "census_units_assigned_at")
     out = base.join(found.select(id_col, *columns), id_col, "left")
     assigned = F.col("state_geoid").isNotNull()
-    return out.withColumns({"assigned": assigned, "census_year": F.when(assigned, F.lit(vintage_year))})
+    return out.withColumns(
+        {
+            "assigned": assigned,
+            "census_year": F.when(assigned, F.lit(vintage_year)),
+            "census_units_assigned_at": F.when(assigned, F.current_timestamp()),
+        }
+    )
 
 
 def boundary_periods(assigned: DataFrame, vintage: int, context_date: str | None = None, id_col: str = "id") -> DataFrame:

@@ -29,7 +29,7 @@ def batch_input(addresses: DataFrame) -> DataFrame:
 def match_geocodes(
     addresses: DataFrame, census: DataFrame | None = None, fallback: DataFrame | None = None, mode: str = "dual"
 ) -> DataFrame:
-    """Addresses with `latitude, longitude, geocoded, geocode_source, geocode_quality` and GEOIDs.
+    """Addresses with position, `geocoded, geocoded_at, geocode_source, geocode_quality` and GEOIDs.
 
     `census` has (id, matched, lat, lon, match_type, state_fips, county_fips,
     tract, block); `fallback` has (id, lat, lon) and serves what the first source
@@ -38,7 +38,7 @@ def match_geocodes(
     """
     if mode not in ("dual", "census-only", "fallback-only"):
         raise ValueError(f"unknown mode {mode!r}")
-    new = ["latitude", "longitude", "geocoded", "geocode_source", "geocode_quality", "has_position"]
+    new = ["latitude", "longitude", "geocoded", "geocoded_at", "geocode_source", "geocode_quality", "has_position"]
     geoids = ["state_geoid", "county_geoid", "tract_geoid", "block_group_geoid", "block_geoid"]
     out = addresses.drop(*new, *geoids)
     null = F.lit(None)
@@ -58,6 +58,7 @@ def match_geocodes(
         F.when(first, F.col("_a.lat")).when(second, F.col("_b.lat")).alias("latitude"),
         F.when(first, F.col("_a.lon")).when(second, F.col("_b.lon")).alias("longitude"),
         (first | second).alias("geocoded"),
+        F.when(first | second, F.current_timestamp()).alias("geocoded_at"),
         F.when(first, F.lit("census")).when(second, F.lit("nominatim")).otherwise(null).alias("geocode_source"),
         F.when(first, F.col("_a.match_type")).when(second, F.lit("Approximate")).otherwise(null).alias("geocode_quality"),
         (second | (first & F.coalesce((F.col("_a.lat") != 0) & (F.col("_a.lon") != 0), F.lit(False)))).alias("has_position"),

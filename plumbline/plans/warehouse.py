@@ -7,10 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions import geometry as g
 from plumbline.functions import measures as m
 from plumbline.functions import text as t
 from plumbline.functions.calendar import redistricting_cycles, time_dimension
 from plumbline.operators.history import validity_windows
+from plumbline.operators.hull import reock_scores
 from plumbline.operators.pivot import to_long
 from plumbline.operators.upsert import insert_if_absent, merge_upsert, upsert_table
 from plumbline.sources.lake import exists, replace_table
@@ -191,6 +193,15 @@ def district_deviation(districts: DataFrame, plan: list[str]) -> DataFrame:
     ).drop("_ideal")
 
 
+def redistricting_plan_facts(districts: DataFrame, plan: list[str], key: str = "geoid") -> DataFrame:
+    """Districts with `deviation_pct` within their plan, `polsby_popper` and `reock`.
+
+    `districts` has a unique `key`, the `plan` columns, `total_population` and `rings` in a plane.
+    """
+    scored = district_deviation(districts, plan).withColumn("polsby_popper", F.expr(g.polsby_popper("rings")))
+    return scored.drop("rings").join(reock_scores(districts, key), key)
+
+
 def roll_up(facts: DataFrame, variables: DataFrame, value: str = "estimate") -> DataFrame:
     """Sums of the extensive variables by state, county and tract code prefixes.
 

@@ -11,7 +11,7 @@ from plumbline.operators.hull import convex_hulls, reock_scores
 from plumbline.operators.overlay import intersecting_pairs, intersection_table, overlap_geometry
 from plumbline.operators.pip import label_matches_space, point_in_polygon
 from plumbline.operators.proximity import nearest
-from plumbline.plans import assignment, clustering, enrichment, serving
+from plumbline.plans import assignment, clustering, enrichment, serving, warehouse
 from plumbline.queries import bindings as b
 from plumbline.queries.registration import Registry
 from plumbline.session import new_path, spool
@@ -296,6 +296,23 @@ def reock_compactness(spark, sf):
     return reock_scores(_boxes(spark, sf, "vtd"), "geoid").select("geoid", F.round("reock", 6).alias("reock"))
 
 
+_DISTRICTS = "FROM (SELECT *, CAST(substr(geoid, 2) AS BIGINT) AS pop, x1 - x0 AS w, y1 - y0 AS h, substr(geoid, 11) AS plan FROM ({boxes}))"
+
+
+@query(
+    "SELECT geoid, round((pop - avg(pop) OVER (PARTITION BY plan)) / nullif(avg(pop) OVER (PARTITION BY plan), 0) * 100, 6) AS deviation_pct, "
+    "round(4 * pi() * w * h / pow(2 * (w + h), 2), 6) AS polsby_popper, round(w * h / (pi() * (w * w + h * h) / 4), 6) AS reock "
+    + _DISTRICTS.format(boxes=_box_rows("vtd"))
+)
+def plan_district_facts(spark, sf):
+    """Population deviation within each plan and both compactness scores."""
+    districts = _boxes(spark, sf, "vtd").withColumns(
+        {"total_population": F.substring("geoid", 2, 20).cast("bigint"), "plan": F.expr("substr(geoid, 11)")}
+    )
+    facts = warehouse.redistricting_plan_facts(districts, ["plan"])
+    return facts.select("geoid", *[F.round(c, 6).alias(c) for c in ("deviation_pct", "polsby_popper", "reock")])
+
+
 def _albers_check() -> str:
     """Snyder's formulas with the constants worked out by the checking engine itself."""
     return f"""WITH k AS (SELECT 1 / 298.257222101e0 AS f), e AS (SELECT f * (2 - f) AS e2, sqrt(f * (2 - f)) AS e FROM k),

@@ -78,3 +78,10 @@ def test_exact_distance_counts(spark):
 def test_no_cluster_at_all(spark):
     pdf = pd.DataFrame({"id": [1, 2], "x": [0.0, 500.0], "y": [0.0, 0.0]})
     check(spark, pdf, 20.0, 5)
+
+
+def test_points_without_a_place_are_noise(spark):
+    rows = [(i, 0.5 * i, 0.0) for i in range(5)] + [(8, None, 0.0), (9, float("nan"), 0.0)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    got = {r.id: r.cluster for r in dbscan(df, id_col="id", eps=20.0, min_points=5).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 8: None, 9: None}

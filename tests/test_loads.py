@@ -72,6 +72,9 @@ def test_shapefile_folder(spark, tmp_path):
     (tmp_path / "readme.txt").write_text("no")
     got = {r.geoid: r for r in shapefile.read_shapefiles(spark, str(tmp_path), ["GEOID", "NAME"]).withColumn("a", F.expr(g.area("rings"))).collect()}
     assert {k: (r.name, r.a) for k, r in got.items()} == {"01": ("A", 4.0), "02": ("B", 4.0)}
+    table = str(tmp_path / "table")
+    shapefile.load_shapefiles(spark, str(tmp_path), table, ["GEOID"])
+    assert {(r.source, r.geoid) for r in spark.read.parquet(table).collect()} == {("tl_2020_01", "01"), ("tl_2020_02", "02")}
     # A point record and a null record.
     point = struct.pack(">2i", 1, 10) + struct.pack("<i2d", 1, 3.0, 4.0)
     empty = struct.pack(">2i", 2, 2) + struct.pack("<i", 0)

@@ -81,6 +81,13 @@ def test_holes_and_parts(spark):
     assert {r.id for r in point_in_polygon(points, polys).collect()} == {2, 3}
 
 
+def test_shapes_without_area_hold_nothing(spark):
+    flat = [(0.0, 0.0), (4.0, 0.0), (2.0, 0.0), (0.0, 0.0)]
+    polys = spark.createDataFrame([("a", "A", as_rings(flat)), ("b", "B", as_rings([(1, 1), (1, 1)])), ("c", "C", []), ("d", "D", None)], SCHEMA)
+    points = spark.createDataFrame([(1, 1.0, 0.0), (2, 1.0, 1.0)], "id long, x double, y double")
+    assert point_in_polygon(points, polys).count() == 0
+
+
 def test_empty_boundaries(spark, world):
     _, points, _, _ = world
     none = spark.createDataFrame([], SCHEMA)
