@@ -16,8 +16,12 @@ def con():
     return tool.duck(SF_DIR)
 
 
+# The corpus operators have tests of their own.
+NAMES = sorted(n for n, fn in entry.queries().items() if fn.__module__.startswith("plumbline.queries."))
+
+
 def test_every_query_has_a_check():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):
@@ -29,7 +33,7 @@ def test_flagship(spark):
 MAY_BE_EMPTY = {"label_points_in_states", "voter_cluster_sizes"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
     message = tool.compare(spark, con, SF_DIR, name, entry.queries()[name], entry.oracle_sql().get(name))
     assert message is None or (message == "no rows" and name in MAY_BE_EMPTY)
