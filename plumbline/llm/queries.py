@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from plumbline.llm import bpe
+from plumbline.llm import bpe, langid, packing, quality, toxicity
 from plumbline.llm.frames import table
 from plumbline.queries.registration import Registry
 
@@ -19,6 +19,26 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query()
+def op3_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op4_best_fit_packing(spark, sf_dir):
+    return packing.packed_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query()
+def op8_quality_rules(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_language_id(spark, sf_dir):
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_bpe_encoding(spark, sf_dir):
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), vocabulary())
