@@ -34,8 +34,8 @@ from plumbline.llm.frames import map_rows
 
 END = "</w>"
 # Encoded pieces and words kept by a Python worker before it starts over.
-CACHE_PIECES = 400_000
-CACHE_WORDS = 400_000
+CACHE_PIECES = 800_000
+CACHE_WORDS = 600_000
 # Words of more symbols are merged with a heap, whose cost does not grow with the square of the length.
 LONG_WORD = 100
 # Characters that str.split() takes as white space and the vocabulary does not.
