@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from plumbline.llm import bpe, langid, packing, quality, toxicity
+from plumbline.llm import bpe, langid, packing, quality, secrets, toxicity
 from plumbline.llm.frames import table
 from plumbline.queries.registration import Registry
 
@@ -42,3 +42,8 @@ def op9_language_id(spark, sf_dir):
 @query()
 def op10_bpe_encoding(spark, sf_dir):
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query()
+def op2_secret_scan(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
