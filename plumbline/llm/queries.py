@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from plumbline.llm import bpe, langid, packing, quality, secrets, toxicity
+from plumbline.llm import bpe, langid, packing, quality, secrets, toxicity, warc
 from plumbline.llm.frames import table
 from plumbline.queries.registration import Registry
 
@@ -19,6 +19,27 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Null texts and payloads are empty; the digest is that of the full payload.
+_ARCHIVED = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, upper(sha1(payload)) AS hexed FROM p),
+b AS (SELECT page_id, payload_bytes, hexed, array_to_string([
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+          (CAST('0x' || substr(hexed, 5 * (i // 4) + 1, 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER), 1)
+        FOR i IN range(0, 32)], '') AS payload_digest FROM d),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY hexed, payload_bytes) AS first FROM b)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to, CAST(NULL AS VARCHAR) AS problem
+FROM r
+"""
+
+
+@query(_ARCHIVED)
+def op1_warc(spark, sf_dir):
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op3_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
