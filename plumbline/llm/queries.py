@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from plumbline.llm import bpe, langid, packing, quality, secrets, toxicity, warc
+from plumbline.llm import bpe, langid, packing, quality, secrets, topk, toxicity, warc
 from plumbline.llm.frames import table
 from plumbline.queries.registration import Registry
 
@@ -50,6 +50,24 @@ def op4_best_fit_packing(spark, sf_dir):
     return packing.packed_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+_PRODUCTS = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query(_PRODUCTS)
+def op7_top_products(spark, sf_dir):
+    return topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op8_quality_rules(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
