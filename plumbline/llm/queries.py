@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from plumbline.llm import bpe, langid, packing, quality, secrets, topk, toxicity, warc
+from plumbline.llm import bpe, jaccard, langid, packing, quality, secrets, topk, toxicity, warc
 from plumbline.llm.frames import table
 from plumbline.queries.registration import Registry
 
@@ -50,6 +50,28 @@ def op4_best_fit_packing(spark, sf_dir):
     return packing.packed_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+# Words are cut at ASCII white space, in lower case for A-Z. Links come from shared shingles, components from the
+# smallest id reachable, step by step.
+_COMPONENTS = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
+@query(_COMPONENTS)
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 _PRODUCTS = """
 WITH v AS (
   SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
