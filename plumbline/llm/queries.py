@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from plumbline.llm import bpe, jaccard, langid, packing, quality, secrets, topk, toxicity, warc
+from plumbline.llm import bpe, jaccard, langid, packing, quality, secrets, suffixes, topk, toxicity, warc
 from plumbline.llm.frames import table
 from plumbline.queries.registration import Registry
 
@@ -72,6 +72,11 @@ def op5_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_suffix_dedup(spark, sf_dir):
+    return suffixes.removal_digests(table(spark, sf_dir, "documents"))
+
+
 _PRODUCTS = """
 WITH v AS (
   SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
