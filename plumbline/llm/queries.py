@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 
+import corpus_pipeline
 from plumbline.llm import bpe, jaccard, langid, packing, quality, secrets, suffixes, topk, toxicity, warc
 from plumbline.llm.frames import table
 from plumbline.queries.registration import Registry
@@ -113,3 +114,8 @@ def op10_bpe_encoding(spark, sf_dir):
 @query()
 def op2_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

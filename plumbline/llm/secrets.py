@@ -150,3 +150,31 @@ def scan(df: DataFrame) -> DataFrame:
         F.sha2(F.coalesce("base", F.lit("")).cast("binary"), 256).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"),
     )
+
+
+def masked(df: DataFrame, mask: str) -> DataFrame:
+    """The rows of `df` with every span replaced by `mask`, overlapping ones by one. `n_chars`, if there, follows the text."""
+    order = W.partitionBy("_k1", "_k2").orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    # Spans that overlap what came before them belong to the same mask.
+    parted = spans(df.select("doc_id", "text")).withColumn("first", F.when(before.isNull() | (F.col("start") >= before), 1).otherwise(0))
+    parted = parted.withColumn("mask", F.sum("first").over(order)).groupBy("_k1", "_k2", "mask")
+    parted = parted.agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    found = parted.groupBy("_k1", "_k2").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_s"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    rows = df.select(row, *_keys()).join(found, ["_k1", "_k2"], "left")
+    text, last = F.col("_row.text"), F.size("_s")
+    # What stands between masks, by the end of the mask before it.
+    between = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda i: F.substring(
+            text,
+            F.coalesce(F.get("_s", i - 1)["end"], F.lit(0)).cast("int") + 1,
+            (F.coalesce(F.get("_s", i)["start"], F.length(text)) - F.coalesce(F.get("_s", i - 1)["end"], F.lit(0))).cast("int"),
+        ),
+    )
+    rows = rows.withColumn("_text", F.when(F.col("_s").isNull(), text).otherwise(F.array_join(between, mask)))
+    changed = {"text": F.col("_text")}
+    if "n_chars" in df.columns:
+        changed["n_chars"] = F.when(F.col("_s").isNull(), F.col("_row.n_chars")).otherwise(F.length("_text").cast("long"))
+    return rows.select(*[changed[c].alias(c) if c in changed else F.col(f"_row.`{c}`").alias(c) for c in df.columns])

@@ -378,30 +378,64 @@ def merged(parts: list[bytes], n: int) -> list[tuple[int, int]]:
     return list(zip(steps[::2].tolist(), steps[1::2].tolist()))
 
 
+def _with_spans(df: DataFrame) -> DataFrame:
+    """`_row` with all columns of `df`, and the parts of what its text loses."""
+    gone = spans_removed(df).withColumnRenamed("doc_id", "_id")
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    rows = df.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_id"), F.xxhash64("text").alias("code"))
+    return rows.join(gone, ["_id", "code"], "left").select("_row", "parts")
+
+
+def _kept(text: str | None, parts: list[bytes] | None) -> tuple[bytes, int, int]:
+    """Remaining bytes, number of bytes, number of removed spans."""
+    data = (text or "").encode("utf-8", "replace")
+    spans = merged([] if parts is None else list(parts), len(data))
+    ends = [0, *(x for s in spans for x in s), len(data)]
+    return b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2])), len(data), len(spans)
+
+
 def deduplicated(df: DataFrame) -> DataFrame:
     """`doc_id, n_bytes, n_removed, n_spans, kept` of every row; `kept` holds the remaining bytes."""
-    gone = spans_removed(df)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("_id"), F.xxhash64("text").alias("code"), "text")
-    rows = rows.join(gone.withColumnRenamed("doc_id", "_id"), ["_id", "code"], "left").select("doc_id", "text", "parts")
 
     def make():
         def run(batch):
-            out = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")}
-            for doc_id, text, parts in zip(batch["doc_id"], batch["text"], batch["parts"]):
-                data = (text or "").encode("utf-8", "replace")
-                spans = merged(parts or [], len(data))
-                ends = [0, *(x for s in spans for x in s), len(data)]
-                kept = b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2]))
-                for k, v in zip(out, (doc_id, len(data), len(data) - len(kept), len(spans), kept)):
-                    out[k].append(v)
-            return out
+            found = [_kept(t, p) for t, p in zip(batch["text"], batch["parts"])]
+            return {
+                "doc_id": batch["doc_id"],
+                "n_bytes": [n for _, n, _ in found],
+                "n_removed": [n - len(k) for k, n, _ in found],
+                "n_spans": [s for _, _, s in found],
+                "kept": [k for k, _, _ in found],
+            }
 
         return run
 
+    rows = _with_spans(df).select(F.col("_row.doc_id").cast("long").alias("doc_id"), "_row.text", "parts")
     return map_rows(rows, make, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
+def remaining_texts(df: DataFrame) -> DataFrame:
+    """The rows of `df` with what remains of their text, and `n_chars`, if there, of its length.
+
+    Bytes of a character that was cut are left out. Rows that lose all their text go.
+    """
+
+    @F.pandas_udf("string")
+    def rest(texts, parts):
+        import pandas as pd
+
+        return pd.Series([_kept(t, p)[0].decode("utf-8", "ignore") for t, p in zip(texts, parts)], dtype=object)
+
+    rows = _with_spans(df)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
+    text = F.when(F.col("parts").isNull(), F.col("_row.text")).otherwise(rest(F.col("_row.text"), F.col("parts")))
+    rows = rows.withColumn("_text", text).filter("parts IS NULL OR trim(_text) <> ''")
+    changed = {"text": F.col("_text")}
+    if "n_chars" in df.columns:
+        changed["n_chars"] = F.when(F.col("parts").isNull(), F.col("_row.n_chars")).otherwise(F.length("_text").cast("long"))
+    return rows.select(*[changed[c].alias(c) if c in changed else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+
+
 def removal_digests(df: DataFrame) -> DataFrame:
     out = deduplicated(df)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
