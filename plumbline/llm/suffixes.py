@@ -36,8 +36,11 @@ from plumbline.session import spool
 
 LENGTH = 100
 GRAM = 32
-RUN = 64
-HOT_RUNS = 4096
+# Most strings that one place of the smallest hash can cover; repetitive texts have longer runs.
+RUN = LENGTH - GRAM + 1
+HOT_RUNS = 256
+# Groups of so few runs are first tested for having anything in common.
+FEW = 6
 BUCKET_BYTES = 32_000_000
 LAST = (1 << 63) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -270,7 +273,7 @@ def met_runs(sent: DataFrame) -> DataFrame:
 def fetched(docs: DataFrame, parts: DataFrame, buckets: int) -> DataFrame:
     """`bucket, key, doc_id, code, start, text, hot` of the runs to fetch; for hot keys a row for each string, with its hash as text."""
     asked = parts.filter(F.col("kind") != REMOVE).groupBy("doc_id", "code").agg(F.collect_list(F.struct("kind", "data")).alias("asked"))
-    both = docs.join(asked, ["doc_id", "code"]).dropDuplicates(["doc_id", "code"])
+    both = docs.join(asked, ["doc_id", "code"])
 
     def make():
         def run(batch):
@@ -294,6 +297,19 @@ def fetched(docs: DataFrame, parts: DataFrame, buckets: int) -> DataFrame:
     return map_rows(both, make, schema)
 
 
+def anything_common(texts: list[bytes]) -> bool:
+    """Whether two texts may share LENGTH bytes: half as many from a multiple of that place on would be in both."""
+    half = LENGTH // 2
+    for n, a in enumerate(texts):
+        blocks = [a[i : i + half] for i in range(0, len(a) - half + 1, half)]
+        if any(block in b for m, b in enumerate(texts) if m != n for block in blocks):
+            return True
+        # A text can also repeat within itself.
+        if len(set(blocks)) < len(blocks) or any(block in a[i + 1 :] for i, block in zip(range(0, len(a), half), blocks)):
+            return True
+    return False
+
+
 def repeated_starts(texts: list[bytes], heads: list[tuple[int, int]]) -> list[list[int]]:
     """For runs of one key, with document and start of each: the offsets in each run of strings that also start earlier."""
     joined: list[int] = []
@@ -336,10 +352,13 @@ def repeats(rows: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         by_key: dict[int, list] = {}
-        for row in zip(*(table.column(c).to_pylist() for c in ("key", "doc_id", "code", "start", "text"))):
+        # Repeated rows of a document ask for the same runs.
+        for row in set(zip(*(table.column(c).to_pylist() for c in ("key", "doc_id", "code", "start", "text")))):
             by_key.setdefault(row[0], []).append(row)
         found = []
         for members in by_key.values():
+            if len(members) <= FEW and not anything_common([m[4] for m in members]):
+                continue
             gone = repeated_starts([m[4] for m in members], [(m[1], m[3]) for m in members])
             for (_, doc_id, code, start, _), offsets in zip(members, gone):
                 if offsets:
@@ -352,8 +371,16 @@ def repeats(rows: DataFrame) -> DataFrame:
     hot = rows.filter("hot").select("text", "doc_id", "code", "start")
     first = hot.groupBy("text").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     later = hot.join(first, "text").filter(F.struct("doc_id", "start") > F.col("first"))
-    span = F.udf(lambda s: _spans(np.array([s]), np.array([1])), "binary")("start")
-    return sorted_out.union(later.select("doc_id", "code", F.lit(REMOVE), span))
+
+    def make():
+        def spans(batch):
+            n = len(batch["start"])
+            data = [_spans(np.array([s]), np.array([1])) for s in batch["start"]]
+            return {"doc_id": batch["doc_id"], "code": batch["code"], "kind": [REMOVE] * n, "data": data}
+
+        return spans
+
+    return sorted_out.union(map_rows(later.select("doc_id", "code", "start"), make, PARTS))
 
 
 def spans_removed(df: DataFrame) -> DataFrame:
@@ -362,7 +389,7 @@ def spans_removed(df: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
     parts = spool(met_runs(sent_runs(docs, buckets)), "met")
-    more = spool(repeats(fetched(docs, parts, 4 * buckets)), "repeats")
+    more = spool(repeats(spool(fetched(docs, parts, 4 * buckets), "runs")), "repeats")
     gone = parts.filter(F.col("kind") == REMOVE).union(more)
     return gone.groupBy("doc_id", "code").agg(F.collect_list("data").alias("parts"))
 
