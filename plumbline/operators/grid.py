@@ -2,7 +2,8 @@
 
 A polygon goes into the zoom where its extent spans about `splits` cells, by
 default the square root of its number of edges, so the cells of a polygon grow
-with its detail and not with its size; a point is looked up once per zoom in use. Each cell row carries only the edges a
+with its detail and not with its size, and the edges of a cell with the square
+root of all; a point is looked up once per zoom in use. Each cell row carries only the edges a
 ray cast inside that cell can meet: edges of the cell's own band of rows that
 do not lie wholly to its left. The answer equals the ray cast over all edges.
 """
@@ -37,7 +38,7 @@ def cell_size(z: str) -> str:
 
 def _zoomed(boundaries: DataFrame, rings: str, splits: int | None, keep: list[str]) -> DataFrame:
     """Boundaries with an area, their extent, edges and zoom."""
-    fitting = splits or "least(16, greatest(3, ceil(sqrt(size(_all)))))"
+    fitting = splits or "greatest(3, ceil(sqrt(size(_all))))"
     return (
         boundaries.filter(F.size(rings) > 0)
         .select(*keep, F.expr(g.extent(rings)).alias("_box"), F.expr(g.edges(rings)).alias("_all"))

@@ -17,8 +17,8 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def best_by_weight(df: DataFrame, key: str, target: str, weight: str) -> DataFrame:
-    """`(key, target, weight)` of the heaviest target; equal weights go to the smallest target."""
-    best = F.min(F.struct((-F.col(weight)).alias("w"), F.col(target).alias("t")))
+    """`(key, target, weight)` of the heaviest target; equal weights go to the smallest target, null weights come last."""
+    best = F.min(F.struct(F.col(weight).isNull().alias("n"), (-F.col(weight)).alias("w"), F.col(target).alias("t")))
     return df.groupBy(key).agg(best.alias("_b")).select(
         key, F.col("_b.t").alias(target), (-F.col("_b.w")).alias(weight)
     )

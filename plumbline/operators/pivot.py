@@ -31,20 +31,19 @@ def pivot_sum(df: DataFrame, keys: list[str], title: str, value: str, titles: li
 def cvap_table(block_groups: DataFrame, titles: list[str] | None = None) -> DataFrame:
     """Citizen voting age (`cvap`) and citizen (`cit`) estimates by title, one row per block group.
 
-    The result of joining the two pivots on `geoid`, every voting-age row kept.
+    Both sums of a title come from one pivot.
     """
     titles = titles or CVAP_TITLES
-    cvap = pivot_sum(block_groups, ["geoname", "geoid"], "lntitle", "cvap_est", titles)
-    cit = pivot_sum(block_groups, ["geoname", "geoid"], "lntitle", "cit_est", titles).drop("geoname")
-    left = cvap.select("geoname", "geoid", *[F.col(f"`{t}`").alias(f"cvap_{t}") for t in titles])
-    right = cit.select("geoid", *[F.col(f"`{t}`").alias(f"cit_{t}") for t in titles])
-    return left.join(right, "geoid", "left")
+    sums = (F.sum("cvap_est").alias("cvap"), F.sum("cit_est").alias("cit"))
+    wide = block_groups.groupBy("geoname", "geoid").pivot("lntitle", titles).agg(*sums)
+    return wide.select("geoname", "geoid", *[F.col(f"`{t}_{kind}`").alias(f"{kind}_{t}") for kind in ("cvap", "cit") for t in titles])
 
 
 def to_long(df: DataFrame, ids: list[str], codes: list[str]) -> DataFrame:
     """`(ids..., variable_code, value, moe_value)` with one row per id and estimate code.
 
     The margin of error comes from the code's `M` column when the input has it.
+    An input without any of the codes gives no rows.
     """
     have = set(df.columns)
     cells = []
@@ -60,4 +59,7 @@ def to_long(df: DataFrame, ids: list[str], codes: list[str]) -> DataFrame:
                 margin.alias("moe_value"),
             )
         )
+    if not cells:
+        none = F.lit(None).cast("string")
+        return df.select(*ids, *[none.alias(c) for c in ("variable_code", "value", "moe_value")]).filter(F.lit(False))
     return df.select(*ids, F.explode(F.array(*cells)).alias("_c")).select(*ids, "_c.*")

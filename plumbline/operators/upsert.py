@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.operators.history import latest_per_key
 from plumbline.session import spool
@@ -40,18 +41,37 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> D
     return target.unionByName(_without(source, target, keys), allowMissingColumns=True)
 
 
+def read_as(spark: SparkSession, path: str, source: DataFrame) -> DataFrame:
+    """The table at `path` with the source's types for the columns they share.
+
+    Types found in folder names would turn a code like '01' into a number.
+    """
+    given = {f.name: f.dataType for f in source.schema}
+    fields = [T.StructField(f.name, given.get(f.name, f.dataType)) for f in spark.read.parquet(path).schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def upsert_table(
-    spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition_by: list[str] | None = None
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: list[str],
+    partition_by: list[str] | None = None,
+    latest_by: list[str] | None = None,
 ) -> DataFrame:
     """Merge `source` into the table at `path` and return the table.
 
-    With `partition_by` columns that are part of the key, only the partitions
-    the source touches are read and rewritten; otherwise the table is swapped.
+    Source rows of one key are reduced to the greatest by `latest_by`, or by
+    their other columns. With `partition_by` columns that are part of the key,
+    only the partitions the source touches are read and rewritten; otherwise the
+    table is swapped.
     """
+    rest = [c for c in source.columns if c not in keys]
+    source = latest_per_key(source, keys, latest_by or rest) if rest else source.distinct()
     if not exists(spark, path):
         replace_table(source, path, partition_by)
-        return spark.read.parquet(path)
-    target = spark.read.parquet(path)
+        return read_as(spark, path, source)
+    target = read_as(spark, path, source)
     parts = [c for c in partition_by or [] if c in keys]
     if parts and parts == list(partition_by or []):
         target = _touched_partitions(target, source.select(*parts).distinct(), parts)
@@ -60,7 +80,7 @@ def upsert_table(
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
     else:
         replace_table(merge_upsert(target, source, keys), path, partition_by)
-    return spark.read.parquet(path)
+    return read_as(spark, path, source)
 
 
 def _touched_partitions(target: DataFrame, touched: DataFrame, parts: list[str]) -> DataFrame:

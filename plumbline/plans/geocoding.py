@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import text as t
+from plumbline.operators.history import latest_per_key
 
 
 def geocode_queue(addresses: DataFrame, state: str | None = None, force: bool = False, limit: int = 0) -> DataFrame:
@@ -26,6 +27,11 @@ def batch_input(addresses: DataFrame) -> DataFrame:
     )
 
 
+def _one_per_id(results: DataFrame) -> DataFrame:
+    order = ["result_order"] if "result_order" in results.columns else [c for c in results.columns if c != "id"]
+    return latest_per_key(results, ["id"], order).drop("result_order")
+
+
 def match_geocodes(
     addresses: DataFrame, census: DataFrame | None = None, fallback: DataFrame | None = None, mode: str = "dual"
 ) -> DataFrame:
@@ -33,7 +39,8 @@ def match_geocodes(
 
     `census` has (id, matched, lat, lon, match_type, state_fips, county_fips,
     tract, block); `fallback` has (id, lat, lon) and serves what the first source
-    missed. `mode` is dual, census-only or fallback-only. `has_position` needs
+    missed. Of repeated results for an id, the greatest by a `result_order` column
+    counts, or by all columns where a source has none. `mode` is dual, census-only or fallback-only. `has_position` needs
     both coordinates to differ from zero for the first source.
     """
     if mode not in ("dual", "census-only", "fallback-only"):
@@ -43,11 +50,12 @@ def match_geocodes(
     out = addresses.drop(*new, *geoids)
     null = F.lit(None)
     if mode != "fallback-only":
-        out = out.join(census.filter("matched").select("id", F.struct("*").alias("_a")), "id", "left")
+        out = out.join(_one_per_id(census.filter("matched")).select("id", F.struct("*").alias("_a")), "id", "left")
     else:
         out = out.withColumn("_a", F.expr(f"CAST(NULL AS {_CENSUS})"))
     if mode != "census-only":
-        out = out.join(fallback.select("id", F.struct("lat", "lon").alias("_b")), "id", "left")
+        found = fallback.filter("lat IS NOT NULL AND lon IS NOT NULL")
+        out = out.join(_one_per_id(found).select("id", F.struct("lat", "lon").alias("_b")), "id", "left")
     else:
         out = out.withColumn("_b", F.expr("CAST(NULL AS STRUCT<lat: DOUBLE, lon: DOUBLE>)"))
     first = F.col("_a.lat").isNotNull() | F.col("_a.match_type").isNotNull() | F.col("_a.id").isNotNull()

@@ -82,9 +82,11 @@ def ordered(df: DataFrame, listing: str, by: str | None = None, unique: tuple[st
 
 
 def page(df: DataFrame, order: list, number: int = 1, size: int | None = None, kind: str = "json") -> DataFrame:
-    """One page in the given order; the size is limited by kind."""
+    """One page in the given order; a size above the limit of its kind is an error."""
     default, largest = PAGE_SIZES[kind]
-    size = min(size or default, largest)
+    size = size or default
+    if size > largest:
+        raise ValueError(f"a {kind} page has at most {largest} rows, not {size}")
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 

@@ -30,6 +30,21 @@ VARIABLE_GROUPS = {
     "education": ["B15003_022E", "B15003_023E", "B15003_024E", "B15003_025E"],
 }
 
+# What the tables of the variable groups hold; medians cannot be summed.
+TABLE_TYPES = {
+    "B01001": "extensive",
+    "B01002": "intensive",
+    "B02001": "extensive",
+    "B03003": "extensive",
+    "B19013": "intensive",
+    "B17001": "extensive",
+    "B25001": "extensive",
+    "B25002": "extensive",
+    "B15003": "extensive",
+    "P1": "extensive",
+    "P2": "extensive",
+}
+
 # Decennial count variables.
 DECENNIAL_VARIABLES = ["P1_001N", "P1_003N", "P1_004N", "P2_002N"]
 
@@ -92,15 +107,21 @@ def survey_dimension(spark: SparkSession, survey_type: str, vintage_year: int) -
     return df.withColumn("survey_key", surrogate_key("survey_type", "vintage_year"))
 
 
-def variable_dimension(spark: SparkSession, codes: list[str], dataset: str) -> DataFrame:
-    """Variables with their table id (text before `_`); medians cannot be summed."""
-    df = spark.createDataFrame([(c, dataset) for c in codes], "variable_code string, dataset string")
+def variable_dimension(spark: SparkSession, codes: list[str], dataset: str, types: dict[str, str] | None = None) -> DataFrame:
+    """Variables with their table id (text before `_`) and type.
+
+    `types` gives extensive (can be summed) or intensive by code or table id, in
+    addition to TABLE_TYPES; any other variable has a null type and is not summed.
+    """
+    known = TABLE_TYPES | (types or {})
+    rows = [(c, dataset, known.get(c, known.get(c.split("_")[0]))) for c in codes]
+    df = spark.createDataFrame(rows, "variable_code string, dataset string, variable_type string")
     return df.select(
         "variable_code",
         "dataset",
         F.substring_index("variable_code", "_", 1).alias("table_id"),
         F.col("variable_code").alias("label"),
-        F.when(F.col("variable_code").startswith("B19013_"), "intensive").otherwise("extensive").alias("variable_type"),
+        "variable_type",
         t.is_estimate("variable_code").alias("is_estimate"),
         t.is_moe("variable_code").alias("is_moe"),
         surrogate_key("variable_code", "dataset").alias("variable_key"),
@@ -229,7 +250,8 @@ def urbanicity_facts(overlaps: DataFrame, nces_year: int) -> DataFrame:
     """
     by_code = overlaps.groupBy("geography_key", "locale_code").agg(F.sum("overlap_area").alias("_a"))
     best = by_code.groupBy("geography_key").agg(
-        F.min(F.struct((-F.col("_a")).alias("a"), F.col("locale_code").alias("c"))).alias("_b"), F.sum("_a").alias("_t")
+        F.min(F.struct(F.col("_a").isNull().alias("n"), (-F.col("_a")).alias("a"), F.col("locale_code").alias("c"))).alias("_b"),
+        F.sum("_a").alias("_t"),
     )
     code = F.col("_b.c")
     return best.select(

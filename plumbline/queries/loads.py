@@ -32,7 +32,8 @@ _SURVEY = (
     "FROM {lineitem} GROUP BY l_partkey"
 ).replace("{pad}", b.pad("l_partkey", 11))
 
-_GEOGRAPHY = f"SELECT {b.pad('p_partkey', 11)} AS geoid, p_name AS name, CAST(2022 AS INT) AS vintage_year FROM {{part}} WHERE p_partkey % 10 <> 3"
+# Some geographies have a key that no survey row has.
+_GEOGRAPHY = f"SELECT CASE WHEN p_partkey % 10 = 3 THEN concat('X', {b.pad('p_partkey', 10)}) ELSE {b.pad('p_partkey', 11)} END AS geoid, p_name AS name, CAST(2022 AS INT) AS vintage_year FROM {{part}}"
 _RAW = f"WITH raw AS ({_SURVEY.format(lineitem='lineitem')}), geo AS ({_GEOGRAPHY.format(part='part')})"
 _CELLS = (
     _RAW
@@ -301,7 +302,7 @@ _RESULTS = (
     "SELECT c_custkey AS id, c_custkey % 3 <> 1 AS matched, CASE WHEN c_custkey % 10 = 0 THEN 0.0 ELSE 38.5 END AS lat, -77.25 AS lon, 'Exact' AS match_type, "
     f"{b.pad('c_nationkey', 2)} AS state_fips, {b.pad('c_custkey % 999', 3)} AS county_fips, {b.pad('c_custkey % 999999', 6)} AS tract, '2001' AS block FROM {{customer}}"
 )
-_SECOND = "SELECT c_custkey AS id, 40.5 AS lat, -80.5 AS lon FROM {customer} WHERE c_custkey % 2 = 0"
+_SECOND = "SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -1 - c_custkey END AS id, 40.5 AS lat, -80.5 AS lon FROM {customer}"
 _MATCHED = f"""WITH a AS (SELECT c_custkey AS id FROM customer), f AS (SELECT * FROM ({_RESULTS.format(customer='customer')}) WHERE matched),
     g AS ({_SECOND.format(customer='customer')}), j AS (SELECT a.id, f.id AS fi, g.id AS gi, f.*, g.lat AS glat, g.lon AS glon FROM a LEFT JOIN f ON f.id = a.id LEFT JOIN g ON g.id = a.id)"""
 
@@ -461,13 +462,17 @@ def replaced_table(spark, sf):
 )
 def road_tables_union(spark, sf):
     """Session views picked by the year and state in their names."""
-    parts = b.read(spark, sf, "part")
+    parts, made = b.read(spark, sf, "part"), []
     for i in range(3):
         rows = parts.filter(f"p_size % 3 = {i}").selectExpr("CAST(p_partkey AS STRING) AS linearid", "p_name AS fullname", "p_type AS extra")
-        rows.createOrReplaceTempView(f"tl_2020_4600{i}_roads")
-        rows.createOrReplaceTempView(f"tl_2019_4600{i}_roads")
-    names = tables.matching_tables(spark, "roads", "2020", "46")
-    return tables.union_tables(spark, names, {"linearid": "bigint", "fullname": "string"})
+        for year in (2020, 2019):
+            made.append(f"tl_{year}_4600{i}_roads")
+            rows.createOrReplaceTempView(made[-1])
+    names = tables.matching_tables(spark, "roads", "2020", "46", among=made)
+    out = tables.union_tables(spark, names, {"linearid": "bigint", "fullname": "string"})
+    for name in made:
+        spark.catalog.dropTempView(name)
+    return out
 
 
 @query("SELECT c_custkey, c_name FROM customer")
@@ -478,7 +483,9 @@ def copied_table(spark, sf):
 @query("SELECT n_name, count(*) AS n FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1")
 def result_into_view(spark, sf):
     tables.select_into(b.read(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n")), "customers_by_nation")
-    return b.sql(spark, sf, "SELECT n_name, n FROM customers_by_nation JOIN {nation} ON n_nationkey = c_nationkey", "nation")
+    out = b.sql(spark, sf, "SELECT n_name, n FROM customers_by_nation JOIN {nation} ON n_nationkey = c_nationkey", "nation")
+    spark.catalog.dropTempView("customers_by_nation")
+    return out
 
 
 def _shape_bytes(rows: pd.DataFrame) -> pd.DataFrame:
@@ -541,9 +548,9 @@ _PLAN_CATALOG = (
 
 @query(
     f"""SELECT id, state FROM ({_PLAN_CATALOG.format(part='part')}) WHERE (id % 4 = 0 OR type = 'state_house') AND state IN ('05', '06', '07', '08')
-    AND id NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 50)"""
+    AND id NOT IN (SELECT CASE WHEN l_quantity >= 50 THEN l_partkey ELSE -1 - l_partkey END FROM lineitem)"""
 )
 def unseen_plans(spark, sf):
     plans = updates.boundary_plans(b.sql(spark, sf, _PLAN_CATALOG, "part"), states=["05", "06", "07", "08"])
-    known = b.read(spark, sf, "lineitem").filter("l_quantity >= 50").selectExpr("l_partkey AS id")
+    known = b.read(spark, sf, "lineitem").selectExpr("CASE WHEN l_quantity >= 50 THEN l_partkey ELSE -1 - l_partkey END AS id")
     return updates.new_plans(plans, known).select("id", "state")

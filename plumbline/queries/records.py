@@ -198,23 +198,26 @@ def vintage_of_year(spark, sf):
     FROM (SELECT o_orderkey, 100 + o_orderkey % 30 AS n FROM orders)"""
 )
 def congress_start(spark, sf):
-    terms = b.read(spark, sf, "nation").filter("n_nationkey % 2 = 0").selectExpr(
-        "100 + n_nationkey AS congress_number", "make_date(1789 + (99 + n_nationkey) * 2, 1, 4) AS start_date"
+    # Every second nation stands for a term that no row has.
+    terms = b.read(spark, sf, "nation").selectExpr(
+        "CASE WHEN n_nationkey % 2 = 0 THEN 100 + n_nationkey ELSE -n_nationkey END AS congress_number",
+        "make_date(1789 + (99 + n_nationkey) * 2, 1, 4) AS start_date",
     )
     rows = b.read(spark, sf, "orders").selectExpr("o_orderkey AS id", "CAST(100 + o_orderkey % 30 AS INT) AS n")
     return temporal.term_start(rows, terms, "n").select("id", "context_date")
 
 
 @query(
-    """WITH l AS (SELECT * FROM events WHERE event_type = 'purchase'), r AS (SELECT * FROM events WHERE event_type = 'signup')
-    SELECT l.event_id AS id, r.event_id AS period_id, r.value AS period_value FROM l LEFT JOIN r ON r.user_id = l.user_id AND r.ts <= l.ts
+    """WITH r AS (SELECT event_id, ts, value, CASE WHEN event_type = 'signup' THEN user_id ELSE -1 - user_id END AS k FROM events)
+    SELECT l.event_id AS id, r.event_id AS period_id, r.value AS period_value FROM events l LEFT JOIN r ON r.k = l.user_id AND r.ts <= l.ts
     QUALIFY row_number() OVER (PARTITION BY l.event_id ORDER BY r.ts DESC, r.event_id DESC) = 1"""
 )
 def boundary_as_of(spark, sf):
     """The last period that started at or before each row, per key."""
     events = b.read(spark, sf, "events")
-    left = events.filter("event_type = 'purchase'").selectExpr("event_id AS id", "user_id", "ts")
-    right = events.filter("event_type = 'signup'").selectExpr("user_id", "ts AS started", "event_id AS period_id", "value AS period_value")
+    left = events.selectExpr("event_id AS id", "user_id", "ts")
+    key = "CASE WHEN event_type = 'signup' THEN user_id ELSE -1 - user_id END AS user_id"
+    right = events.selectExpr(key, "ts AS started", "event_id AS period_id", "value AS period_value")
     out = temporal.asof_join(
         left, right, key="user_id", left_ts="ts", right_ts="started", values=["period_id", "period_value"], unit="day", tie=["period_id"]
     )
@@ -242,12 +245,12 @@ def latest_order_per_customer(spark, sf):
 
 
 @query(
-    """SELECT l_partkey AS source_geoid, l_suppkey AS target_geoid, w AS weight FROM (SELECT l_partkey, l_suppkey, sum(l_quantity) AS w FROM lineitem GROUP BY ALL)
-    QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY w DESC, l_suppkey) = 1"""
+    """SELECT l_partkey AS source_geoid, l_suppkey AS target_geoid, w AS weight FROM (SELECT l_partkey, l_suppkey, sum(CASE WHEN l_discount > 0.02 THEN l_quantity END) AS w FROM lineitem GROUP BY ALL)
+    QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY w DESC NULLS LAST, l_suppkey) = 1"""
 )
 def heaviest_target(spark, sf):
     weights = b.read(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("source_geoid"), F.col("l_suppkey").alias("target_geoid")).agg(
-        F.sum("l_quantity").alias("weight")
+        F.sum(F.when(F.col("l_discount") > 0.02, F.col("l_quantity"))).alias("weight")
     )
     return history.best_by_weight(weights, "source_geoid", "target_geoid", "weight")
 
@@ -294,17 +297,35 @@ def merged_table(spark, sf):
     return spark.read.schema(old.schema).parquet(path)
 
 
+@query(
+    f"""SELECT {b.pad('c_nationkey', 2)} AS st, c_custkey AS id, max(CASE WHEN v = 1 THEN c_acctbal + 1 ELSE c_acctbal END) AS amount
+    FROM customer, (SELECT unnest([0, 1]) AS v) WHERE v = 0 OR c_custkey % 3 = 0 GROUP BY 1, 2"""
+)
+def merged_code_partitions(spark, sf):
+    """Merges into partitions named by codes with leading zeros; source keys come twice and every merge is run twice."""
+    rows = b.read(spark, sf, "customer").selectExpr(f"{b.pad('c_nationkey', 2)} AS st", "c_custkey AS id", "c_acctbal AS amount")
+    changed = rows.filter("id % 3 = 0").select("st", "id", (F.col("amount") + 1).alias("amount")).unionByName(rows.filter("id % 3 = 0"))
+    path = new_path(spark, "codes")
+    for part in (rows, changed, changed):
+        out = upsert.upsert_table(spark, path, part, ["id", "st"], ["st"])
+    return out.select("st", "id", "amount")
+
+
 @query("SELECT c_custkey AS id, CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal FROM customer")
 def updated_rows(spark, sf):
     rows = b.read(spark, sf, "customer").selectExpr("c_custkey AS id", "c_acctbal")
     return upsert.update_rows(rows, "c_acctbal < 0", {"c_acctbal": F.lit(0.0)})
 
 
+# Customers of orders that are not urgent get a key that no customer has.
+_URGENT_KEY = "CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey ELSE -1 - o_custkey END"
+
+
 @query(
-    """SELECT c_custkey, coalesce(n, -1) AS n FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) ON o_custkey = c_custkey"""
+    """SELECT c_custkey, coalesce(n, -1) AS n FROM customer LEFT JOIN (SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey ELSE -1 - o_custkey END AS k, count(*) AS n FROM orders GROUP BY 1) ON k = c_custkey"""
 )
 def updated_from_join(spark, sf):
-    counts = b.read(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
+    counts = b.read(spark, sf, "orders").groupBy(F.expr(_URGENT_KEY).alias("c_custkey")).agg(F.count("*").alias("n"))
     return upsert.update_from(b.read(spark, sf, "customer").select("c_custkey"), counts, "c_custkey", {"n": -1})
 
 
@@ -332,7 +353,7 @@ def broken_rules(spark, sf):
 @query("SELECT c_custkey FROM customer WHERE c_acctbal >= 0 AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
 def dangling_references(spark, sf):
     child = b.read(spark, sf, "customer").select("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("ref"))
-    parent = b.read(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select("o_custkey")
+    parent = b.read(spark, sf, "orders").select(F.expr(_URGENT_KEY).alias("o_custkey"))
     return quality.orphans(child, parent, {"ref": "o_custkey"}).select("c_custkey")
 
 
@@ -358,7 +379,7 @@ def top_states(spark, sf):
     return assignment.top_states(b.read(spark, sf, "orders").withColumnRenamed("o_orderpriority", "state_abbreviation"))
 
 
-_HOLDERS = "SELECT n_nationkey AS c_nationkey, concat('Gov ', n_name) AS governor, CASE WHEN n_nationkey % 2 = 0 THEN 'D' ELSE 'R' END AS party FROM {nation} WHERE n_nationkey <> 7"
+_HOLDERS = "SELECT CASE WHEN n_nationkey = 7 THEN -7 ELSE n_nationkey END AS c_nationkey, concat('Gov ', n_name) AS governor, CASE WHEN n_nationkey % 2 = 0 THEN 'D' ELSE 'R' END AS party FROM {nation}"
 
 
 @query(f"SELECT c_custkey AS id, governor, party FROM customer LEFT JOIN ({_HOLDERS.format(nation='nation')}) USING (c_nationkey)")

@@ -11,9 +11,15 @@ from pyspark.sql import functions as F
 ROAD_COLUMNS = {"linearid": "decimal(38,0)", "fullname": "string", "rttyp": "string", "mtfcc": "string", "geom": "string"}
 
 
-def matching_tables(spark: SparkSession, contains: str, year: str | None = None, state: str | None = None) -> list[str]:
-    """Names like `tl_YYYY_SS_...` that contain a word, by the year and state in them; highest state first."""
-    names = [t.name for t in spark.catalog.listTables() if contains in t.name]
+def matching_tables(
+    spark: SparkSession, contains: str, year: str | None = None, state: str | None = None, among: list[str] | None = None
+) -> list[str]:
+    """Names like `tl_YYYY_SS_...` that contain a word, by the year and state in them; highest state first.
+
+    The names come from `among`, or from all tables and views of the session.
+    """
+    names = [t.name for t in spark.catalog.listTables()] if among is None else among
+    names = [n for n in names if contains in n]
     if year:
         names = [n for n in names if n[3:7] == year]
     if state:

@@ -106,18 +106,32 @@ def test_table_names(spark):
     names = tables.matching_tables(spark, "roads", "2020", "46")
     assert sorted(names) == ["tl_2020_46001_roads", "tl_2020_46003_roads"]
     assert tables.union_tables(spark, names, {"linearid": "bigint", "fullname": "string"}).count() == 2
+    assert tables.matching_tables(spark, "roads", "2020", "46", among=["tl_2020_46001_roads"]) == ["tl_2020_46001_roads"]
+    for table in spark.catalog.listTables():
+        if table.name.startswith("tl_"):
+            spark.catalog.dropTempView(table.name)
 
 
 def test_geojson(spark):
     df = spark.createDataFrame([("1", as_rings(box(0, 0, 4, 4), box(1, 1, 2, 2)[::-1], box(9, 9, 10, 10))), ("2", None)], f"geoid string, rings {g.RINGS}")
     import json
 
-    text = geojson.collection(geojson.features(df, ["geoid"])).first().collection
+    text = geojson.collection(geojson.features(df, ["geoid"]), ["geoid"]).first().collection
     out = json.loads(text)
     by_id = {f["properties"]["geoid"]: f["geometry"] for f in out["features"]}
     assert [len(p) for p in by_id["1"]["coordinates"]] == [2, 1] and by_id["2"] is None
 
 
+def test_collection_order_and_bound(spark):
+    import json
+
+    page = spark.createDataFrame([(n, f'{{"id":{n % 3},"n":{n}}}') for n in (3, 1, 2)], "rank int, feature string")
+    assert [f["n"] for f in json.loads(geojson.collection(page, ["rank"]).first().collection)["features"]] == [1, 2, 3]
+    many = spark.range(501).selectExpr("id", "'{}' AS feature")
+    with pytest.raises(Exception, match="at most 500"):
+        geojson.collection(many, ["id"]).first()
+
+
 def test_work_dir_setting():
     class Stub:
         class sparkContext:
@@ -254,6 +268,34 @@ def test_crosswalk_needs_both_vintages(spark):
     assert enrichment.apply_crosswalk(periods, walk, vintages.filter("decade < 2020"), 2010, 2020).count() == 0
 
 
+def test_repeated_geocodes_give_one_address(spark):
+    rows = spark.createDataFrame([(1,), (2,)], "id long")
+    schema = "id long, matched boolean, lat double, lon double, match_type string, state_fips string, county_fips string, tract string, block string, result_order int"
+    census = spark.createDataFrame([(1, True, 3.0, 5.0, "Exact", "11", "001", "006202", "1031", 1), (1, True, 2.0, 5.0, "Later", "11", "001", "006202", "1031", 2)], schema)
+    second = spark.createDataFrame([(2, 9.0, 9.0), (2, 8.0, 8.0), (2, None, 8.0)], "id long, lat double, lon double")
+    got = sorted((r.id, r.latitude, r.geocode_quality) for r in geocoding.match_geocodes(rows, census, second).collect())
+    assert got == [(1, 2.0, "Later"), (2, 9.0, "Approximate")]
+
+
+def test_no_known_code_gives_no_rows(spark):
+    from plumbline.operators.pivot import to_long
+
+    out = to_long(spark.createDataFrame([("1", "5")], "geoid string, OTHER string"), ["geoid"], ["B01001_001E"])
+    assert out.columns == ["geoid", "variable_code", "value", "moe_value"] and out.count() == 0
+
+
+def test_medians_are_not_summed(spark):
+    variables = warehouse.variable_dimension(spark, ["B01002_001E", "B01001_001E", "ZZ_1"], "acs5", {"ZZ": "extensive"})
+    assert {r.variable_code: r.variable_type for r in variables.collect()} == {"B01002_001E": "intensive", "B01001_001E": "extensive", "ZZ_1": "extensive"}
+    facts = spark.createDataFrame([("06037000100", c, 40.0) for c in ("B01002_001E", "B01001_001E", "YY_1")], "geoid string, variable_code string, estimate double")
+    assert {r.variable_code for r in warehouse.roll_up(facts, variables).collect()} == {"B01001_001E"}
+
+
+def test_page_limit(spark):
+    with pytest.raises(ValueError, match="at most"):
+        serving.page(spark.range(3), ["id"], 1, 10**6)
+
+
 def test_geocode_modes(spark):
     rows = spark.createDataFrame([(1,), (2,), (3,)], "id long")
     census = spark.createDataFrame([(1, True, 0.0, 5.0, "Exact", "11", "001", "006202", "1031")], "id long, matched boolean, lat double, lon double, match_type string, state_fips string, county_fips string, tract string, block string")

@@ -203,6 +203,19 @@ def test_upsert_table_leaves_other_partitions(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "t" / "part=y").iterdir()) == before
 
 
+def test_upsert_keeps_codes_and_reduces_keys(spark, tmp_path):
+    path, schema = str(tmp_path / "c"), "id int, st string, v int"
+    for rows in ([(1, "01", 1), (2, "10", 1), (3, None, 1)], [(1, "01", 5), (1, "01", 7), (4, "02", 2)], [(3, None, 9)]):
+        out = upsert.upsert_table(spark, path, spark.createDataFrame(rows, schema), ["id", "st"], ["st"], ["v"])
+    assert {tuple(r) for r in out.select("id", "st", "v").collect()} == {(1, "01", 7), (2, "10", 1), (3, None, 9), (4, "02", 2)}
+
+
+def test_null_weights_come_last(spark):
+    df = spark.createDataFrame([("a", "t1", None), ("a", "t2", 0.9), ("b", "t3", None)], "s string, t string, w double")
+    got = sorted(map(tuple, history.best_by_weight(df, "s", "t", "w").collect()))
+    assert got == [("a", "t2", 0.9), ("b", "t3", None)]
+
+
 def test_best_by_weight_ties(spark):
     df = spark.createDataFrame([("a", "t2", 1.0), ("a", "t1", 1.0), ("a", "t3", 0.5)], "s string, t string, w double")
     assert tuple(history.best_by_weight(df, "s", "t", "w").first()) == ("a", "t1", 1.0)

@@ -133,3 +133,15 @@ def test_cells_carry_less_than_all_edges(world):
     index = grid.cell_index(polys)
     whole = index.filter("_whole").agg(F.max(F.size("_edges"))).first()[0]
     assert whole == 0
+
+
+def test_cells_of_detailed_polygons_stay_short(spark):
+    """The edges of a cell grow with the square root of all, not with all."""
+    mean = {}
+    for n in (400, 20_000):
+        angle = np.linspace(0, 2 * np.pi, n, endpoint=False)
+        ring = list(zip((100 * np.cos(angle)).tolist(), (100 * np.sin(angle)).tolist()))
+        rows = spark.createDataFrame([("c", as_rings([*ring, ring[0]]))], f"geoid string, rings {g.RINGS}")
+        index = grid.cell_index(rows)
+        mean[n] = index.filter("NOT _whole").agg(F.avg(F.size("_edges"))).first()[0]
+    assert mean[20_000] < 1.5 * 50**0.5 * mean[400]
