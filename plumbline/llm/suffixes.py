@@ -41,7 +41,7 @@ RUN = LENGTH - GRAM + 1
 HOT_RUNS = 256
 # Groups of so few runs are first tested for having anything in common.
 FEW = 6
-BUCKET_BYTES = 32_000_000
+BUCKET_BYTES = 8_000_000
 LAST = (1 << 63) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -243,7 +243,7 @@ def _firsts(keys, hashes, ids, starts) -> tuple[np.ndarray, np.ndarray]:
     return np.sort(order[same]), order[~same]
 
 
-def met_runs(sent: DataFrame) -> DataFrame:
+def met_runs(sent: DataFrame, buckets: int) -> DataFrame:
     """`doc_id, code, kind, data`: spans to remove, and runs to fetch as key, start and number of strings."""
     out = arrow_schema(PARTS)
 
@@ -267,7 +267,7 @@ def met_runs(sent: DataFrame) -> DataFrame:
         columns = zip(*rows) if rows else [[]] * 4
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
-    return sent.groupBy("bucket").applyInArrow(run, PARTS)
+    return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, PARTS)
 
 
 def fetched(docs: DataFrame, parts: DataFrame, buckets: int) -> DataFrame:
@@ -346,7 +346,7 @@ def repeated_starts(texts: list[bytes], heads: list[tuple[int, int]]) -> list[li
     return gone
 
 
-def repeats(rows: DataFrame) -> DataFrame:
+def repeats(rows: DataFrame, buckets: int) -> DataFrame:
     """Spans to remove among fetched runs, as `doc_id, code, kind, data`."""
     out = arrow_schema(PARTS)
 
@@ -367,7 +367,8 @@ def repeats(rows: DataFrame) -> DataFrame:
         columns = zip(*found) if found else [[]] * 4
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
-    sorted_out = rows.filter("NOT hot").groupBy("bucket").applyInArrow(run, PARTS)
+    # Little data and much work: a number of partitions of its own keeps it spread.
+    sorted_out = rows.filter("NOT hot").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, PARTS)
     hot = rows.filter("hot").select("text", "doc_id", "code", "start")
     first = hot.groupBy("text").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     later = hot.join(first, "text").filter(F.struct("doc_id", "start") > F.col("first"))
@@ -388,8 +389,8 @@ def spans_removed(df: DataFrame) -> DataFrame:
     docs = df.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("code"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
-    parts = spool(met_runs(sent_runs(docs, buckets)), "met")
-    more = spool(repeats(spool(fetched(docs, parts, 4 * buckets), "runs")), "repeats")
+    parts = spool(met_runs(sent_runs(docs, buckets), buckets), "met")
+    more = spool(repeats(spool(fetched(docs, parts, 4 * buckets), "runs"), buckets), "repeats")
     gone = parts.filter(F.col("kind") == REMOVE).union(more)
     return gone.groupBy("doc_id", "code").agg(F.collect_list("data").alias("parts"))
 
