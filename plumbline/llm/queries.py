@@ -96,7 +96,52 @@ def op7_top_products(spark, sf_dir):
     return topk.top_products(table(spark, sf_dir, "embeddings"))
 
 
-@query()
+# The four shares with their margins, the bucket of a value, and the quantiles of each level as in the operator.
+_VERDICTS = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '<null>') AS lang, coalesce(source, '<null>') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, [x FOR x IN string_split_regex(text, '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM t),
+windows AS (
+  SELECT r, i, words[i] || chr(10) || words[i + 1] || chr(10) || words[i + 2] AS g
+  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 1, 1))) AS i FROM w)),
+repeats AS (
+  SELECT r, count(DISTINCT p) AS n FROM (
+    SELECT r, unnest([i, i + 1, i + 2]) AS p FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows) WHERE n > 1) GROUP BY r),
+lines AS (
+  SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+c AS (
+  SELECT w.r, doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(lines.dup, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals
+  FROM w LEFT JOIN repeats ON repeats.r = w.r LEFT JOIN lines ON lines.r = w.r),
+f AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    CAST(1000 * n_symbols // greatest(word_chars, 1) AS BIGINT) AS s_symbols, CAST(1000 * n_capitals // greatest(word_chars, 1) AS BIGINT) AS s_capitals,
+    CAST(1000 * n_dup_lines // greatest(n_lines, 1) AS BIGINT) AS s_dup_lines, CAST(1000 * n_repeat_words // greatest(n_words, 1) AS BIGINT) AS s_repeats
+  FROM c),
+v AS (
+  SELECT r, lang, source, base_failed, e.share, e.v, e.margin,
+    e.v - e.v % (CASE WHEN e.v < 32 THEN 1 WHEN e.v < 64 THEN 2 WHEN e.v < 128 THEN 4 WHEN e.v < 256 THEN 8 WHEN e.v < 512 THEN 16 ELSE 32 END) AS bucket
+  FROM (SELECT r, lang, source, base_failed, unnest([
+    {'share': 'symbols', 'v': s_symbols, 'margin': 50}, {'share': 'capitals', 'v': s_capitals, 'margin': 150},
+    {'share': 'dup_lines', 'v': s_dup_lines, 'margin': 500}, {'share': 'repeats', 'v': s_repeats, 'margin': 400}]) AS e FROM f)),
+q0 AS (SELECT lang, source, share, list_sort(list(bucket)) AS b FROM v WHERE NOT base_failed GROUP BY ALL),
+q1 AS (SELECT lang, share, list_sort(list(bucket)) AS b FROM v WHERE NOT base_failed GROUP BY ALL),
+q2 AS (SELECT share, list_sort(list(bucket)) AS b FROM v WHERE NOT base_failed GROUP BY ALL),
+chosen AS (
+  SELECT v.r, v.v, v.margin, CASE WHEN len(q0.b) >= 200 THEN q0.b WHEN len(q1.b) >= 200 THEN q1.b ELSE q2.b END AS b
+  FROM v LEFT JOIN q0 ON q0.lang = v.lang AND q0.source = v.source AND q0.share = v.share
+  LEFT JOIN q1 ON q1.lang = v.lang AND q1.share = v.share LEFT JOIN q2 ON q2.share = v.share WHERE NOT v.base_failed),
+passed AS (
+  SELECT r, bool_and(v <= b[(50 * len(b) + 99) // 100] + 4 * (b[(75 * len(b) + 99) // 100] - b[(50 * len(b) + 99) // 100]) + margin) AS within
+  FROM chosen GROUP BY r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(within, false) AS kept,
+  s_symbols, s_capitals, s_dup_lines, s_repeats FROM f LEFT JOIN passed ON passed.r = f.r
+"""
+
+
+@query(_VERDICTS)
 def op8_quality_rules(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
 
