@@ -177,6 +177,12 @@ def _by_document(ids: np.ndarray, codes: np.ndarray, rows: list[np.ndarray]) ->
 REMOVE, FETCH, FETCH_HOT = 0, 1, 2
 
 
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Keys are smallest hashes and so lie low; they are mixed again to spread them evenly."""
+    mixed = (keys ^ (keys >> np.uint64(32))) * _MIX
+    return ((mixed >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
 def sent_runs(docs: DataFrame, buckets: int) -> DataFrame:
     """`bucket, doc_id, code, data`: first runs of each batch by bucket of their key; what goes already, in buckets below 0."""
 
@@ -199,7 +205,7 @@ def sent_runs(docs: DataFrame, buckets: int) -> DataFrame:
             for doc_id, code, (s, c) in _by_document(ids[gone], codes[gone], [starts[gone], counts[gone]]):
                 for k, v in zip(out, (-1 - doc_id % buckets, doc_id, code, _spans(s, c))):
                     out[k].append(v)
-            place = ((keys[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            place = bucket_of(keys[first], buckets)
             rank = np.argsort(place, kind="stable")
             first, place = first[rank], place[rank]
             cuts = np.flatnonzero(np.diff(place)) + 1
@@ -281,12 +287,13 @@ def fetched(docs: DataFrame, parts: DataFrame, buckets: int) -> DataFrame:
             for doc_id, code, text, asked in zip(*(batch[k] for k in ("doc_id", "code", "text", "asked"))):
                 data = text.encode("utf-8", "replace")
                 for part in asked:
-                    for key, start, count in np.frombuffer(part["data"], np.int64).reshape(-1, 3).tolist():
+                    runs = np.frombuffer(part["data"], np.int64).reshape(-1, 3)
+                    for place, (key, start, count) in zip(bucket_of(runs[:, 0].view(np.uint64), buckets).tolist(), runs.tolist()):
                         own = [(start, data[start : start + count + LENGTH - 1])]
                         if part["kind"] == FETCH_HOT:
                             own = [(s, hashlib.blake2b(data[s : s + LENGTH], digest_size=16).digest()) for s in range(start, start + count)]
                         for s, piece in own:
-                            row = (((key & (1 << 64) - 1) >> 32) * buckets >> 32, key, doc_id, code, s, piece, part["kind"] == FETCH_HOT)
+                            row = (place, key, doc_id, code, s, piece, part["kind"] == FETCH_HOT)
                             for k, v in zip(out, row):
                                 out[k].append(v)
             return out
