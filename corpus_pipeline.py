@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plumbline.llm import jaccard, packing, quality, secrets, suffixes
-from plumbline.session import new_path, spool
+from plumbline.session import new_path
 
 # Texts without what was removed or masked keep the columns of `documents`; n_chars follows the text.
 MASK = "[secret]"
@@ -18,15 +17,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies.
+    """One document of each group of near copies: that with the smallest id.
 
-    Rows that share that id all stay, and so do rows without an id that are linked
-    with nothing that has one.
+    Rows without an id come last in their group. Of one id's texts in a group the
+    one with the smallest hash stays, and of rows equal in id and text any one.
     """
-    groups = jaccard.jaccard_components(docs)
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = spool(groups.filter(first).select("doc_id").distinct(), "kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return jaccard.representatives(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

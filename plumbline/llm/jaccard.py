@@ -90,8 +90,14 @@ def needed(n: Column) -> Column:
     return n - F.ceil(n * THRESHOLD / 100.0).cast("long") + 1
 
 
+def row_key(df: DataFrame) -> Column:
+    """Hash of a row's id and text, never null; rows equal in both share it."""
+    text = F.coalesce(F.concat(F.lit("="), df["text"]), F.lit(""))
+    return F.unhex(F.md5(F.concat(F.coalesce(df["doc_id"].cast("long").cast("string"), F.lit("")), text)))
+
+
 def sizes(df: DataFrame) -> DataFrame:
-    """`doc_id, n, sig` of every row, and for each batch the shingles often met in it: `doc_id` null, `hot` set."""
+    """`doc_id, row, n, sig` of every row, and for each batch the shingles often met in it: `doc_id` null, `hot` set."""
 
     def make():
         shingle = Shingler()
@@ -103,18 +109,20 @@ def sizes(df: DataFrame) -> DataFrame:
             often = times >= max(3, len(every) // HEAVY_SHARE)
             out = {
                 "doc_id": batch["doc_id"],
+                "row": batch["row"],
                 "n": [len(s) for s in sets],
                 "sig": [fingerprint(s) if len(s) else None for s in sets],
                 "hot": [None] * len(sets),
             }
             for h, t in zip(found[often].view(np.int64).tolist(), times[often].tolist()):
-                for k, v in zip(out, (None, t, None, h)):
+                for k, v in zip(out, (None, None, t, None, h)):
                     out[k].append(v)
             return out
 
         return run
 
-    return map_rows(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, "doc_id long, n long, sig binary, hot long")
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), row_key(df).alias("row"), "text"]
+    return map_rows(df.select(*columns), make, "doc_id long, row binary, n long, sig binary, hot long")
 
 
 def packed_shingles(df: DataFrame, heavy: np.ndarray, buckets: int) -> DataFrame:
@@ -351,8 +359,8 @@ def links_and_components(sets: DataFrame) -> DataFrame:
     return component.join(joined, "component").select("node", F.col("joined").alias("component"))
 
 
-def jaccard_components(df: DataFrame) -> DataFrame:
-    """`doc_id, n_shingles, component_id` of every row."""
+def placed_rows(df: DataFrame) -> DataFrame:
+    """`doc_id, row, n, sig, component` of every row; without words the component is null."""
     measured = spool(sizes(df), "sizes")
     docs = measured.filter("hot IS NULL")
     total = docs.agg(F.sum("n")).first()[0] or 0
@@ -367,7 +375,34 @@ def jaccard_components(df: DataFrame) -> DataFrame:
     sets = spool(records(shared_shingles(packed), heavy), "sets")
     component = links_and_components(sets)
     placed = docs.join(component.withColumnRenamed("node", "sig"), "sig", "left")
-    placed = spool(placed.withColumn("component", F.coalesce("component", "sig")).drop("hot"), "placed")
+    return spool(placed.withColumn("component", F.coalesce("component", "sig")).drop("hot"), "placed")
+
+
+def jaccard_components(df: DataFrame) -> DataFrame:
+    """`doc_id, n_shingles, component_id` of every row."""
+    placed = placed_rows(df)
     least = placed.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = placed.join(least, "component", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def representatives(df: DataFrame) -> DataFrame:
+    """The row with the smallest id of each component, rows without an id last, with all columns of `df`.
+
+    Rows equal in id and text are one document. Rows without words are a component
+    each, or all those of one id with the same text; without an id, all stay.
+    """
+    placed = placed_rows(df)
+    worded = F.col("component").isNotNull()
+    # Rows of one key have one text, so they lie in one component.
+    keys = placed.filter(worded | F.col("doc_id").isNotNull()).groupBy("row", "doc_id", "component").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "n")
+    least = keys.filter(worded).groupBy("component").agg(F.min(order).alias("first")).select("first.row", "first.n")
+    loose = placed.filter(~worded & F.col("doc_id").isNull()).select("row", F.lit(1).cast("long").alias("n")).distinct()
+    kept = spool(least.union(keys.filter(~worded).select("row", "n")).union(loose), "kept")
+    rows = df.withColumn("_row", row_key(df))
+    once, often = (kept.filter(c).select(F.col("row").alias("_row")) for c in ("n = 1", "n > 1"))
+    out = rows.join(once, "_row", "left_semi")
+    if not often.isEmpty():
+        out = out.unionByName(rows.join(often, "_row", "left_semi").dropDuplicates(["_row"]))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])

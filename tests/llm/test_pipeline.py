@@ -109,3 +109,26 @@ def test_edges(spark):
         docs = stage(spark, docs, SF_DIR)
     want = re.sub('api_key.*f(?=")', "[secret]", text)
     assert [tuple(r) for r in docs.collect()] == [(5, want, "en", "s", len(want), "extra")]
+
+
+def test_one_row_of_each_group_stays(spark):
+    def text(k, *more):
+        return " ".join([*(f"t{k}w{i}" for i in range(80)), *more])
+
+    rows = [
+        (None, text(1)), (None, text(1)), (None, text(1, "x")),  # near copies, none with an id
+        (None, text(2)), (4, text(2)), (3, text(2, "x")),  # linked with ids
+        (5, text(3)), (5, text(3, "x")), (5, text(4)),  # one id, two texts that link and one that does not
+        (6, text(5)), (6, text(5)), (6, text(5)),  # repeats of the smallest id
+        (7, text(6)), (8, text(6)), (8, text(6)),  # repeats of another
+        (None, text(7)),  # linked with nothing
+        (9, None), (9, None), (9, ""), (None, None), (None, None),
+    ]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    got = corpus_pipeline.jaccard_join(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    got = [(r.doc_id, r.text and r.text.split()[0][:2], r.text) for r in got.collect()]
+    heads = sorted(((d, h) for d, h, t in got if t), key=str)
+    assert heads == sorted([(None, "t1"), (3, "t2"), (5, "t3"), (5, "t4"), (6, "t5"), (7, "t6"), (None, "t7")], key=str)
+    # Rows without words link with nothing.
+    assert sorted(((d, t) for d, _, t in got if not t), key=str) == sorted([(9, None), (9, ""), (None, None), (None, None)], key=str)
