@@ -10,16 +10,20 @@ contributions are summed.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
 from plumbline.functions import measures as m
+from plumbline.operators.components import connected_components
 from plumbline.operators.grid import CELL, box_cells, prepared_index, zoom
+from plumbline.session import spool
 
 # Relative width of the strip around an edge that counts as lying on it.
 _TOLERANCE = 1e-9
+# Side of the bins in which ends of one corner meet, against the largest coordinate.
+_SNAP = 1e-8
 
 
 def _grid_cuts(a: str, b: str, size: str) -> str:
@@ -140,47 +144,92 @@ def overlap_areas(
 def overlap_geometry(
     a: DataFrame, b: DataFrame, *, a_key: str, b_key: str, rings: str = "rings", on: tuple[str, ...] = (), splits: int | None = None
 ) -> DataFrame:
-    """`(a_key, b_key, on..., rings)`: the common part of each pair.
-
-    One group holds the boundary of one pair's common part and nothing else.
-    """
+    """`(a_key, b_key, on..., rings)`: the common part of each pair."""
     at = "named_struct('x', _e.x1 + {0} * (_e.x2 - _e.x1), 'y', _e.y1 + {0} * (_e.y2 - _e.y1))"
     parts = _stretches(a, b, a_key, b_key, rings, on, splits).withColumn("_s", F.explode("_in"))
     segments = parts.select(
         a_key, b_key, *on,
         F.expr(at.format("_s.t0")).alias("_p"), F.expr(at.format("_s.t1")).alias("_q"),
     ).select(a_key, b_key, *on, F.col("_p.x").alias("x1"), F.col("_p.y").alias("y1"), F.col("_q.x").alias("x2"), F.col("_q.y").alias("y2"))
-    keys = [a_key, b_key, *on]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in segments.schema if f.name in keys)
-
-    def stitch(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([[*key, _join_rings(pdf)]], columns=[*keys, "rings"])
-
-    return segments.groupBy(*keys).applyInPandas(stitch, f"{fields}, rings {g.RINGS}")
-
-
-def _join_rings(pdf: pd.DataFrame) -> list:
-    """Directed segments joined end to start into closed rings."""
-    scale = max(1.0, float(pdf[["x1", "y1"]].abs().to_numpy().max()))
-    snap = 1e-8 * scale
-    starts: dict[tuple, list[tuple]] = {}
-    for x1, y1, x2, y2 in pdf[["x1", "y1", "x2", "y2"]].itertuples(index=False):
-        starts.setdefault((round(x1 / snap), round(y1 / snap)), []).append((x1, y1, x2, y2))
-    rings = []
-    while starts:
-        origin = at = next(iter(starts))
-        ring = []
-        while at in starts:
-            x1, y1, x2, y2 = starts[at].pop()
-            if not starts[at]:
-                del starts[at]
-            ring.append({"x": x1, "y": y1})
-            at = (round(x2 / snap), round(y2 / snap))
-            if at == origin:
-                break
-        if at == origin and len(ring) > 2:
-            rings.append([*ring, ring[0]])
-    return rings
+    return stitched(segments, [a_key, b_key, *on])
+
+
+def stitched(segments: DataFrame, keys: list[str]) -> DataFrame:
+    """`keys..., rings`: directed segments `x1, y1, x2, y2` joined end to start into closed rings.
+
+    Ends of one corner may differ by rounding: ends in the same or in adjoining
+    bins of _SNAP of the group's largest coordinate are one corner. Segments are
+    rows throughout; only a group's finished rings meet. Raises ValueError where
+    a chain does not close.
+    """
+    segments = spool(segments.withColumn("_seg", F.monotonically_increasing_id()), "segments")
+    largest = F.max(F.greatest(F.lit(1.0), *[F.abs(c) for c in ("x1", "y1", "x2", "y2")]))
+    groups = segments.groupBy(*keys).agg(largest.alias("_scale"))
+    groups = spool(groups.withColumn("_group", F.monotonically_increasing_id()), "groups")
+    named = groups.select(F.col("_group"), F.col("_scale"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same &= segments[k].eqNullSafe(F.col(f"_k{i}"))
+
+    def bin_of(x, y):
+        cell = [F.floor(F.col(c) / (_SNAP * F.col("_scale"))) for c in (x, y)]
+        return F.struct("_group", cell[0].alias("bx"), cell[1].alias("by"))
+
+    placed = segments.join(named, same).select("_seg", "_group", "x1", "y1", bin_of("x1", "y1").alias("_from"), bin_of("x2", "y2").alias("_to"))
+    placed = _cornered(spool(placed, "placed"))
+    ends = placed.select(F.col("_from").alias("c"), F.lit(1).alias("n")).union(placed.select(F.col("_to").alias("c"), F.lit(-1).alias("n")))
+    open_ends = ends.groupBy("c").agg(F.sum("n").alias("n")).filter("n != 0")
+    if broken := open_ends.select("c._group").distinct().count():
+        raise ValueError(f"the boundary of the common part does not close in {broken} groups")
+    ringed = _ring_places(placed)
+    points = F.array_sort(F.collect_list(F.struct("_place", "x1", "y1")))
+    rings = ringed.groupBy("_group", "_ring").agg(points.alias("_p")).filter(F.size("_p") > 2)
+    closed = "transform(concat(_p, slice(_p, 1, 1)), st_p -> named_struct('x', st_p.x1, 'y', st_p.y1))"
+    rings = rings.select("_group", "_ring", F.expr(closed).alias("_points")).groupBy("_group")
+    rings = rings.agg(F.array_sort(F.collect_list(F.struct("_ring", "_points"))).alias("_rings"))
+    out = groups.join(rings, "_group", "left")
+    return out.select(*keys, F.coalesce(F.col("_rings._points"), F.expr(f"CAST(array() AS {g.RINGS})")).alias("rings"))
+
+
+def _cornered(placed: DataFrame) -> DataFrame:
+    """`_from, _to` replaced by one bin for all adjoining ones; segments within a corner go."""
+    bins = placed.select(F.col("_from").alias("node")).union(placed.select(F.col("_to").alias("node"))).distinct()
+    bins = spool(bins, "bins")
+    beside = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((1, 0), (0, 1), (1, 1), (1, -1))]))
+    near = bins.withColumn("_d", beside).select(
+        F.col("node").alias("src"),
+        F.struct("node._group", (F.col("node.bx") + F.col("_d.x")).alias("bx"), (F.col("node.by") + F.col("_d.y")).alias("by")).alias("dst"),
+    )
+    links = spool(near.join(bins.withColumnRenamed("node", "dst"), "dst", "left_semi").select("src", "dst"), "links")
+    linked = links.select(F.col("src").alias("node")).union(links.select("dst")).distinct()
+    merged = spool(connected_components(linked, links).filter("node != component"), "corners")
+    for end in ("_from", "_to"):
+        placed = placed.join(merged.withColumnRenamed("node", end), end, "left")
+        placed = placed.withColumn(end, F.coalesce("component", end)).drop("component")
+    return spool(placed.filter("_from != _to"), "cornered")
+
+
+def _ring_places(placed: DataFrame) -> DataFrame:
+    """`_group, x1, y1, _ring, _place` of every segment.
+
+    The n-th segment into a corner goes on with the n-th out of it. Places are
+    found by doubling: each round, a segment looks twice as far ahead.
+    """
+    nth = lambda end: F.row_number().over(W.partitionBy(end).orderBy("_seg"))
+    into = placed.select("_seg", F.col("_to").alias("c"), nth("_to").alias("n"))
+    out = placed.select(F.col("_seg").alias("_next"), F.col("_from").alias("c"), nth("_from").alias("n"))
+    follows = spool(into.join(out, ["c", "n"]).select("_seg", "_next"), "follows")
+    rings = connected_components(follows.select(F.col("_seg").alias("node")), follows.select(F.col("_seg").alias("src"), F.col("_next").alias("dst")))
+    rings = spool(rings.select(F.col("node").alias("_seg"), F.col("component").alias("_ring")), "rings")
+    # The ring's first segment is the one that names it.
+    ahead = follows.join(rings, "_seg").withColumn("_next", F.expr("CASE WHEN _next != _ring THEN _next END"))
+    ahead = spool(ahead.select("_seg", "_next", F.expr("CASE WHEN _next IS NULL THEN 0L ELSE 1L END").alias("_left")), "ahead")
+    while not ahead.filter("_next IS NOT NULL").isEmpty():
+        then = ahead.select(F.col("_seg").alias("_next"), F.col("_next").alias("_far"), F.col("_left").alias("_more"))
+        far = ahead.join(then, "_next", "left")
+        ahead = spool(far.select("_seg", F.col("_far").alias("_next"), (F.col("_left") + F.coalesce("_more", F.lit(0))).alias("_left")), "ahead")
+    found = placed.join(rings, "_seg").join(ahead.select("_seg", (-F.col("_left")).alias("_place")), "_seg")
+    return found.select("_group", "x1", "y1", "_ring", "_place")
 
 
 def intersection_table(

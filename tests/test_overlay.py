@@ -4,7 +4,7 @@ from shapes import as_rings, box, inside, star
 
 from plumbline.functions import geometry as g
 from plumbline.operators.hull import convex_hulls, enclosing_circle, hull_vertices, reock_scores
-from plumbline.operators.overlay import intersection_table, overlap_areas, overlap_geometry
+from plumbline.operators.overlay import intersection_table, overlap_areas, overlap_geometry, stitched
 
 A = f"a string, rings {g.RINGS}"
 B = f"b string, rings {g.RINGS}"
@@ -87,6 +87,35 @@ def test_geometry_has_the_area(spark):
     assert all(got[k] == pytest.approx(want[k], rel=1e-6) for k in got)
 
 
+def test_geometry_with_corners_between_bins(spark):
+    rng = np.random.default_rng(13)
+    a, b = {}, {}
+    for i in range(300):
+        # Sides at half and at whole steps of 1e-8 of the largest coordinate, crossed by slanted ones.
+        x, w = (rng.integers(2e7, 4e7, 2) + rng.choice([0, 0.5])) * 1e-7
+        a[str(i)] = [box(x, 0, x + w, 10)]
+        b[str(i)] = [[(0, 1 + rng.uniform()), (10, 2 + rng.uniform()), (10, 10), (0, 10)]]
+        b[str(i)][0].append(b[str(i)][0][0])
+    fa, fb = (f.withColumn("k", f[c]) for f, c in zip(frames(spark, a, b), "ab"))
+    shape = overlap_geometry(fa, fb, a_key="a", b_key="b", on=("k",))
+    got = {r.a: r.area for r in shape.selectExpr("a", f"{g.area('rings')} area").collect()}
+    want = {r.a: r.overlap_area for r in overlap_areas(fa, fb, a_key="a", b_key="b", on=("k",)).collect()}
+    assert len(got) == 300 and got == {k: pytest.approx(v, rel=1e-6) for k, v in want.items()}
+
+
+def test_stitching_joins_ends_an_ulp_apart(spark):
+    x = 4.0000000499999995
+    over, schema = float(np.nextafter(4.00000005, 5)), "k string, x1 double, y1 double, x2 double, y2 double"
+    sides = [("p", 0.0, 0.0, x, 0.0), ("p", over, 0.0, x, 1.0), ("p", over, 1.0, 0.0, 1.0), ("p", 0.0, 1.0, 0.0, 0.0)]
+    # Two boxes that touch in a corner, of a group without a name.
+    rings = [box(c, c, c + 1, c + 1) for c in (0.0, 1.0)]
+    sides += [(None, *map(float, (*p, *q))) for ring in rings for p, q in zip(ring, ring[1:])]
+    got = {r.k: r.area for r in stitched(spark.createDataFrame(sides, schema), ["k"]).selectExpr("k", f"{g.area('rings')} area").collect()}
+    assert got == {"p": pytest.approx(4.00000005), None: pytest.approx(2.0)}
+    with pytest.raises(ValueError, match="does not close in 1 groups"):
+        stitched(spark.createDataFrame(sides[1:], schema), ["k"])
+
+
 def test_intersection_table(spark):
     county = [("01001", 2020, as_rings(box(0, 0, 10, 10))), ("01003", 2020, as_rings(box(10, 0, 20, 10)))]
     cds = [("0101", 2020, as_rings(box(-5, -5, 10.05, 15))), ("0102", 2020, as_rings(box(12, 2, 14, 4))), ("0103", 2010, as_rings(box(0, 0, 20, 10)))]
