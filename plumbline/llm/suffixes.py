@@ -379,16 +379,17 @@ def repeats(rows: DataFrame, buckets: int) -> DataFrame:
     hot = rows.filter("hot").select("text", "doc_id", "code", "start")
     first = hot.groupBy("text").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     later = hot.join(first, "text").filter(F.struct("doc_id", "start") > F.col("first"))
+    starts = later.groupBy("doc_id", "code").agg(F.array_sort(F.collect_set("start")).alias("starts"))
 
     def make():
         def spans(batch):
-            n = len(batch["start"])
-            data = [_spans(np.array([s]), np.array([1])) for s in batch["start"]]
+            n = len(batch["starts"])
+            data = [_spans(s := np.array(each, np.int64), np.ones(len(s), np.int64)) for each in batch["starts"]]
             return {"doc_id": batch["doc_id"], "code": batch["code"], "kind": [REMOVE] * n, "data": data}
 
         return spans
 
-    return sorted_out.union(map_rows(later.select("doc_id", "code", "start"), make, PARTS))
+    return sorted_out.union(map_rows(starts, make, PARTS))
 
 
 def spans_removed(df: DataFrame) -> DataFrame:
