@@ -30,12 +30,13 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from plumbline.llm.frames import map_rows
+from plumbline.llm.frames import map_rows, stage_cache
 
 END = "</w>"
-# Encoded pieces and words kept by a Python worker before it starts over.
+# Encoded pieces, words and characters of pieces kept by a Python worker before it starts over.
 CACHE_PIECES = 800_000
 CACHE_WORDS = 600_000
+CACHE_CHARS = 16_000_000
 # Words of more symbols are merged with a heap, whose cost does not grow with the square of the length.
 LONG_WORD = 100
 # Characters that str.split() takes as white space and the vocabulary does not.
@@ -235,8 +236,10 @@ class PieceCache:
         self.words: dict[str | int, object] = {}
         self.pieces: dict[str, object] = {}
         self.gaps = False
+        self.chars = 0
 
     def _learn(self, new: list[str]) -> None:
+        self.chars += sum(map(len, new))
         split = list(map(self.bpe.pieces_words, new))
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
@@ -255,8 +258,10 @@ class PieceCache:
     def texts(self, texts: list[str | None]) -> list[list]:
         """For each text, the rendered pieces that have tokens."""
         split = [pieces_of(t or "") for t in texts]
-        if len(self.pieces) > CACHE_PIECES:
+        if len(self.pieces) > CACHE_PIECES or self.chars > CACHE_CHARS:
             self.pieces.clear()
+            self.words.clear()
+            self.chars = 0
         if new := set().union(*split).difference(self.pieces):
             self._learn(list(new))
         get = self.pieces.__getitem__
@@ -265,7 +270,6 @@ class PieceCache:
         return [list(map(get, ps)) for ps in split]
 
 
-@functools.cache
 def _string_cache(path: str) -> PieceCache:
     def render(bpe: WordBpe, ids: list[int]) -> tuple[str, str]:
         return " ".join(map(bpe.numbers.__getitem__, ids)), " ".join(map(bpe.texts.__getitem__, ids))
@@ -273,15 +277,21 @@ def _string_cache(path: str) -> PieceCache:
     return PieceCache(path, render, lambda forms: tuple(map(" ".join, zip(*forms))))
 
 
-@functools.cache
 def _id_cache(path: str) -> PieceCache:
     return PieceCache(path, lambda bpe, ids: array.array("I", ids).tobytes(), b"".join)
 
 
+def _cached(make: Callable[[str], PieceCache], path: str) -> PieceCache:
+    held = stage_cache()
+    if (make, path) not in held:
+        held[make, path] = make(path)
+    return held[make, path]
+
+
 def encode(texts: list[str | None], path: str) -> list[tuple[str, str]]:
     """Decimal ids joined by spaces, and the decoded text, of each text."""
     out = []
-    for pieces in _string_cache(path).texts(texts):
+    for pieces in _cached(_string_cache, path).texts(texts):
         ids, shown = zip(*pieces) if pieces else ((), ())
         out.append((" ".join(ids), " ".join(shown)))
     return out
@@ -289,7 +299,7 @@ def encode(texts: list[str | None], path: str) -> list[tuple[str, str]]:
 
 def encode_ids(texts: list[str | None], path: str) -> list[bytes]:
     """The ids of each text as native unsigned 32-bit numbers."""
-    return list(map(b"".join, _id_cache(path).texts(texts)))
+    return list(map(b"".join, _cached(_id_cache, path).texts(texts)))
 
 
 def decode_ids(ids: list[int], path: str) -> str:
