@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 
 import corpus_pipeline
-from plumbline.llm import bpe, jaccard, langid, packing, quality, secrets, suffixes, topk, toxicity, warc
+from plumbline.llm import bpe, divergence, jaccard, langid, manifest, packing, quality, secrets, suffixes, topk, toxicity, warc
 from plumbline.llm.frames import table
 from plumbline.queries.registration import Registry
 
@@ -161,6 +161,85 @@ def op2_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+# Nodes are numbered from 0 in each tree and level; a row climbs its source's tree, then that of the sources.
+_MANIFEST = """
+WITH RECURSIVE c AS (
+  SELECT *, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten([
+      [CAST(unicode(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]
+      FOR i IN range(1, length(CAST(doc_id AS VARCHAR)) + 1)])),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) AS crc FROM documents),
+e AS (
+  SELECT doc_id, source, coalesce(strlen(source) || ':' || source, '-') AS k,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head, text,
+    CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed FROM c),
+l AS (
+  SELECT doc_id, source, k, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS found FROM e),
+b AS (
+  SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY k) AS m FROM l),
+up AS (
+  SELECT k, 0 AS level, place AS i, leaf AS digest, m FROM b
+  UNION ALL SELECT k, level + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i)), (any_value(m) + 15) // 16 FROM up WHERE m > 1 GROUP BY k, level, i // 16),
+s AS (
+  SELECT k, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS m
+  FROM (SELECT DISTINCT k, source FROM b) JOIN up USING (k) WHERE up.m = 1),
+top AS (
+  SELECT 0 AS level, place AS i, digest, m FROM s
+  UNION ALL SELECT level + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i)), (any_value(m) + 15) // 16 FROM top WHERE m > 1 GROUP BY level, i // 16),
+runs AS (
+  SELECT k, level, i // 16 AS run, list(digest ORDER BY i) AS members FROM (SELECT * FROM up UNION ALL SELECT '', * FROM top) WHERE m > 1 GROUP BY ALL),
+climb AS (
+  SELECT r, b.k, 0 AS level, b.place AS i, b.m, found AS folded, '' AS siblings, s.place AS then_i, s.m AS then_m FROM b JOIN s USING (k)
+  UNION ALL
+  SELECT r, CASE WHEN m = 1 THEN '' ELSE c.k END, CASE WHEN m = 1 THEN 0 ELSE c.level + 1 END, CASE WHEN m = 1 THEN then_i ELSE i // 16 END,
+    CASE WHEN m = 1 THEN then_m ELSE (m + 15) // 16 END,
+    CASE WHEN m = 1 THEN folded ELSE sha256(array_to_string(members[:i % 16], '') || folded || array_to_string(members[i % 16 + 2:], '')) END,
+    CASE WHEN m = 1 THEN siblings ELSE siblings || array_to_string(members[:i % 16], '') || array_to_string(members[i % 16 + 2:], '') END, then_i, then_m
+  FROM climb c LEFT JOIN runs ON runs.k = c.k AND runs.level = c.level AND runs.run = i // 16 WHERE NOT (c.k = '' AND m = 1))
+SELECT b.doc_id, b.leaf, s.digest AS subroot, t.digest AS root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = t.digest AS verified
+FROM climb JOIN b USING (r) JOIN s ON s.k = b.k CROSS JOIN (SELECT digest FROM top WHERE m = 1) t WHERE climb.k = '' AND climb.m = 1
+"""
+
+
+@query(_MANIFEST)
+def op12_merkle_manifest(spark, sf_dir):
+    return manifest.audited(table(spark, sf_dir, "documents"))
+
+
+_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+t AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+o AS (SELECT lang, source, term, count(*) AS c FROM t GROUP BY ALL),
+c AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(o.c, 0) AS c FROM g JOIN k ON k.lang = g.lang
+  LEFT JOIN o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+p AS (
+  SELECT c.lang, c.source, c.term, c.c, 1 + CAST(1000000000 AS HUGEINT) * (c.c + 5) // CAST(n.n + 5 * v.v AS HUGEINT) AS p,
+    1 + CAST(1000000000 AS HUGEINT) * (c.total + 5) // CAST(v.n + 5 * v.v AS HUGEINT) AS q
+  FROM c JOIN n ON n.lang = c.lang AND n.source = c.source JOIN v ON v.lang = c.lang),
+s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+f AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM g JOIN g h ON h.lang = g.lang AND h.source <> g.source LEFT JOIN s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM f)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query(_DIVERGENCE)
+def op13_source_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
