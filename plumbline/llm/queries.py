@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 
 import corpus_pipeline
-from plumbline.llm import bpe, divergence, jaccard, langid, manifest, packing, quality, secrets, suffixes, topk, toxicity, warc
+from plumbline.llm import bpe, divergence, jaccard, langid, manifest, packing, personal, quality, secrets, suffixes, topk, toxicity, warc
 from plumbline.llm.frames import table
 from plumbline.queries.registration import Registry
 
@@ -161,6 +161,11 @@ def op2_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op11_personal_data(spark, sf_dir):
+    return personal.scan(table(spark, sf_dir, "documents"))
+
+
 # Nodes are numbered from 0 in each tree and level; a row climbs its source's tree, then that of the sources.
 _MANIFEST = """
 WITH RECURSIVE c AS (
