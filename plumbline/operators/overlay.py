@@ -10,61 +10,132 @@ contributions are summed.
 
 from __future__ import annotations
 
+import functools
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
 from plumbline.functions import measures as m
+from plumbline.functions.projection import project_rings
 from plumbline.operators.components import connected_components
-from plumbline.operators.grid import CELL, box_cells, prepared_index, zoom
+from plumbline.operators.grid import BROADCAST_BYTES, CELL, box_cells, prepared_index, zoom
+from plumbline.operators.skew import key_spread, repeat_rows, spread_rows
 from plumbline.session import spool
 
 # Relative width of the strip around an edge that counts as lying on it.
 _TOLERANCE = 1e-9
+# Zooms between two levels of the quadtree that edges are cut along: a cell holds 8 x 8 of the next.
+LEVEL_STEP = 3
 # Side of the bins in which ends of one corner meet, against the largest coordinate.
 _SNAP = 1e-8
 
 
-def _grid_cuts(a: str, b: str, size: str) -> str:
-    """Positions (0..1) along the edge where coordinate a -> b passes a grid line."""
-    first = f"(CAST(floor(least({a}, {b}) / {size}) AS BIGINT) + 1)"
-    last = f"(CAST(ceil(greatest({a}, {b}) / {size}) AS BIGINT) - 1)"
+def _grid_cuts(v: str, size: str) -> str:
+    """Positions along edge `_e`, within `_t`, where its coordinate `v` passes a grid line."""
+    d = f"(_e.{v}2 - _e.{v}1)"
+    ends = f"_e.{v}1 + _t.t0 * {d}, _e.{v}1 + _t.t1 * {d}"
+    first = f"CAST(floor(least({ends}) / {size}) AS BIGINT)"
+    last = f"CAST(ceil(greatest({ends}) / {size}) AS BIGINT)"
     return (
-        f"CASE WHEN {first} <= {last} THEN transform(sequence({first}, {last}), "
-        f"gc_k -> (gc_k * {size} - {a}) / ({b} - {a})) ELSE CAST(array() AS ARRAY<DOUBLE>) END"
+        f"CASE WHEN {d} != 0 THEN filter(transform(sequence({first}, {last}), gc_k -> (gc_k * {size} - _e.{v}1) / {d}), "
+        "gc_t -> gc_t > _t.t0 AND gc_t < _t.t1) ELSE CAST(array() AS ARRAY<DOUBLE>) END"
     )
 
 
-def _pieces(shapes: DataFrame, keep: list[str], rings: str, zooms: list[int]) -> DataFrame:
-    """Edges of `shapes` cut at the grid lines of each zoom, one row per piece with its cell."""
-    size = "pow(2D, _z)"
-    cuts = (
-        f"array_sort(concat(array(0D, 1D), {_grid_cuts('_e.x1', '_e.x2', size)}, "
-        f"{_grid_cuts('_e.y1', '_e.y2', size)}))"
+def _cut(pieces: DataFrame, z: int) -> DataFrame:
+    """Pieces cut at the grid lines of zoom `z`, each with its cell there."""
+    size = f"{2.0**z!r}D"
+    cuts = f"array_sort(concat(array(_t.t0, _t.t1), {_grid_cuts('x', size)}, {_grid_cuts('y', size)}))"
+    between = (
+        "filter(transform(slice(_cuts, 2, size(_cuts)), (pc_t, pc_i) -> "
+        "named_struct('t0', _cuts[pc_i], 't1', pc_t)), pc_s -> pc_s.t1 > pc_s.t0)"
     )
     middle = "(_t.t0 + _t.t1) / 2"
     return (
-        shapes.select(*keep, F.explode(F.expr(g.edges(rings))).alias("_e"))
-        .withColumn("_z", F.explode(F.array(*[F.lit(z) for z in zooms])))
-        .withColumn("_cuts", F.expr(cuts))
-        .withColumn(
-            "_t",
-            F.explode(
-                F.expr(
-                    "filter(transform(slice(_cuts, 2, size(_cuts)), (pc_t, pc_i) -> "
-                    "named_struct('t0', _cuts[pc_i], 't1', pc_t)), pc_s -> pc_s.t1 > pc_s.t0)"
-                )
-            ),
-        )
+        pieces.withColumn("_cuts", F.expr(cuts))
+        .withColumn("_t", F.explode(F.expr(between)))
         .withColumn("_cx", F.expr(f"floor((_e.x1 + {middle} * (_e.x2 - _e.x1)) / {size})"))
         .withColumn("_cy", F.expr(f"floor((_e.y1 + {middle} * (_e.y2 - _e.y1)) / {size})"))
         .drop("_cuts")
-        # The pieces of one detailed shape leave the task that cut it.
-        .repartition(*keep, *CELL)
     )
 
 
+def _within(box: dict[str, float]) -> str:
+    """The stretch of edge `_e` within a box, as `t0, t1`; null where it stays outside."""
+    first, last, outside = ["0D"], ["1D"], []
+    for v in "xy":
+        d, lo, hi = f"(_e.{v}2 - _e.{v}1)", f"{box['min' + v]!r}D", f"{box['max' + v]!r}D"
+        at = f"({lo} - _e.{v}1) / nullif({d}, 0D), ({hi} - _e.{v}1) / nullif({d}, 0D)"
+        # Null without a slope, which greatest and least pass over.
+        first.append(f"least({at})")
+        last.append(f"greatest({at})")
+        outside.append(f"greatest(_e.{v}1, _e.{v}2) < {lo} OR least(_e.{v}1, _e.{v}2) > {hi}")
+    span = f"named_struct('t0', greatest({', '.join(first)}), 't1', least({', '.join(last)}))"
+    return f"CASE WHEN NOT ({' OR '.join(outside)}) THEN {span} END"
+
+
+@dataclass(frozen=True)
+class Occupied:
+    """The cells of an index with those that contain them, as a quadtree in rows.
+
+    `cells` has `_z, _cx, _cy`, whether the index has rows there (`_here`) and
+    whether it has any in finer cells within (`_below`); `levels` are its zooms
+    from one that spans the index in a few cells down to the finest in use.
+    """
+
+    cells: DataFrame
+    levels: list[int]
+    zooms: list[int]
+    box: dict[str, float]
+    small: bool
+
+
+def occupied(index: DataFrame, zooms: list[int]) -> Occupied:
+    """The quadtree over the cells of a stored index."""
+    own = index.select(*CELL).distinct()
+    edge = lambda c, extra: f"(_{c} + {extra}) * pow(2D, _z)"
+    ends = [F.expr(f"{how}({edge('c' + v, extra)})").alias(how + v) for v in "xy" for how, extra in (("min", 0), ("max", 1))]
+    row = own.agg(F.count("*").alias("n"), *ends).first()
+    box = {k: row[k] for k in ("minx", "maxx", "miny", "maxy")}
+    if not zooms:
+        return Occupied(own.select("*", F.lit(True).alias("_here"), F.lit(False).alias("_below")), [], [], box, True)
+    top = max(max(zooms), math.ceil(math.log2(max(box["maxx"] - box["minx"], box["maxy"] - box["miny"]))))
+    levels = sorted({*zooms, *range(top, min(zooms), -LEVEL_STEP)}, reverse=True)
+    above = own.select("_cx", "_cy", F.col("_z").alias("_own"), F.explode(F.array(*[F.lit(z) for z in levels])).alias("_z")).filter("_z >= _own")
+    cell = [F.expr(f"shiftright({c}, _z - _own)").alias(c) for c in ("_cx", "_cy")]
+    cells = above.select("_z", *cell, "_own").groupBy(*CELL).agg(F.max(F.expr("_z = _own")).alias("_here"), F.max(F.expr("_z > _own")).alias("_below"))
+    # A row takes about 40 bytes, and a cell has at most one at each level.
+    return Occupied(spool(cells, "occupied"), levels, sorted(zooms), box, row["n"] * len(levels) * 40 <= BROADCAST_BYTES)
+
+
+def cut_pieces(shapes: DataFrame, keep: list[str], rings: str, tree: Occupied) -> DataFrame:
+    """Edges of `shapes` cut to the cells that `tree` has rows in: `keep, _e, _t` and the cell.
+
+    The edges are walked from coarse to fine: a piece is cut further only where its
+    cell holds finer ones, so the pieces follow the occupied cells an edge passes
+    and not its length. An edge along which nothing is occupied ends at the top.
+    """
+    pieces = shapes.select(*keep, F.explode(F.expr(g.edges(rings))).alias("_e"))
+    pieces = pieces.withColumn("_t", F.expr(_within(tree.box))).filter("_t.t1 > _t.t0")
+    found = []
+    for z in tree.levels:
+        level = tree.cells.filter(F.col("_z") == z)
+        met = _cut(pieces, z).join(F.broadcast(level) if tree.small else level, ["_cx", "_cy"])
+        if z in tree.zooms and z != tree.levels[-1] or not tree.small:
+            # Read twice, or worth counting before the next cut.
+            met = spool(met, "pieces")
+        if z in tree.zooms:
+            found.append(met.filter("_here").select(*keep, "_e", "_t", *CELL))
+        pieces = met.filter("_below").select(*keep, "_e", "_t")
+    if not found:
+        return pieces.select(*keep, "_e", "_t", *[F.lit(0).alias(c) for c in CELL]).limit(0)
+    return functools.reduce(DataFrame.union, found)
+
+
 def _kept(shared_counts: bool) -> str:
     """Stretches `(t0, t1)` of edge `_e` within `_t` that lie inside the other polygon.
 
@@ -109,9 +180,17 @@ def _kept(shared_counts: bool) -> str:
 
 def _inside_stretches(shapes, key, others, other_key, rings, on, shared_counts, splits) -> DataFrame:
     index, stats = prepared_index(others, rings, splits)
-    pieces = _pieces(shapes, [key, *on], rings, stats.zooms or [0])
-    side = F.broadcast(index) if stats.small else index
-    joined = pieces.join(side, [*CELL, *on])
+    index = spool(index, "cells")
+    pieces = cut_pieces(shapes, [key, *on], rings, occupied(index, stats.zooms))
+    keys = [*CELL, *on]
+    if stats.small:
+        # The pieces of one detailed shape leave the task that cut it.
+        joined = pieces.repartition(key, *keys).join(F.broadcast(index), keys)
+    else:
+        # A cell that many pieces pass is spread over several tasks, its rows repeated.
+        pieces = spool(pieces, "pieces")
+        hot = key_spread(pieces.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+        joined = spread_rows(pieces, hot, keys, F.struct(key, "_e", "_t")).join(repeat_rows(index, hot, keys), [*keys, "_salt"])
     return joined.select(key, other_key, *on, "_e", F.expr(_kept(shared_counts)).alias("_in"))
 
 
@@ -134,10 +213,13 @@ def overlap_areas(
     splits: int | None = None,
 ) -> DataFrame:
     """`(a_key, b_key, on..., overlap_area)` of every overlapping pair."""
+    return _areas(_stretches(a, b, a_key, b_key, rings, on, splits), [a_key, b_key, *on])
+
+
+def _areas(parts: DataFrame, keys: list[str]) -> DataFrame:
     share = "aggregate(_in, 0D, (oa_s, oa_t) -> oa_s + oa_t.t1 - oa_t.t0)"
     twice = f"(_e.x1 * _e.y2 - _e.x2 * _e.y1) * {share}"
-    parts = _stretches(a, b, a_key, b_key, rings, on, splits)
-    sums = parts.groupBy(a_key, b_key, *on).agg((F.sum(F.expr(twice)) / 2).alias("overlap_area"))
+    sums = parts.groupBy(*keys).agg((F.sum(F.expr(twice)) / 2).alias("overlap_area"))
     return sums.filter(F.col("overlap_area") > 0)
 
 
@@ -145,13 +227,23 @@ def overlap_geometry(
     a: DataFrame, b: DataFrame, *, a_key: str, b_key: str, rings: str = "rings", on: tuple[str, ...] = (), splits: int | None = None
 ) -> DataFrame:
     """`(a_key, b_key, on..., rings)`: the common part of each pair."""
-    at = "named_struct('x', _e.x1 + {0} * (_e.x2 - _e.x1), 'y', _e.y1 + {0} * (_e.y2 - _e.y1))"
-    parts = _stretches(a, b, a_key, b_key, rings, on, splits).withColumn("_s", F.explode("_in"))
-    segments = parts.select(
-        a_key, b_key, *on,
-        F.expr(at.format("_s.t0")).alias("_p"), F.expr(at.format("_s.t1")).alias("_q"),
-    ).select(a_key, b_key, *on, F.col("_p.x").alias("x1"), F.col("_p.y").alias("y1"), F.col("_q.x").alias("x2"), F.col("_q.y").alias("y2"))
-    return stitched(segments, [a_key, b_key, *on])
+    return _shapes(_stretches(a, b, a_key, b_key, rings, on, splits), [a_key, b_key, *on])
+
+
+def _shapes(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """`keys..., rings` from stretches; those of one edge that follow each other are one segment."""
+    ends = [
+        F.expr(f"_e.{v}1 + _s.{t} * (_e.{v}2 - _e.{v}1)").alias(f"{v}{n}") for n, t in ((1, "t0"), (2, "t1")) for v in "xy"
+    ]
+    # Cell lines cut an edge where nothing ends; what stays whole is stitched as one.
+    stretches = F.array_sort(F.flatten(F.collect_list("_in")))
+    joined = (
+        "aggregate(_in, CAST(array() AS ARRAY<STRUCT<t0: DOUBLE, t1: DOUBLE>>), (sh_a, sh_s) -> "
+        "CASE WHEN size(sh_a) > 0 AND element_at(sh_a, -1).t1 = sh_s.t0 THEN concat(slice(sh_a, 1, size(sh_a) - 1), "
+        "array(named_struct('t0', element_at(sh_a, -1).t0, 't1', sh_s.t1))) ELSE concat(sh_a, array(sh_s)) END)"
+    )
+    edges = parts.groupBy(*keys, "_e").agg(stretches.alias("_in")).withColumn("_s", F.explode(F.expr(joined)))
+    return stitched(edges.select(*keys, *ends), keys)
 
 
 def stitched(segments: DataFrame, keys: list[str]) -> DataFrame:
@@ -242,21 +334,31 @@ def intersection_table(
     state_fips: str | None = None,
     min_overlap: float = 1.0,
     splits: int | None = None,
+    projection: str | None = None,
+    shape: bool = False,
 ) -> DataFrame:
     """County or VTD against congressional district overlaps with percents and classes.
 
     A county pair is dropped when both percents are below `min_overlap`; a VTD
     pair when the VTD's is. `state_fips` restricts the source side only.
-    Areas are those of the given plane, so project to an equal-area one first.
+    Areas are those of the given plane; with `projection="albers"` the rings are
+    longitudes and latitudes, and all is measured in the equal-area plane. With
+    `shape` the common part comes along as `intersection_rings`, in that plane.
     """
     if source_type not in ("county", "vtd"):
         raise ValueError("source_type must be county or vtd")
     if state_fips:
         source = source.filter(F.col("geoid").startswith(state_fips))
     src, cd = f"{source_type}_geoid", "cd_geoid"
-    a = source.select(F.col("geoid").alias(src), F.col(year).alias("year"), F.col(rings).alias("rings"))
-    b = districts.select(F.col("geoid").alias(cd), F.col(year).alias("year"), F.col(rings).alias("rings"))
-    pairs = overlap_areas(a, b, a_key=src, b_key=cd, on=("year",), splits=splits)
+    plane = F.expr(project_rings(rings, projection)) if projection else F.col(rings)
+    a = source.select(F.col("geoid").alias(src), F.col(year).alias("year"), plane.alias("rings"))
+    b = districts.select(F.col("geoid").alias(cd), F.col(year).alias("year"), plane.alias("rings"))
+    if projection:
+        a, b = spool(a, "projected"), spool(b, "projected")
+    parts, keys = _stretches(a, b, src, cd, "rings", ("year",), splits), [src, cd, "year"]
+    if shape:
+        parts = spool(parts, "stretches")
+    pairs = _areas(parts, keys)
     whole_a = a.select(src, "year", F.expr(g.area("rings")).alias("_area_a"))
     whole_b = b.select(cd, "year", F.expr(g.area("rings")).alias("_area_b"))
     pct = f"pct_of_{source_type}"
@@ -273,6 +375,10 @@ def intersection_table(
     else:
         out = out.filter(F.col(pct) >= min_overlap)
         extra = []
+    if shape:
+        out = spool(out, "overlaps")
+        shapes = _shapes(parts.join(out.select(*keys), keys, "left_semi"), keys).withColumnRenamed("rings", "intersection_rings")
+        out, extra = out.join(shapes, keys), [*extra, F.col("intersection_rings")]
     return out.select(
         src,
         cd,

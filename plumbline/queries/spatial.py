@@ -227,6 +227,89 @@ def county_district_overlap(spark, sf):
     )
 
 
+# Longitude and latitude boxes within the conterminous states; districts overlap their neighbours.
+_LONLAT = {
+    "county": ("supplier", b.SHAPES["county"][1], "-120 + s_suppkey * 37 % 460 / 10e0", "26 + s_suppkey * 53 % 200 / 10e0", "0.5e0 + s_suppkey % 5 * 0.3e0", "0.4e0 + s_suppkey % 4 * 0.3e0"),
+    "cd": ("nation", b.SHAPES["state"][1], "-122e0 + 10 * (n_nationkey % 5)", "25e0 + 5 * floor(n_nationkey / 5)", "10.25e0", "5.25e0"),
+}
+
+
+def _lonlat(spark, sf, kind):
+    table, geoid, x, y, w, h = _LONLAT[kind]
+    ring = ", ".join(g.point(px, py) for px, py in (("x", "y"), ("x + w", "y"), ("x + w", "y + h"), ("x", "y + h"), ("x", "y")))
+    return b.read(spark, sf, table).selectExpr(f"{geoid} AS geoid", f"{x} AS x", f"{y} AS y", f"{w} AS w", f"{h} AS h").selectExpr(
+        "geoid", "2020 AS vintage_year", f"array(array({ring})) AS rings"
+    )
+
+
+# Snyder's formulas with the constants worked out by the checking engine itself.
+_PROJECTIONS = """WITH k AS (SELECT 1 / 298.257222101e0 AS f), e AS (SELECT f * (2 - f) AS e2, sqrt(f * (2 - f)) AS e FROM k),
+    c AS (SELECT e2, e, radians(29.5) AS a1, radians(45.5) AS a2, radians(23) AS a0, radians(37) AS l1, radians(39.5) AS l2, radians(36) AS l0 FROM e),
+    q AS (SELECT *, cos(a1) / sqrt(1 - e2 * sin(a1) * sin(a1)) AS m1, cos(a2) / sqrt(1 - e2 * sin(a2) * sin(a2)) AS m2,
+        (1 - e2) * (sin(a1) / (1 - e2 * sin(a1) * sin(a1)) - ln((1 - e * sin(a1)) / (1 + e * sin(a1))) / (2 * e)) AS q1,
+        (1 - e2) * (sin(a2) / (1 - e2 * sin(a2) * sin(a2)) - ln((1 - e * sin(a2)) / (1 + e * sin(a2))) / (2 * e)) AS q2,
+        (1 - e2) * (sin(a0) / (1 - e2 * sin(a0) * sin(a0)) - ln((1 - e * sin(a0)) / (1 + e * sin(a0))) / (2 * e)) AS q0,
+        cos(l1) / sqrt(1 - e2 * sin(l1) * sin(l1)) AS k1, cos(l2) / sqrt(1 - e2 * sin(l2) * sin(l2)) AS k2,
+        tan(pi() / 4 - l1 / 2) / pow((1 - e * sin(l1)) / (1 + e * sin(l1)), e / 2) AS t1,
+        tan(pi() / 4 - l2 / 2) / pow((1 - e * sin(l2)) / (1 + e * sin(l2)), e / 2) AS t2,
+        tan(pi() / 4 - l0 / 2) / pow((1 - e * sin(l0)) / (1 + e * sin(l0)), e / 2) AS t0 FROM c),
+    n AS (SELECT *, (m1 * m1 - m2 * m2) / (q2 - q1) AS n, (ln(k1) - ln(k2)) / (ln(t1) - ln(t2)) AS ln_ FROM q),
+    r AS (SELECT *, m1 * m1 + n * q1 AS cc, k1 / (ln_ * pow(t1, ln_)) AS ff FROM n)"""
+_Q = "(1 - e2) * (sin(lat) / (1 - e2 * sin(lat) * sin(lat)) - ln((1 - e * sin(lat)) / (1 + e * sin(lat))) / (2 * e))"
+
+
+
+def _projected_corners(kind):
+    """Corners of the boxes in EPSG:5070, counter-clockwise, with the next one."""
+    table, geoid, x, y, w, h = _LONLAT[kind]
+    return f"""SELECT geoid, i, px AS x1, py AS y1, coalesce(lead(px) OVER ring, first(px) OVER ring) AS x2, coalesce(lead(py) OVER ring, first(py) OVER ring) AS y2
+    FROM (SELECT geoid, i, 6378137 * sqrt(cc - n * qq) / n * sin(n * (lon - radians(-96))) AS px,
+        6378137 * sqrt(cc - n * q0) / n - 6378137 * sqrt(cc - n * qq) / n * cos(n * (lon - radians(-96))) AS py
+      FROM (SELECT geoid, i, lon, {_Q} AS qq, cc, n, q0 FROM r, (SELECT geoid, c.i, radians(c.lon) AS lon, radians(c.lat) AS lat
+        FROM (SELECT geoid, unnest([{{'i': 1, 'lon': x, 'lat': y}}, {{'i': 2, 'lon': x + w, 'lat': y}}, {{'i': 3, 'lon': x + w, 'lat': y + h}}, {{'i': 4, 'lon': x, 'lat': y + h}}]) AS c
+          FROM (SELECT {geoid} AS geoid, {x} AS x, {y} AS y, {w} AS w, {h} AS h FROM {table})))))
+    WINDOW ring AS (PARTITION BY geoid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+
+
+# The common part of two convex shapes: corners of one within the other and crossings of their sides, in order around their middle.
+_LONLAT_CHECK = f"""{_PROJECTIONS}, a AS ({_projected_corners('county')}), d AS ({_projected_corners('cd')}),
+    ba AS (SELECT geoid, min(x1) AS x0, max(x1) AS x9, min(y1) AS y0, max(y1) AS y9, sum(x1 * y2 - x2 * y1) / 2 AS area FROM a GROUP BY geoid),
+    bd AS (SELECT geoid, min(x1) AS x0, max(x1) AS x9, min(y1) AS y0, max(y1) AS y9, sum(x1 * y2 - x2 * y1) / 2 AS area FROM d GROUP BY geoid),
+    near AS (SELECT ba.geoid AS src, bd.geoid AS cd, ba.area AS area_a, bd.area AS area_d FROM ba JOIN bd ON ba.x0 < bd.x9 AND bd.x0 < ba.x9 AND ba.y0 < bd.y9 AND bd.y0 < ba.y9),
+    sides AS (SELECT src, cd, a.i, a.x1 AS ax, a.y1 AS ay, a.x2 - a.x1 AS au, a.y2 - a.y1 AS av, d.i AS j, d.x1 AS dx, d.y1 AS dy, d.x2 - d.x1 AS du, d.y2 - d.y1 AS dv
+        FROM near JOIN a ON a.geoid = src JOIN d ON d.geoid = cd),
+    pts AS (
+      SELECT src, cd, ax AS x, ay AS y FROM sides GROUP BY src, cd, i, ax, ay HAVING min(du * (ay - dy) - dv * (ax - dx)) >= 0
+      UNION ALL SELECT src, cd, dx, dy FROM sides GROUP BY src, cd, j, dx, dy HAVING min(au * (dy - ay) - av * (dx - ax)) >= 0
+      UNION ALL SELECT src, cd, ax + t * au, ay + t * av FROM (
+        SELECT *, ((dx - ax) * dv - (dy - ay) * du) / (au * dv - av * du) AS t, ((dx - ax) * av - (dy - ay) * au) / (au * dv - av * du) AS u FROM sides WHERE au * dv <> av * du)
+      WHERE t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1),
+    mid AS (SELECT src, cd, avg(x) AS mx, avg(y) AS my FROM pts GROUP BY ALL HAVING count(*) > 2),
+    turn AS (SELECT src, cd, mx, my, x - mx AS x, y - my AS y, atan2(y - my, x - mx) AS w FROM pts JOIN mid USING (src, cd)),
+    legs AS (SELECT src, cd, mx, my, x, y, coalesce(lead(x) OVER o, first(x) OVER o) AS nx, coalesce(lead(y) OVER o, first(y) OVER o) AS ny FROM turn
+      WINDOW o AS (PARTITION BY src, cd ORDER BY w, x ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+    sums AS (SELECT src, cd, sum(x * ny - nx * y) / 2 AS area, any_value(mx) + sum((x + nx) * (x * ny - nx * y)) / nullif(3 * sum(x * ny - nx * y), 0) AS cx,
+      any_value(my) + sum((y + ny) * (x * ny - nx * y)) / nullif(3 * sum(x * ny - nx * y), 0) AS cy FROM legs GROUP BY src, cd),
+    pct AS (SELECT *, area / area_a * 100 AS p, area / area_d * 100 AS q FROM sums JOIN near USING (src, cd))
+    SELECT src AS county_geoid, cd AS cd_geoid, 2020 AS year, round(area / 1e6, 1) AS intersection_sqkm, round(p, 2) AS pct_of_county, round(q, 2) AS pct_of_cd,
+      CASE WHEN p >= 99.9 THEN 'COUNTY_IN_CD' WHEN q >= 99.9 THEN 'CD_IN_COUNTY' ELSE 'SPLIT' END AS relationship, p > 50 AS is_dominant,
+      round(area / 1e6, 1) AS shape_sqkm, round(cx / 1000, 1) AS centre_x_km, round(cy / 1000, 1) AS centre_y_km FROM pct WHERE greatest(p, q) >= 1"""
+
+
+@query(_LONLAT_CHECK)
+def projected_district_overlap(spark, sf):
+    """Overlaps of boundaries in longitude and latitude, measured in EPSG:5070, with the area and the centre of the stored shape."""
+    out = intersection_table(_lonlat(spark, sf, "county"), _lonlat(spark, sf, "cd"), source_type="county", projection="albers", shape=True)
+    cross = "(ce.x1 * ce.y2 - ce.x2 * ce.y1)"
+    total = lambda term: f"aggregate(edges, 0D, (ce_s, ce) -> ce_s + {term})"
+    centre = {v: f"round({total(f'(ce.{v}1 + ce.{v}2) * {cross}')} / (3 * {total(cross)}) / 1000, 1) AS centre_{v}_km" for v in "xy"}
+    out = out.withColumn("edges", F.expr(g.edges("intersection_rings")))
+    return out.selectExpr(
+        "county_geoid", "cd_geoid", "year", "round(intersection_area_sqm / 1e6, 1) AS intersection_sqkm", "CAST(pct_of_county AS DOUBLE) AS pct_of_county",
+        "CAST(pct_of_cd AS DOUBLE) AS pct_of_cd", "relationship", "is_dominant", f"round({g.area('intersection_rings')} / 1e6, 1) AS shape_sqkm", *centre.values(),
+    )
+
+
 @query(_overlap_check("vtd", """SELECT src AS vtd_geoid, cd AS cd_geoid, round(p, 2) AS pct_of_vtd, round(p, 9) > 50 AS is_dominant FROM pct WHERE p >= 10"""))
 def vtd_district_overlap(spark, sf):
     out = intersection_table(_boxes(spark, sf, "vtd"), _boxes(spark, sf, "cd"), source_type="vtd", min_overlap=10.0)
@@ -314,21 +397,9 @@ def plan_district_facts(spark, sf):
 
 
 def _albers_check() -> str:
-    """Snyder's formulas with the constants worked out by the checking engine itself."""
-    return f"""WITH k AS (SELECT 1 / 298.257222101e0 AS f), e AS (SELECT f * (2 - f) AS e2, sqrt(f * (2 - f)) AS e FROM k),
-    c AS (SELECT e2, e, radians(29.5) AS a1, radians(45.5) AS a2, radians(23) AS a0, radians(37) AS l1, radians(39.5) AS l2, radians(36) AS l0 FROM e),
-    q AS (SELECT *, cos(a1) / sqrt(1 - e2 * sin(a1) * sin(a1)) AS m1, cos(a2) / sqrt(1 - e2 * sin(a2) * sin(a2)) AS m2,
-        (1 - e2) * (sin(a1) / (1 - e2 * sin(a1) * sin(a1)) - ln((1 - e * sin(a1)) / (1 + e * sin(a1))) / (2 * e)) AS q1,
-        (1 - e2) * (sin(a2) / (1 - e2 * sin(a2) * sin(a2)) - ln((1 - e * sin(a2)) / (1 + e * sin(a2))) / (2 * e)) AS q2,
-        (1 - e2) * (sin(a0) / (1 - e2 * sin(a0) * sin(a0)) - ln((1 - e * sin(a0)) / (1 + e * sin(a0))) / (2 * e)) AS q0,
-        cos(l1) / sqrt(1 - e2 * sin(l1) * sin(l1)) AS k1, cos(l2) / sqrt(1 - e2 * sin(l2) * sin(l2)) AS k2,
-        tan(pi() / 4 - l1 / 2) / pow((1 - e * sin(l1)) / (1 + e * sin(l1)), e / 2) AS t1,
-        tan(pi() / 4 - l2 / 2) / pow((1 - e * sin(l2)) / (1 + e * sin(l2)), e / 2) AS t2,
-        tan(pi() / 4 - l0 / 2) / pow((1 - e * sin(l0)) / (1 + e * sin(l0)), e / 2) AS t0 FROM c),
-    n AS (SELECT *, (m1 * m1 - m2 * m2) / (q2 - q1) AS n, (ln(k1) - ln(k2)) / (ln(t1) - ln(t2)) AS ln_ FROM q),
-    r AS (SELECT *, m1 * m1 + n * q1 AS cc, k1 / (ln_ * pow(t1, ln_)) AS ff FROM n),
+    return f"""{_PROJECTIONS},
     pts AS (SELECT c_custkey AS id, radians({b.US_LON}) AS lon, radians({b.US_LAT}) AS lat FROM customer),
-    w AS (SELECT pts.*, r.*, (1 - e2) * (sin(lat) / (1 - e2 * sin(lat) * sin(lat)) - ln((1 - e * sin(lat)) / (1 + e * sin(lat))) / (2 * e)) AS qq,
+    w AS (SELECT pts.*, r.*, {_Q} AS qq,
         tan(pi() / 4 - lat / 2) / pow((1 - e * sin(lat)) / (1 + e * sin(lat)), e / 2) AS tt FROM pts, r)
     SELECT id, round(6378137 * sqrt(cc - n * qq) / n * sin(n * (lon - radians(-96))), 3) AS albers_x,
         round(6378137 * sqrt(cc - n * q0) / n - 6378137 * sqrt(cc - n * qq) / n * cos(n * (lon - radians(-96))), 3) AS albers_y,

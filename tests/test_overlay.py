@@ -1,10 +1,14 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from shapes import as_rings, box, inside, star
 
 from plumbline.functions import geometry as g
 from plumbline.operators.hull import convex_hulls, enclosing_circle, hull_vertices, reock_scores
-from plumbline.operators.overlay import intersection_table, overlap_areas, overlap_geometry, stitched
+from plumbline.operators.grid import prepared_index
+from plumbline.operators.overlay import cut_pieces, intersection_table, occupied, overlap_areas, overlap_geometry, stitched
+from plumbline.session import spool
 
 A = f"a string, rings {g.RINGS}"
 B = f"b string, rings {g.RINGS}"
@@ -75,6 +79,52 @@ def test_stars_against_sampling(spark):
             assert got.get((i, j), 0.0) == pytest.approx(sampled, abs=0.8)
 
 
+def tree_of(spark, shapes, splits=None):
+    _, b = frames(spark, {}, shapes)
+    index, stats = prepared_index(b, "rings", splits)
+    index = spool(index, "cells")
+    return index, occupied(index, stats.zooms)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_pieces_follow_the_occupied_cells(spark, small):
+    # Seven small boxes along a strip of 2,000 km by 1 km, thousands of their cells apart.
+    boxes = {str(i): [box(300_000 * i + 37, 200, 300_000 * i + 737, 800)] for i in range(7)}
+    index, tree = tree_of(spark, boxes)
+    a, _ = frames(spark, {"strip": [box(-5_000, 0, 2_000_000, 1_000)], "far": [box(0, 9e6, 2e6, 9.1e6)]}, {})
+    pieces = cut_pieces(a, ["a"], "rings", replace(tree, small=small)).collect()
+    finest = 2.0 ** min(tree.zooms)
+    passed = {(r["_z"], r["_cx"], r["_cy"]) for r in pieces}
+    held = {(r["_z"], r["_cx"], r["_cy"]) for r in index.collect()}
+    assert passed <= held and len(pieces) <= 3 * len(held) < 2 * 2_000_000 / finest / 25
+    assert {r["a"] for r in pieces} == {"strip"}
+    assert areas(spark, {"strip": [box(-5_000, 0, 2_000_000, 1_000)]}, boxes) == {("strip", k): pytest.approx(700 * 600) for k in boxes}
+
+
+def test_pieces_cover_an_edge_within_the_cells_once(spark):
+    rng = np.random.default_rng(4)
+    shapes = {str(i): [star(rng, rng.uniform(-40, 40), rng.uniform(-40, 40), rng.choice([0.3, 2, 15]), 30)] for i in range(25)}
+    index, tree = tree_of(spark, shapes)
+    a, _ = frames(spark, {"a": [star(rng, 0, 0, 50, 40)]}, {})
+    pieces = cut_pieces(a, ["a"], "rings", tree).collect()
+    assert len(tree.zooms) > 1
+    own = {(r["_z"], r["_cx"], r["_cy"]) for r in index.collect()}
+    for r in pieces:
+        size = 2.0 ** r["_z"]
+        middle = (r["_t"]["t0"] + r["_t"]["t1"]) / 2
+        x, y = (r["_e"][v + "1"] + middle * (r["_e"][v + "2"] - r["_e"][v + "1"]) for v in "xy")
+        assert (x // size, y // size) == (r["_cx"], r["_cy"]) and (r["_z"], r["_cx"], r["_cy"]) in own
+    ring = a.first()["rings"][0]
+    for z in tree.zooms:
+        size = 2.0**z
+        for p, q in zip(ring, ring[1:]):
+            spans = sorted((r["_t"]["t0"], r["_t"]["t1"]) for r in pieces if r["_z"] == z and (r["_e"]["x1"], r["_e"]["y1"]) == (p["x"], p["y"]))
+            assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+            for t in np.linspace(0.0005, 0.9995, 300):
+                x, y = p["x"] + t * (q["x"] - p["x"]), p["y"] + t * (q["y"] - p["y"])
+                assert ((z, x // size, y // size) in own) == any(s <= t <= e for s, e in spans)
+
+
 def test_geometry_has_the_area(spark):
     rng = np.random.default_rng(12)
     a = {"0": [star(rng, 0, 0, 8, 20)], "1": [box(0, 0, 10, 10), box(2, 2, 8, 8)[::-1]]}
