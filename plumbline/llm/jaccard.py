@@ -44,7 +44,7 @@ WORDS = 5
 THRESHOLD = 80
 # Heavy shingles hold more than this share of all occurrences, and at least so many.
 HEAVY_SHARE, HEAVY_LEAST = 100_000, 1000
-BUCKET_CHARACTERS = 24_000_000
+BUCKET_CHARACTERS = 12_000_000
 BITMAP_LONGS = 8
 HUBS = 3
 VERIFIED_HUBS = 2
@@ -150,7 +150,7 @@ def packed_shingles(df: DataFrame, heavy: np.ndarray, buckets: int) -> DataFrame
                 cuts = np.flatnonzero(np.diff(place)) + 1
                 for b, part in zip(place[np.concatenate([[0], cuts])].tolist() if len(light) else [], np.split(light, cuts)):
                     rows.setdefault(b, []).append((sig, len(part), part))
-                rows.setdefault(-1 - sig[0] % buckets, []).append((sig, len(hashes), hashes[is_hot]))
+                rows.setdefault(-1 - int.from_bytes(sig[:4]) % buckets, []).append((sig, len(hashes), hashes[is_hot]))
             for b, parts in rows.items():
                 if b < 0:
                     for sig, n, part in parts:
@@ -179,7 +179,7 @@ def _numbered(sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sigs[order[new]], which
 
 
-def shared_shingles(packed: DataFrame) -> DataFrame:
+def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
     """`sig, n, hashes, df`: light shingles in more than one set, and for each set a row of its heavy ones with `n`."""
     schema = "sig binary, n long, hashes binary, df binary"
     out = arrow_schema(schema)
@@ -219,7 +219,8 @@ def shared_shingles(packed: DataFrame) -> DataFrame:
         columns = zip(*found) if found else [[]] * len(out)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
-    return packed.groupBy("bucket").applyInArrow(run, schema)
+    # As many partitions as buckets, so that what a task gathers stays the same at every size.
+    return packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, schema)
 
 
 def records(parts: DataFrame, heavy: DataFrame) -> DataFrame:
@@ -372,7 +373,7 @@ def placed_rows(df: DataFrame) -> DataFrame:
     characters = df.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(8, -(-characters // BUCKET_CHARACTERS))
     packed = packed_shingles(df, hot, buckets)
-    sets = spool(records(shared_shingles(packed), heavy), "sets")
+    sets = spool(records(shared_shingles(packed, buckets), heavy), "sets")
     component = links_and_components(sets)
     placed = docs.join(component.withColumnRenamed("node", "sig"), "sig", "left")
     return spool(placed.withColumn("component", F.coalesce("component", "sig")).drop("hot"), "placed")
