@@ -2,10 +2,16 @@
 
 Fixed rules come first: at least 50 words, at most half of them in repeated
 three-word windows. The other rules compare four shares of a document, in
-thousandths, with cutoffs taken from quantile sketches of the documents that
-pass the fixed rules:
+thousandths, with cutoffs taken from the upper tails of quantile sketches of the
+documents that pass the fixed rules:
 
-    cutoff = median + SPREAD * (upper quartile - median) + margin of the share
+    cutoff = tail + (tail - median) / 2 + TIE_GUARD
+
+`tail` is the share's upper percentile in SHARES: where spam is common among the
+documents, as with symbols, one well within the ordinary documents. A group's
+cutoff is at most LIFT times that of its language, and a language's at most LIFT
+times that of all documents, so a group full of spam can't lift its own. The
+guard only keeps values apart that fall into one bucket or differ by rounding.
 
 A sketch is a table of counts by bucket, with buckets of five significant bits,
 so sketches are merged by adding counts, in any order, with equal results. The
@@ -31,13 +37,14 @@ from plumbline.session import spool
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_DOCUMENTS = 200
-SPREAD = 4
-# Shares in thousandths: numerator, denominator, margin.
+TIE_GUARD = 5
+LIFT = 2
+# Shares in thousandths: numerator, denominator, percentile of the tail.
 SHARES = {
-    "symbols": ("n_symbols", "word_chars", 50),
-    "capitals": ("n_capitals", "word_chars", 150),
-    "dup_lines": ("n_dup_lines", "n_lines", 500),
-    "repeats": ("n_repeat_words", "n_words", 400),
+    "symbols": ("n_symbols", "word_chars", 90),
+    "capitals": ("n_capitals", "word_chars", 99),
+    "dup_lines": ("n_dup_lines", "n_lines", 99),
+    "repeats": ("n_repeat_words", "n_words", 99),
 }
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOL_CHARS = "#*$%&|<>"
@@ -107,6 +114,7 @@ def sketch(df: DataFrame) -> DataFrame:
 def cutoffs(sketches: DataFrame) -> DataFrame:
     """`lang, source, share, cutoff` for each group of the sketches."""
     sketches = spool(sketches, "sketch")
+    tail = F.create_map(*[F.lit(x) for k, (_, _, p) in SHARES.items() for x in (k, p)])[F.col("share")]
     levels = []
     for level, keys in enumerate((["lang", "source"], ["lang"], [])):
         merged = sketches.groupBy(*keys, "share", "bucket").agg(F.sum("n").alias("n"))
@@ -115,20 +123,22 @@ def cutoffs(sketches: DataFrame) -> DataFrame:
             {"below": F.sum("n").over(group.orderBy("bucket")), "total": F.sum("n").over(group)}
         )
         # The lowest bucket that has a share q of the documents at or below it.
-        quantile = [F.min(F.when(100 * F.col("below") >= q * F.col("total"), F.col("bucket"))) for q in (50, 75)]
+        quantile = [F.min(F.when(100 * F.col("below") >= q * F.col("total"), F.col("bucket"))) for q in (F.lit(50), tail)]
         found = merged.groupBy(*keys, "share").agg(F.max("total").alias("total"), quantile[0].alias("mid"), quantile[1].alias("high"))
         levels.append((level, keys, found))
-    margin = F.create_map(*[F.lit(x) for k, (_, _, m) in SHARES.items() for x in (k, m)])[F.col("share")]
     groups = sketches.select("lang", "source", "share").distinct()
     for level, keys, found in levels:
-        cut = F.col("mid") + SPREAD * (F.col("high") - F.col("mid")) + margin
+        cut = F.expr(f"high + (high - mid) div 2 + {TIE_GUARD}")
         names = [F.col(k).alias(f"_{k}") for k in (*keys, "share")]
         found = found.select(*names, cut.alias(f"cut{level}"), F.col("total").alias(f"n{level}"))
         match = F.col("share") == F.col("_share")
         for k in keys:
             match &= F.col(k).eqNullSafe(F.col(f"_{k}"))
         groups = groups.join(found, match).drop("_share", *[f"_{k}" for k in keys])
-    best = F.when(F.col("n0") >= MIN_DOCUMENTS, F.col("cut0")).when(F.col("n1") >= MIN_DOCUMENTS, F.col("cut1")).otherwise(F.col("cut2"))
+    best = F.col("cut2")
+    for level in (1, 0):
+        own = F.least(F.col(f"cut{level}"), LIFT * best)
+        best = F.when(F.col(f"n{level}") >= MIN_DOCUMENTS, own).otherwise(best)
     return groups.select("lang", "source", "share", best.alias("cutoff"))
 
 

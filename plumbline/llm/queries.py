@@ -96,7 +96,7 @@ def op7_top_products(spark, sf_dir):
     return topk.top_products(table(spark, sf_dir, "embeddings"))
 
 
-# The four shares with their margins, the bucket of a value, and the quantiles of each level as in the operator.
+# The four shares with the percentile of their tail, the bucket of a value, and the cutoffs of each level bounded by the level above.
 _VERDICTS = r"""
 WITH t AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '<null>') AS lang, coalesce(source, '<null>') AS source, coalesce(text, '') AS text FROM documents),
@@ -121,21 +121,23 @@ f AS (
     CAST(1000 * n_dup_lines // greatest(n_lines, 1) AS BIGINT) AS s_dup_lines, CAST(1000 * n_repeat_words // greatest(n_words, 1) AS BIGINT) AS s_repeats
   FROM c),
 v AS (
-  SELECT r, lang, source, base_failed, e.share, e.v, e.margin,
+  SELECT r, lang, source, base_failed, e.share, e.v, e.tail,
     e.v - e.v % (CASE WHEN e.v < 32 THEN 1 WHEN e.v < 64 THEN 2 WHEN e.v < 128 THEN 4 WHEN e.v < 256 THEN 8 WHEN e.v < 512 THEN 16 ELSE 32 END) AS bucket
   FROM (SELECT r, lang, source, base_failed, unnest([
-    {'share': 'symbols', 'v': s_symbols, 'margin': 50}, {'share': 'capitals', 'v': s_capitals, 'margin': 150},
-    {'share': 'dup_lines', 'v': s_dup_lines, 'margin': 500}, {'share': 'repeats', 'v': s_repeats, 'margin': 400}]) AS e FROM f)),
+    {'share': 'symbols', 'v': s_symbols, 'tail': 90}, {'share': 'capitals', 'v': s_capitals, 'tail': 99},
+    {'share': 'dup_lines', 'v': s_dup_lines, 'tail': 99}, {'share': 'repeats', 'v': s_repeats, 'tail': 99}]) AS e FROM f)),
 q0 AS (SELECT lang, source, share, list_sort(list(bucket)) AS b FROM v WHERE NOT base_failed GROUP BY ALL),
 q1 AS (SELECT lang, share, list_sort(list(bucket)) AS b FROM v WHERE NOT base_failed GROUP BY ALL),
 q2 AS (SELECT share, list_sort(list(bucket)) AS b FROM v WHERE NOT base_failed GROUP BY ALL),
-chosen AS (
-  SELECT v.r, v.v, v.margin, CASE WHEN len(q0.b) >= 200 THEN q0.b WHEN len(q1.b) >= 200 THEN q1.b ELSE q2.b END AS b
+cuts AS (
+  SELECT v.r, v.v, len(q0.b) AS n0, len(q1.b) AS n1,
+    q0.b[(tail * len(q0.b) + 99) // 100] + (q0.b[(tail * len(q0.b) + 99) // 100] - q0.b[(50 * len(q0.b) + 99) // 100]) // 2 + 5 AS c0,
+    q1.b[(tail * len(q1.b) + 99) // 100] + (q1.b[(tail * len(q1.b) + 99) // 100] - q1.b[(50 * len(q1.b) + 99) // 100]) // 2 + 5 AS c1,
+    q2.b[(tail * len(q2.b) + 99) // 100] + (q2.b[(tail * len(q2.b) + 99) // 100] - q2.b[(50 * len(q2.b) + 99) // 100]) // 2 + 5 AS c2
   FROM v LEFT JOIN q0 ON q0.lang = v.lang AND q0.source = v.source AND q0.share = v.share
   LEFT JOIN q1 ON q1.lang = v.lang AND q1.share = v.share LEFT JOIN q2 ON q2.share = v.share WHERE NOT v.base_failed),
-passed AS (
-  SELECT r, bool_and(v <= b[(50 * len(b) + 99) // 100] + 4 * (b[(75 * len(b) + 99) // 100] - b[(50 * len(b) + 99) // 100]) + margin) AS within
-  FROM chosen GROUP BY r)
+bounded AS (SELECT *, CASE WHEN n1 >= 200 THEN least(c1, 2 * c2) ELSE c2 END AS b1 FROM cuts),
+passed AS (SELECT r, bool_and(v <= CASE WHEN n0 >= 200 THEN least(c0, 2 * b1) ELSE b1 END) AS within FROM bounded GROUP BY r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(within, false) AS kept,
   s_symbols, s_capitals, s_dup_lines, s_repeats FROM f LEFT JOIN passed ON passed.r = f.r
 """

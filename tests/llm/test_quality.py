@@ -44,12 +44,19 @@ def verdicts(rows):
     for doc_id, lang, source, shares, failed in made:
         kept = not failed
         if kept:
-            found = [groups[level][key] for level, key in enumerate(((lang, source), lang, None))]
-            own = next((g for g in found[:2] if len(g) >= quality.MIN_DOCUMENTS), found[2])
-            for k, (_, _, margin) in quality.SHARES.items():
-                values = sorted(bucket(s[k]) for s in own)
-                mid, high = (values[-(-q * len(values) // 100) - 1] for q in (50, 75))
-                kept &= shares[k] <= mid + quality.SPREAD * (high - mid) + margin
+            whole, own, narrow = (groups[level][key] for level, key in ((2, None), (1, lang), (0, (lang, source))))
+            for k, (_, _, tail) in quality.SHARES.items():
+
+                def cut(members):
+                    values = sorted(bucket(m[k]) for m in members)
+                    mid, high = (values[-(-q * len(values) // 100) - 1] for q in (50, tail))
+                    return high + (high - mid) // 2 + quality.TIE_GUARD
+
+                limit = cut(whole)
+                for members in (own, narrow):
+                    if len(members) >= quality.MIN_DOCUMENTS:
+                        limit = min(cut(members), quality.LIFT * limit)
+                kept &= shares[k] <= limit
         out.append((doc_id, kept))
     return out
 
@@ -84,3 +91,59 @@ def test_counts_and_verdicts(spark):
     assert kept.columns == df.columns
     assert sorted(map(str, (tuple(r)[:4] for r in kept.collect()))) == sorted(str(r) for r, (_, k) in zip(rows, verdicts(rows)) if k)
     assert quality.quality(df.limit(0)).count() == 0 and quality.good_documents(df.limit(0)).count() == 0
+
+
+def clean(rnd, n):
+    """Sentences of different words, on lines of their own."""
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 9))) for _ in range(n)]
+    lines = [" ".join(words[i : i + 12]).capitalize() + "." for i in range(0, n, 12)]
+    return "\n".join(lines)
+
+
+OUTLIERS = {
+    "symbols": lambda rnd, text: text.replace(" ", "## ", 40),
+    "capitals": lambda rnd, text: text.upper(),
+    "dup_lines": lambda rnd, text: "\n".join([*text.split("\n"), *["one two three."] * 8]),
+    "repeats": lambda rnd, text: text + " " + " ".join(["four five six seven eight nine ten."] * 4),
+}
+
+
+def kept_of(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    return {r.doc_id: r for r in quality.quality(df).collect()}
+
+
+def test_each_rule_rejects_a_planted_outlier(spark):
+    rnd = random.Random(9)
+    rows = [(i, clean(rnd, rnd.randint(120, 300)), rnd.choice(["en", "de"]), "s") for i in range(900)]
+    planted = {1000 + i: (name, make) for i, (name, make) in enumerate(OUTLIERS.items())}
+    rows += [(i, make(rnd, clean(rnd, 240)), "en", "s") for i, (_, make) in planted.items()]
+    got = kept_of(spark, rows)
+    assert sum(not got[i].kept for i in range(900)) <= 9
+    for i, (name, _) in planted.items():
+        assert not got[i].kept and not got[i].base_failed, name
+        clean_values = {k: max(got[n][f"s_{k}"] for n in range(900)) for k in quality.SHARES}
+        assert got[i][f"s_{name}"] > clean_values[name]
+
+
+def test_a_source_full_of_spam_does_not_lift_its_cutoff(spark):
+    rnd = random.Random(10)
+    rows = [(i, clean(rnd, rnd.randint(120, 300)), "en", rnd.choice("abc")) for i in range(1500)]
+    for i in range(2000, 2400):
+        text = clean(rnd, rnd.randint(120, 300))
+        rows.append((i, OUTLIERS["symbols"](rnd, text) if i % 10 < 3 else text, "en", "spammy"))
+    got = kept_of(spark, rows)
+    assert not any(got[i].kept for i in range(2000, 2400) if i % 10 < 3)
+    assert sum(not got[i].kept for i in got if i < 2000 or i % 10 >= 3) <= 30
+
+
+def test_cutoffs_follow_the_group(spark):
+    """A source of another kind keeps its own measure, up to twice its language's."""
+    rnd = random.Random(11)
+    rows = [(i, clean(rnd, 200), "en", "plain") for i in range(600)]
+    titled = lambda: " ".join(w.capitalize() if rnd.random() < 0.15 else w for w in clean(rnd, 200).split(" "))
+    rows += [(i, titled(), "en", "titled") for i in range(1000, 1300)]
+    rows += [(2000, titled(), "en", "plain")]
+    got = kept_of(spark, rows)
+    assert not got[2000].kept
+    assert sum(got[i].kept for i in range(1000, 1300)) > 280
