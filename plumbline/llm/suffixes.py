@@ -10,7 +10,8 @@ smaller doc_id, or before in the same document. Strings are judged on the input.
    Runs that share their key with a different run are fetched as text.
 3. The runs of a key are laid end to end and their suffixes sorted; strings that are equal
    stand beside each other, and all but the earliest go. Keys with more than
-   HOT_RUNS different runs are not gathered: their strings are grouped by hash, as rows.
+   HOT_RUNS different runs are not gathered: their strings are told apart by hash, and
+   only the first place of each in a batch of documents is grouped, as a row.
 
 The suffix array is built by grouping: suffixes are grouped by their Lyndon
 prefixes, the groups are taken in descending order and lengthen the groups of the
@@ -24,6 +25,7 @@ an id count as one document: strings at equal starts are not earlier than each o
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -276,31 +278,56 @@ def met_runs(sent: DataFrame, buckets: int) -> DataFrame:
     return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, PARTS)
 
 
+# What a fetched row holds: a run to sort, a string's first place in a batch, or spans to remove.
+SORT, FIRST, GONE = 0, 1, 2
+
+
 def fetched(docs: DataFrame, parts: DataFrame, buckets: int) -> DataFrame:
-    """`bucket, key, doc_id, code, start, text, hot` of the runs to fetch; for hot keys a row for each string, with its hash as text."""
+    """`bucket, key, doc_id, code, start, text, kind` of the runs to fetch.
+
+    Strings of hot keys are told apart by hash. Where one stands earlier in the
+    batch as well, it is to be removed for sure; only the first place in a batch goes on.
+    """
     asked = parts.filter(F.col("kind") != REMOVE).groupBy("doc_id", "code").agg(F.collect_list(F.struct("kind", "data")).alias("asked"))
     both = docs.join(asked, ["doc_id", "code"])
 
     def make():
         def run(batch):
-            out = {k: [] for k in ("bucket", "key", "doc_id", "code", "start", "text", "hot")}
+            out = {k: [] for k in ("bucket", "key", "doc_id", "code", "start", "text", "kind")}
+
+            def add(*row):
+                for k, v in zip(out, row):
+                    out[k].append(v)
+
+            hot: list[tuple[bytes, int, int, int]] = []
             for doc_id, code, text, asked in zip(*(batch[k] for k in ("doc_id", "code", "text", "asked"))):
                 data = text.encode("utf-8", "replace")
                 for part in asked:
                     runs = np.frombuffer(part["data"], np.int64).reshape(-1, 3)
+                    if part["kind"] == FETCH_HOT:
+                        for _, start, count in runs.tolist():
+                            strings = (hashlib.blake2b(data[s : s + LENGTH], digest_size=16).digest() for s in range(start, start + count))
+                            hot += zip(strings, itertools.repeat(doc_id), range(start, start + count), itertools.repeat(code))
+                        continue
                     for place, (key, start, count) in zip(bucket_of(runs[:, 0].view(np.uint64), buckets).tolist(), runs.tolist()):
-                        own = [(start, data[start : start + count + LENGTH - 1])]
-                        if part["kind"] == FETCH_HOT:
-                            own = [(s, hashlib.blake2b(data[s : s + LENGTH], digest_size=16).digest()) for s in range(start, start + count)]
-                        for s, piece in own:
-                            row = (place, key, doc_id, code, s, piece, part["kind"] == FETCH_HOT)
-                            for k, v in zip(out, row):
-                                out[k].append(v)
+                        add(place, key, doc_id, code, start, data[start : start + count + LENGTH - 1], SORT)
+            first: dict[bytes, tuple[int, int]] = {}
+            for string, doc_id, start, _ in hot:
+                if (doc_id, start) <= first.get(string, (doc_id, start)):
+                    first[string] = doc_id, start
+            gone: dict[tuple[int, int], list[int]] = {}
+            for string, doc_id, start, code in hot:
+                if (doc_id, start) == first[string]:
+                    add(0, 0, doc_id, code, start, string, FIRST)
+                else:
+                    gone.setdefault((doc_id, code), []).append(start)
+            for (doc_id, code), starts in gone.items():
+                add(0, 0, doc_id, code, 0, _spans(np.array(starts, np.int64), np.ones(len(starts), np.int64)), GONE)
             return out
 
         return run
 
-    schema = "bucket int, key long, doc_id long, code long, start long, text binary, hot boolean"
+    schema = "bucket int, key long, doc_id long, code long, start long, text binary, kind int"
     return map_rows(both, make, schema)
 
 
@@ -375,8 +402,9 @@ def repeats(rows: DataFrame, buckets: int) -> DataFrame:
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
     # Little data and much work: a number of partitions of its own keeps it spread.
-    sorted_out = rows.filter("NOT hot").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, PARTS)
-    hot = rows.filter("hot").select("text", "doc_id", "code", "start")
+    sorted_out = rows.filter(F.col("kind") == SORT).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, PARTS)
+    gone = rows.filter(F.col("kind") == GONE).select("doc_id", "code", F.lit(REMOVE).alias("kind"), F.col("text").alias("data"))
+    hot = rows.filter(F.col("kind") == FIRST).select("text", "doc_id", "code", "start")
     first = hot.groupBy("text").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     later = hot.join(first, "text").filter(F.struct("doc_id", "start") > F.col("first"))
     starts = later.groupBy("doc_id", "code").agg(F.array_sort(F.collect_set("start")).alias("starts"))
@@ -389,7 +417,7 @@ def repeats(rows: DataFrame, buckets: int) -> DataFrame:
 
         return spans
 
-    return sorted_out.union(map_rows(starts, make, PARTS))
+    return sorted_out.union(map_rows(starts, make, PARTS)).union(gone)
 
 
 def spans_removed(df: DataFrame) -> DataFrame:
