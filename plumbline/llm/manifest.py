@@ -88,7 +88,9 @@ def parents_of(leaves: DataFrame) -> list[DataFrame]:
             hashed(digests).alias("digest"),
             "children",
         )
-        nodes = spool(nodes, f"level{len(levels) + 1}")
+        # The two levels with most nodes are stored, then every other one; those between are quickly made again.
+        if len(levels) < 2 or len(levels) % 2:
+            nodes = spool(nodes, f"level{len(levels) + 1}")
         levels.append(nodes)
     return levels
 
