@@ -3,14 +3,14 @@
 Terms are runs of letters, A-Z in lower case, and of characters beyond ASCII; they
 never cross white space, so a text's terms are those of its white-space chunks:
 
-1. Chunks are counted for each document, in blocks of whole documents: one row for
-   each block and different chunk, with a packed list of documents and counts.
-2. Every globally distinct chunk is tokenized once. A term whose chunks together
-   meet fewer than the needed number of documents cannot be kept; it is left out
-   before anything is joined.
-3. The terms are joined back to the chunks of the blocks, and each block, being
-   whole documents, gives the number of distinct documents and of occurrences of
-   each term by language and source. Sums over blocks are the counts of the corpus.
+1. Chunks are counted for each document, in blocks of whole documents. A block's
+   different chunks go out by hash, a packed row for each bucket of them; its
+   documents and counts by chunk stay with the block.
+2. In a bucket every globally distinct chunk is tokenized once.
+3. The terms are joined back to the blocks, which list their chunks in the same
+   order. Each block, being whole documents, gives the number of distinct documents
+   and of occurrences of each term by language and source, packed by buckets of
+   terms. Sums over blocks, MERGED at a time, are the counts of the corpus.
 
 Each language keeps the terms of at least `least` of its documents. With count c of
 N occurrences of V kept terms, a term's share is 1 + floor(10^9 (c+5) / (N+5V));
@@ -30,6 +30,8 @@ from __future__ import annotations
 
 import itertools
 import json
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,50 +48,71 @@ from plumbline.session import spool
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 BLOCK_BYTES = 8 << 20
 BLOCK_DOCUMENTS = 1 << 20
+# Text for each bucket of chunks and of terms; blocks whose counts a task adds up.
+BUCKET_BYTES = 24 << 20
+MERGED = 256
 CELLS = 1 << 20
 SOURCES = 512
 SCALE = 1_000_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A posting holds a document's place in its block and, in its lowest byte, a count of 1 to 255; larger counts take several.
-POSTINGS = "block long, chunk string, docs long, data binary, info string"
+# Packed blocks and what their buckets of chunks send back; a posting holds a document's place in its block and, in its
+# lowest byte, a count of 1 to 255; larger counts take several.
+BLOCKS = "block long, bucket int, text binary, firsts binary, postings binary, groups binary, info string"
+# Packed counts of the terms of a bucket: how many entries each term has, and of each its group, documents and occurrences.
+COUNTS = "bucket int, part int, text binary, sizes binary, groups binary, docs binary, n binary, info string"
+KEPT = "lang string, source string, term string, n long, total long"
 
 
-def postings(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Different chunks of the texts, number of texts of each, and all postings with the place of each chunk's first."""
+def bucket_of(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+
+
+def postings(texts: list[bytes], buckets: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Different chunks of the texts by bucket, their buckets, the place of each chunk's first posting, and all postings."""
     split = [t.split() for t in texts]
     words = list(itertools.chain.from_iterable(split))
-    chunks = list(dict.fromkeys(words))
+    chunks = list(set(words))
+    place = bucket_of(chunks, buckets)
+    order = np.argsort(place, kind="stable")
+    chunks, place = [chunks[i] for i in order.tolist()], place[order]
     code = dict(zip(chunks, range(len(chunks))))
     codes = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
     docs = np.repeat(np.arange(len(texts)), [len(s) for s in split])
     keys, counts = np.unique(codes * len(texts) + docs, return_counts=True)
     codes, docs = keys // len(texts), keys % len(texts)
-    met = np.bincount(codes, minlength=len(chunks))
     times = -(-counts // 255)
     codes, docs = np.repeat(codes, times), np.repeat(docs, times)
     held = np.full(len(codes), 255)
     held[np.cumsum(times) - 1] = counts - 255 * (times - 1)
     firsts = np.searchsorted(codes, np.arange(len(chunks) + 1))
-    return chunks, met, (docs << 8 | held).astype(np.uint32), firsts
+    return chunks, place, firsts.astype(np.uint32), (docs << 8 | held).astype(np.uint32)
+
 
+def _cuts(place: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Bucket, first and end of each run of equal buckets."""
+    new = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.zeros(0, np.int64)
+    return zip(place[new].tolist(), new.tolist(), np.append(new[1:], len(place)).tolist())
 
-def block_rows(block: int, held: list[tuple[str, str, bytes]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """A row with the block's languages and sources and each document's number among them, then a row for each chunk."""
+
+def block_rows(block: int, held: list[tuple[str, str, bytes]], buckets: int) -> list[tuple]:
+    """A row for the block, with its postings and the language and source of each document, and one for each bucket of chunks."""
     held.sort(key=lambda r: r[:2])
     groups = list(dict.fromkeys(r[:2] for r in held))
     number = {g: i for i, g in enumerate(groups)}
     of = np.array([number[r[:2]] for r in held], np.uint32)
-    yield pa.RecordBatch.from_pydict({"block": [block], "chunk": [None], "docs": [0], "data": [of.tobytes()], "info": [json.dumps(groups)]}, schema)
-    chunks, met, packed, firsts = postings([r[2] for r in held])
-    if chunks:
-        data = pa.Array.from_buffers(pa.binary(), len(chunks), [None, pa.py_buffer((firsts * 4).astype(np.int32)), pa.py_buffer(packed)])
-        columns = [np.full(len(chunks), block), pa.array(chunks, pa.binary()).cast(pa.string()), met, data, pa.nulls(len(chunks), pa.string())]
-        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns], schema=schema)
+    chunks, place, firsts, packed = postings([r[2] for r in held], buckets)
+    rows = [(block, -1, None, firsts.tobytes(), packed.tobytes(), of.tobytes(), json.dumps(groups))]
+    return rows + [(block, b, b" ".join(chunks[i:j]), None, None, None, None) for b, i, j in _cuts(place)]
+
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-def counted_chunks(df: DataFrame) -> DataFrame:
+
+def packed_blocks(df: DataFrame, buckets: int) -> DataFrame:
     """The stored rows of `block_rows` over `lang, source, text`."""
-    schema = arrow_schema(POSTINGS)
+    schema = arrow_schema(BLOCKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
@@ -101,46 +124,81 @@ def counted_chunks(df: DataFrame) -> DataFrame:
                     held.append((lang, source, text.encode("utf-8", "replace")))
                     size += len(held[-1][2])
                     if size >= BLOCK_BYTES or len(held) >= BLOCK_DOCUMENTS:
-                        yield from block_rows(first + done, held, schema)
+                        yield _batch(block_rows(first + done, held, buckets), schema)
                         held, size, done = [], 0, done + 1
         if held:
-            yield from block_rows(first + done, held, schema)
+            yield _batch(block_rows(first + done, held, buckets), schema)
+
+    return spool(df.mapInArrow(run, BLOCKS), "blocks")
+
+
+_FIND = re.compile(TERM.encode("latin-1")).findall
+_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
-    return spool(df.mapInArrow(run, POSTINGS), "chunks")
 
+def tokenized(blocks: DataFrame, buckets: int) -> DataFrame:
+    """For each block and bucket the terms of its chunks, in their order, in the columns of `BLOCKS`; a chunk is tokenized once."""
+    schema = arrow_schema(BLOCKS)
+
+    def run(table: pa.Table) -> pa.Table:
+        known: dict[bytes, bytes] = {}
+        rows = []
+        for block, bucket, text in zip(*(table.column(c) for c in ("block", "bucket", "text"))):
+            chunks = text.as_py().split(b" ")
+            for chunk in set(chunks).difference(known):
+                known[chunk] = b" ".join(_FIND(chunk.translate(_LOWER)))
+            rows.append((block.as_py(), bucket.as_py(), b"\n".join(map(known.__getitem__, chunks)), None, None, None, None))
+        return pa.Table.from_batches([_batch(rows, schema)])
+
+    chunks = blocks.filter("bucket >= 0").repartition(buckets, "bucket")
+    return chunks.groupBy("bucket").applyInArrow(run, BLOCKS)
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    return values.astype(np.uint32 if values.max(initial=0) < 1 << 32 else np.uint64).tobytes()
 
-def chunk_terms(rows: DataFrame, least: int) -> DataFrame:
-    """`chunk, terms` of the chunks with terms that may reach `least` documents; a term stands there as often as in the chunk."""
-    terms = F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))
-    chunks = rows.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.sum("docs").alias("docs"))
-    chunks = spool(chunks.withColumn("terms", terms).filter(F.size("terms") > 0), "terms")
-    bound = chunks.select("docs", F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.sum("docs").alias("most"))
-    useful = chunks.select("chunk", F.explode("terms").alias("term")).join(bound.filter(F.col("most") >= least), "term")
-    return useful.groupBy("chunk").agg(F.collect_list("term").alias("terms"))
 
+def _wide(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint32 if len(data) == 4 * n else np.uint64).astype(np.int64)
 
-COUNTS = "lang string, source string, term string, docs long, n long"
 
+def count_rows(part: int, terms: list[bytes], place: np.ndarray, term: np.ndarray, group: np.ndarray, docs: np.ndarray, n: np.ndarray, groups: list) -> list[tuple]:
+    """Packed rows by bucket of counts by term and group; terms are in the order of their buckets, entries in that of the terms."""
+    firsts = np.searchsorted(term, np.arange(len(terms) + 1))
+    rows = []
+    for b, i, j in _cuts(place):
+        at = slice(firsts[i], firsts[j])
+        used, local = np.unique(group[at], return_inverse=True)
+        packed = (np.diff(firsts[i : j + 1]), local, docs[at], n[at])
+        rows.append((b, part, b" ".join(terms[i:j]), *map(_narrow, packed), json.dumps([groups[g] for g in used.tolist()])))
+    return rows
 
-def block_counts(table: pa.Table, schema: pa.Schema) -> pa.Table:
+
+def block_counts(table: pa.Table, buckets: int, parts: int) -> list[tuple]:
     """Distinct documents and occurrences of each term of a block, by language and source."""
-    head = table.filter(pc.is_valid(table.column("info")))
-    rows = table.filter(pc.is_null(table.column("info"))).combine_chunks()
-    if not rows.num_rows:
-        return schema.empty_table()
-    groups = json.loads(head.column("info")[0].as_py())
-    of = np.frombuffer(head.column("data")[0].as_py(), np.uint32).astype(np.int64)
-    packed = np.frombuffer(b"".join(rows.column("data").to_pylist()), np.uint32)
-    sizes = pc.binary_length(rows.column("data")).to_numpy() // 4
-    firsts = np.cumsum(sizes) - sizes
-    lists = rows.column("terms").combine_chunks()
-    row = np.repeat(np.arange(rows.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    coded = lists.flatten().dictionary_encode()
+    rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
+    head, replies = rows[0], rows[1:]
+    if not replies:
+        return []
+    groups = json.loads(head["info"])
+    of = np.frombuffer(head["groups"], np.uint32).astype(np.int64)
+    firsts, packed = np.frombuffer(head["firsts"], np.uint32).astype(np.int64), np.frombuffer(head["postings"], np.uint32)
+    lines = b"\n".join(r["text"] for r in replies).split(b"\n")
+    times = np.fromiter((line.count(b" ") + 1 if line else 0 for line in lines), np.int64, len(lines))
+    words = b" ".join(filter(None, lines)).split()
+    terms = list(set(words))
+    if not terms:
+        return []
+    place = bucket_of(terms, buckets)
+    order = np.argsort(place, kind="stable")
+    terms, place = [terms[i] for i in order.tolist()], place[order]
+    code = dict(zip(terms, range(len(terms))))
     # The postings of a chunk, once for each term in it.
-    each = sizes[row]
-    place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(firsts[row], each)
-    found = packed[place].astype(np.int64)
-    keys = np.repeat(coded.indices.to_numpy().astype(np.int64), each) * len(of) + (found >> 8)
+    row = np.repeat(np.arange(len(lines)), times)
+    each = np.diff(firsts)[row]
+    at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(firsts[row], each)
+    found = packed[at].astype(np.int64)
+    keys = np.repeat(np.fromiter(map(code.__getitem__, words), np.int64, len(words)), each) * len(of) + (found >> 8)
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], found[order] & 255
     new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -149,23 +207,67 @@ def block_counts(table: pa.Table, schema: pa.Schema) -> pa.Table:
     term, group = keys // len(of), of[keys % len(of)]
     new = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (group[1:] != group[:-1])))
     docs, n = np.diff(np.append(new, len(keys))), np.add.reduceat(counts, new)
-    names = [pa.array([g[i] for g in groups], pa.string()).take(pa.array(group[new])) for i in (0, 1)]
-    columns = [*names, coded.dictionary.take(pa.array(term[new])), pa.array(docs, pa.int64()), pa.array(n, pa.int64())]
-    return pa.table(columns, schema=schema)
+    return count_rows(zlib.crc32(str(head["block"]).encode()) % parts, terms, place, term[new], group[new], docs, n, groups)
+
+
+def merged_counts(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
+    """Sums over packed rows of one bucket: terms, and by term and group the documents and occurrences."""
+    code: dict[bytes, int] = {}
+    groups: dict[tuple, int] = {}
+    columns: list[list[np.ndarray]] = [[], [], [], []]
+    for r in table.to_pylist():
+        words = r["text"].split(b" ")
+        sizes = _wide(r["sizes"], len(words))
+        n = int(sizes.sum())
+        names = np.array([groups.setdefault(tuple(g), len(groups)) for g in json.loads(r["info"])])
+        codes = np.fromiter((code.setdefault(w, len(code)) for w in words), np.int64, len(words))
+        for column, values in zip(columns, (np.repeat(codes, sizes), names[_wide(r["groups"], n)], _wide(r["docs"], n), _wide(r["n"], n))):
+            column.append(values)
+    term, group, docs, n = map(np.concatenate, columns)
+    order = np.lexsort((group, term))
+    term, group = term[order], group[order]
+    new = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (group[1:] != group[:-1])))
+    return list(code), term[new], group[new], np.add.reduceat(docs[order], new), np.add.reduceat(n[order], new), list(groups)
+
+
+def kept_rows(table: pa.Table, least: int, schema: pa.Schema) -> pa.Table:
+    """The kept terms of a bucket: occurrences in each source, and in the language."""
+    terms, term, group, docs, n, groups = merged_counts(table)
+    langs = {lang: i for i, lang in enumerate(dict.fromkeys(g[0] for g in groups))}
+    key = term * len(langs) + np.array([langs[g[0]] for g in groups])[group]
+    _, which = np.unique(key, return_inverse=True)
+    met, total = np.zeros(which.max() + 1, np.int64), np.zeros(which.max() + 1, np.int64)
+    np.add.at(met, which, docs)
+    np.add.at(total, which, n)
+    keep = np.flatnonzero(met[which] >= least)
+    names = [[groups[g][i] for g in group[keep].tolist()] for i in (0, 1)]
+    shown = [terms[t].decode() for t in term[keep].tolist()]
+    columns = [*names, shown, n[keep], total[which[keep]]]
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def kept_counts(df: DataFrame, least: int) -> DataFrame:
     """`lang, source, term, n, total`: occurrences of the kept terms in a source that has them, and in the language; stored."""
-    rows = counted_chunks(df)
-    found = rows.join(chunk_terms(rows, least), "chunk").select("block", "terms", "data", "info")
-    heads = rows.filter("info IS NOT NULL").select("block", F.lit(None).cast("array<string>").alias("terms"), "data", "info")
-    schema = arrow_schema(COUNTS)
-    blocks = found.union(heads).groupBy("block").applyInArrow(lambda table: block_counts(table, schema), COUNTS)
-    # One exchange serves the sums by source and those by language.
-    counts = blocks.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    term = W.partitionBy("lang", "term")
-    counts = counts.withColumns({"met": F.sum("docs").over(term), "total": F.sum("n").over(term)})
-    return spool(counts.filter(F.col("met") >= least).select("lang", "source", "term", "n", "total"), "kept")
+    size = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets, parts = max(8, -(-size // BUCKET_BYTES)), max(1, -(-size // (BLOCK_BYTES * MERGED)))
+    blocks = packed_blocks(df, buckets)
+    both = blocks.filter("bucket < 0").union(tokenized(blocks, buckets))
+    schema, kept = arrow_schema(COUNTS), arrow_schema(KEPT)
+
+    def counts(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_batch(block_counts(table, buckets, parts), schema)])
+
+    def merge(table: pa.Table) -> pa.Table:
+        bucket, part = (table.column(c)[0].as_py() for c in ("bucket", "part"))
+        terms, *entries, groups = merged_counts(table)
+        return pa.Table.from_batches([_batch(count_rows(part // MERGED, terms, np.full(len(terms), bucket), *entries, groups), schema)])
+
+    found = both.groupBy("block").applyInArrow(counts, COUNTS)
+    # A task merges about MERGED rows of a bucket, however many blocks there are.
+    while parts > 1:
+        found, parts = spool(found.groupBy("bucket", "part").applyInArrow(merge, COUNTS), "counts"), -(-parts // MERGED)
+    found = found.drop("part").repartition(buckets, "bucket")
+    return spool(found.groupBy("bucket").applyInArrow(lambda table: kept_rows(table, least, kept), KEPT), "kept")
 
 
 def _share(count: str, total: str) -> str:

@@ -63,9 +63,9 @@ def run(spark, rows, least, top):
     return sorted(tuple(r[c] for c in ORDER) for r in divergence.divergence(df, least, top).collect())
 
 
-@pytest.mark.parametrize("block, cells, sources", [(8 << 20, 1 << 20, 512), (500, 40, 3)])
-def test_against_plain_counts(spark, monkeypatch, block, cells, sources):
-    for name, value in (("BLOCK_BYTES", block), ("CELLS", cells), ("SOURCES", sources)):
+@pytest.mark.parametrize("block, bucket, merged, cells, sources", [(8 << 20, 24 << 20, 256, 1 << 20, 512), (500, 4000, 4, 40, 3)])
+def test_against_plain_counts(spark, monkeypatch, block, bucket, merged, cells, sources):
+    for name, value in (("BLOCK_BYTES", block), ("BUCKET_BYTES", bucket), ("MERGED", merged), ("CELLS", cells), ("SOURCES", sources)):
         monkeypatch.setattr(divergence, name, value)
     rnd = random.Random(8)
     rows = []
@@ -84,11 +84,11 @@ def test_nothing(spark):
 
 
 def test_postings_hold_large_counts():
-    chunks, met, packed, firsts = divergence.postings([b"a " * 700 + b"b", b"", b"a b\x0cb"])
-    assert chunks == [b"a", b"b"] and met.tolist() == [2, 2]
-    total = [collections.Counter(), collections.Counter()]
-    for c in range(2):
-        for p in packed[firsts[c] : firsts[c + 1]].tolist():
+    chunks, place, firsts, packed = divergence.postings([b"a " * 700 + b"b", b"", b"a b\x0cb"], 4)
+    assert sorted(chunks) == [b"a", b"b"] and place.tolist() == divergence.bucket_of(chunks, 4).tolist() == sorted(place)
+    total = {c: collections.Counter() for c in chunks}
+    for c, i, j in zip(chunks, firsts, firsts[1:]):
+        for p in packed[i:j].tolist():
             total[c][p >> 8] += p & 255
-    assert total == [{0: 700, 2: 1}, {0: 1, 2: 2}]
+    assert total == {b"a": {0: 700, 2: 1}, b"b": {0: 1, 2: 2}}
     assert packed.dtype == np.uint32
