@@ -2,10 +2,19 @@
 
 A polygon goes into the zoom where its extent spans about `splits` cells, by
 default the square root of its number of edges, so the cells of a polygon grow
-with its detail and not with its size, and the edges of a cell with the square
-root of all; a point is looked up once per zoom in use. Each cell row carries only the edges a
-ray cast inside that cell can meet: edges of the cell's own band of rows that
-do not lie wholly to its left. The answer equals the ray cast over all edges.
+with its detail and not with its size; a point is looked up once per zoom in use.
+
+Each cell row carries the edges that touch the cell, and whether its upper right
+corner, the anchor, lies inside (`_odd`). A point's own parity follows on the way
+to the anchor, to the right as far as the cell's border and up along it: only
+edges of the cell can cross that way. Which side of the bend an edge passes is
+decided once and used for both legs, so rounding cannot part them, and the
+answer equals the ray cast over all edges.
+
+Cells are built from edges as rows. The anchors' parities are running sums of the
+edges that cross a column's right border, from the top down; where no edge
+touches the cells between two rows of a column, the sum says whether they lie
+wholly inside.
 """
 
 from __future__ import annotations
@@ -13,6 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
@@ -22,8 +32,11 @@ from plumbline.session import spool
 CELL = ["_z", "_cx", "_cy"]
 # Cell sizes from 6e-8 to 1e12; a shape beyond them still works, in fewer or more cells.
 MIN_ZOOM, MAX_ZOOM = -24, 40
-# Bytes of edge lists a broadcast side may hold.
+# Bytes of an index a broadcast side may hold, and those of a row beside its edges and other columns.
 BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 150
+# An edge so close to a cell, against the largest number involved, touches it.
+SLACK = 1e-12
 
 
 def zoom(width: str, splits: int | str) -> str:
@@ -48,43 +61,80 @@ def _zoomed(boundaries: DataFrame, rings: str, splits: int | None, keep: list[st
 
 
 def cell_index(boundaries: DataFrame, rings: str = "rings", splits: int | None = None) -> DataFrame:
-    """Cell rows of the boundaries: their other columns plus `_z, _cx, _cy, _whole, _edges`.
+    """Cell rows of the boundaries: their other columns plus `_z, _cx, _cy, _whole, _odd, _edges`.
 
     `_whole` marks a cell that lies wholly inside; cells wholly outside are left out.
     """
     keep = [c for c in boundaries.columns if c != rings]
-    return _cells(_zoomed(boundaries, rings, splits, keep), keep)
+    return _cells(_stored(_zoomed(boundaries, rings, splits, keep)), keep)
+
+
+def _stored(zoomed: DataFrame) -> DataFrame:
+    """Extents and edges written once, each shape with a number of its own."""
+    return spool(zoomed.withColumn("_shape", F.monotonically_increasing_id()), "shapes")
+
+
+def _height(e: str, at: str) -> str:
+    """Height at which edge `e` crosses the vertical line through `at`, between its ends."""
+    raw = f"({e}.y2 - {e}.y1) * ({at} - {e}.x1) / nullif({e}.x2 - {e}.x1, 0D) + {e}.y1"
+    return f"least(greatest({e}.y1, {e}.y2), greatest(least({e}.y1, {e}.y2), {raw}))"
+
+
+def _touched(edges: DataFrame) -> DataFrame:
+    """A row for each edge and cell it touches, a little beyond the cell included."""
+    size = cell_size("_z")
+    slack = f"({SLACK!r}D * greatest({size}, abs(_e.x1), abs(_e.x2), abs(_e.y1), abs(_e.y2)))"
+    rows = f"sequence(floor((least(_e.y1, _e.y2) - {slack}) / {size}), floor((greatest(_e.y1, _e.y2) + {slack}) / {size}))"
+    # Where the edge enters and leaves the row of cells.
+    run = "(_e.x2 - _e.x1) / nullif(_e.y2 - _e.y1, 0D)"
+
+    def at(y: str) -> str:
+        within = f"least(greatest(_e.y1, _e.y2), greatest(least(_e.y1, _e.y2), {y}))"
+        return f"least(greatest(_e.x1, _e.x2), greatest(least(_e.x1, _e.x2), coalesce(({within} - _e.y1) * {run} + _e.x1, {{0}})))"
+
+    low, high = at(f"_cy * {size} - {slack}"), at(f"(_cy + 1) * {size} + {slack}")
+    first, last = (f"{pick}({low.format(end)}, {high.format(end)})" for pick, end in (("least", "least(_e.x1, _e.x2)"), ("greatest", "greatest(_e.x1, _e.x2)")))
+    columns = f"sequence(floor(({first} - {slack}) / {size}), floor(({last} + {slack}) / {size}))"
+    return edges.withColumn("_cy", F.explode(F.expr(rows))).withColumn("_cx", F.explode(F.expr(columns)))
 
 
 def _cells(zoomed: DataFrame, keep: list[str]) -> DataFrame:
     size = cell_size("_z")
-    banded = (
-        # Shapes differ a lot in the work they make, so they are dealt out before it starts.
-        zoomed.repartition("_box")
-        .withColumn("_cy", F.explode(F.expr(f"sequence(floor(_box.miny / {size}), floor(_box.maxy / {size}))")))
-        .withColumn(
-            "_band",
-            F.expr(
-                f"filter(_all, b_e -> greatest(b_e.y1, b_e.y2) >= _cy * {size} "
-                f"AND least(b_e.y1, b_e.y2) <= (_cy + 1) * {size})"
-            ),
-        )
-        .drop("_all")
-    )
-    celled = (
-        banded.withColumn(
-            "_cx", F.explode(F.expr(f"sequence(floor(_box.minx / {size}), floor(_box.maxx / {size}))"))
-        )
-        .withColumn("_near", F.expr(f"filter(_band, b_e -> greatest(b_e.x1, b_e.x2) >= _cx * {size})"))
-        .withColumn("_whole", F.expr(f"NOT exists(_near, b_e -> least(b_e.x1, b_e.x2) <= (_cx + 1) * {size})"))
-    )
-    centre_in = g.inside_edges("_near", f"((_cx + 0.5D) * {size})", f"((_cy + 0.5D) * {size})")
-    return celled.filter(F.expr(f"NOT _whole OR {centre_in}")).select(
-        *keep,
-        *CELL,
-        "_whole",
-        F.expr(f"CASE WHEN _whole THEN CAST(array() AS ARRAY<{g.EDGE}>) ELSE _near END").alias("_edges"),
+    edges = zoomed.select("_shape", "_z", F.explode("_all").alias("_e"))
+    # An edge counts for the right border of a column in the one row where it crosses it.
+    border = f"((_cx + 1) * {size})"
+    crosses = f"((_e.x1 > {border}) != (_e.x2 > {border}) AND ceil({_height('_e', border)} / {size}) - 1 = _cy)"
+    cells = _touched(edges).groupBy("_shape", *CELL).agg(
+        F.collect_list("_e").alias("_edges"), F.sum(F.expr(f"CAST({crosses} AS INT)")).alias("_n")
     )
+    down = W.partitionBy("_shape", "_z", "_cx").orderBy(F.desc("_cy"))
+    above = F.coalesce(F.sum("_n").over(down.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    cells = cells.withColumns({"_above": above, "_next": F.lead("_cy").over(down)})
+    # Untouched cells below a touched one, down to the next, are inside if the border is.
+    inside = "(_above + _n) % 2 = 1 AND _next < _cy - 1"
+    below = f"CASE WHEN {inside} THEN sequence(_next + 1, _cy - 1) ELSE CAST(array() AS ARRAY<BIGINT>) END"
+    own = "array(named_struct('_cy', _cy, '_whole', false, '_odd', _above % 2 = 1, '_edges', _edges))"
+    none = f"CAST(array() AS ARRAY<{g.EDGE}>)"
+    whole = f"transform({below}, ce_y -> named_struct('_cy', ce_y, '_whole', true, '_odd', true, '_edges', {none}))"
+    rows = cells.select("_shape", "_z", "_cx", F.explode(F.expr(f"concat({own}, {whole})")).alias("_c"))
+    rows = rows.select("_shape", "_z", "_cx", "_c.*")
+    return rows.join(zoomed.select("_shape", *keep), "_shape").select(*keep, *CELL, "_whole", "_odd", "_edges")
+
+
+def inside_cell(row: str, px: str, py: str) -> str:
+    """Whether a point within the cell of index row `row` (a prefix such as `b.`) lies inside its shape."""
+    right, top = (f"(({row}_c{v} + 1) * {cell_size(f'{row}_z')})" for v in "xy")
+    e = "ic_e"
+    along = f"(({e}.x2 - {e}.x1) * ({py} - {e}.y1) / nullif({e}.y2 - {e}.y1, 0D) + {e}.x1)"
+    r1, r2, u1, u2 = (f"({e}.{v}{i} > {limit})" for v, limit in (("x", right), ("y", py)) for i in (1, 2))
+    # Whether the edge passes beyond the bend, the border at the point's height.
+    beyond = f"(CASE WHEN {r1} = {r2} THEN {r1} ELSE {right} < {along} END)"
+    rightwards = f"({u1} != {u2} AND {px} < {along} AND NOT {beyond})"
+    rising = f"(({e}.x2 > {e}.x1) = ({e}.y2 > {e}.y1))"
+    over_bend = f"(CASE WHEN {u1} = {u2} THEN {u1} WHEN {rising} THEN NOT {beyond} ELSE {beyond} END)"
+    upwards = f"({r1} != {r2} AND {over_bend} != ({_height(e, right)} > {top}))"
+    crossed = f"size(filter({row}_edges, {e} -> {rightwards} != {upwards})) % 2 = 1"
+    return f"({row}_whole OR ({crossed}) != {row}_odd)"
 
 
 @dataclass(frozen=True)
@@ -93,11 +143,17 @@ class IndexStats:
     small: bool
 
 
+def row_bytes(columns: list[str]) -> Column:
+    """Bytes of an index row without its edges, the columns that came with the shape included."""
+    shown = F.struct(*[F.col(c) for c in columns]).cast("string")
+    return F.octet_length(shown) + ROW_BYTES
+
+
 def index_stats(index: DataFrame, limit: int | None = None) -> IndexStats:
     """Zooms in use and whether the index is small enough to broadcast: one aggregate job."""
     row = index.agg(
         F.collect_set("_z").alias("z"),
-        F.sum(F.size("_edges") * 48 + 400).alias("bytes"),
+        F.sum(F.size("_edges") * 48 + row_bytes(index.drop("_edges").columns)).alias("bytes"),
     ).first()
     return IndexStats(sorted(row["z"]), (row["bytes"] or 0) <= (BROADCAST_BYTES if limit is None else limit))
 
@@ -116,12 +172,11 @@ def prepared_index(
     size = cell_size("_z")
     nx = f"(floor(_box.maxx / {size}) - floor(_box.minx / {size}) + 1)"
     ny = f"(floor(_box.maxy / {size}) - floor(_box.miny / {size}) + 1)"
-    rows_met = f"aggregate(_all, 0D, (pi_s, pi_e) -> pi_s + abs(pi_e.y2 - pi_e.y1) / {size} + 3)"
+    met = f"aggregate(_all, 0D, (pi_s, pi_e) -> pi_s + (abs(pi_e.x2 - pi_e.x1) + abs(pi_e.y2 - pi_e.y1)) / {size} + 3)"
     keep = [c for c in boundaries.columns if c != rings]
-    zoomed = spool(_zoomed(boundaries, rings, splits, keep), "shapes")
-    row = zoomed.agg(
-        F.collect_set("_z").alias("z"), F.expr(f"sum({nx} * ({ny} * 400 + 48 * {rows_met}))").alias("bound")
-    ).first()
+    zoomed = _stored(_zoomed(boundaries, rings, splits, keep))
+    held = F.expr(f"{nx} * {ny}") * row_bytes(keep) + F.expr(f"48 * {met}")
+    row = zoomed.agg(F.collect_set("_z").alias("z"), F.sum(held).alias("bound")).first()
     index = _cells(zoomed, keep)
     if (row["bound"] or 0) <= BROADCAST_BYTES:
         return index, IndexStats(sorted(row["z"]), True)

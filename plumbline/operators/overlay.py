@@ -22,7 +22,7 @@ from plumbline.functions import geometry as g
 from plumbline.functions import measures as m
 from plumbline.functions.projection import project_rings
 from plumbline.operators.components import connected_components
-from plumbline.operators.grid import BROADCAST_BYTES, CELL, box_cells, prepared_index, zoom
+from plumbline.operators.grid import BROADCAST_BYTES, CELL, box_cells, inside_cell, prepared_index, zoom
 from plumbline.operators.skew import key_spread, repeat_rows, spread_rows
 from plumbline.session import spool
 
@@ -170,10 +170,10 @@ def _kept(shared_counts: bool) -> str:
     )
     same_way = f"exists(kn, kf -> {dx} * {fx} + {dy} * {fy} > 0 AND {same_line})"
     on_line = f"exists(kn, kf -> {same_line})"
-    inside = g.inside_edges("_edges", px, py)
+    inside = inside_cell("", px, py)
     shared = same_way if shared_counts else "false"
     keep = f"CASE WHEN {on_line} THEN {shared} ELSE {inside} END"
-    whole_piece = f"CASE WHEN {g.inside_edges('_edges', px.replace('ks.', '_t.'), py.replace('ks.', '_t.'))} THEN array(_t) ELSE slice(array(_t), 1, 0) END"
+    whole_piece = f"CASE WHEN {inside_cell('', px.replace('ks.', '_t.'), py.replace('ks.', '_t.'))} THEN array(_t) ELSE slice(array(_t), 1, 0) END"
     per_near = f"CASE WHEN size(kn) = 0 THEN {whole_piece} ELSE filter({cuts}, ks -> {keep}) END"
     return f"CASE WHEN _whole THEN array(_t) ELSE transform(array({near}), kn -> {per_near})[0] END"
 

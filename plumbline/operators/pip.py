@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions import geometry as g
-from plumbline.operators.grid import CELL, join_on_cells, prepared_index
+from plumbline.operators.grid import CELL, inside_cell, join_on_cells, prepared_index
 
-INDEX_COLUMNS = [*CELL, "_whole", "_edges"]
+INDEX_COLUMNS = [*CELL, "_whole", "_odd", "_edges"]
 
 
 def shape_columns(boundaries: DataFrame) -> list[str]:
@@ -51,7 +50,7 @@ def point_in_polygon(
         points,
         index,
         stats,
-        f"b._whole OR {g.inside_edges('b._edges', f'p.{x}', f'p.{y}')}",
+        inside_cell("b.", f"p.{x}", f"p.{y}"),
         x=x,
         y=y,
         on=on,

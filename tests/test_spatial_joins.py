@@ -135,13 +135,44 @@ def test_cells_carry_less_than_all_edges(world):
     assert whole == 0
 
 
+def circle(n, radius=100.0):
+    angle = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    ring = list(zip((radius * np.cos(angle)).tolist(), (radius * np.sin(angle)).tolist()))
+    return [*ring, ring[0]]
+
+
 def test_cells_of_detailed_polygons_stay_short(spark):
-    """The edges of a cell grow with the square root of all, not with all."""
-    mean = {}
+    """The fullest cell holds less than twice the square root of the edges."""
     for n in (400, 20_000):
-        angle = np.linspace(0, 2 * np.pi, n, endpoint=False)
-        ring = list(zip((100 * np.cos(angle)).tolist(), (100 * np.sin(angle)).tolist()))
-        rows = spark.createDataFrame([("c", as_rings([*ring, ring[0]]))], f"geoid string, rings {g.RINGS}")
+        rows = spark.createDataFrame([("c", as_rings(circle(n)))], f"geoid string, rings {g.RINGS}")
         index = grid.cell_index(rows)
-        mean[n] = index.filter("NOT _whole").agg(F.avg(F.size("_edges"))).first()[0]
-    assert mean[20_000] < 1.5 * 50**0.5 * mean[400]
+        edges = index.agg(F.max(F.size("_edges")).alias("most"), F.sum(F.size("_edges")).alias("all")).first()
+        assert edges["most"] < 2 * n**0.5
+        assert edges["all"] < 3 * n
+
+
+def snapped(rng, n, step):
+    """A star whose corners lie on a lattice, so that edges run along and end on cell lines."""
+    ring = [(round(x / step) * step, round(y / step) * step) for x, y in star(rng, 0, 0, 40, n)[:-1]]
+    ring = [p for p, q in zip(ring, [*ring[1:], ring[0]]) if p != q]
+    return [*ring, ring[0]]
+
+
+@pytest.mark.parametrize("step, shift", [(1.0, 0.0), (4.0, 0.0), (0.5, 1e7), (1e-3, 0.3)])
+def test_anchored_cells_agree_with_the_full_ray_cast(spark, step, shift):
+    rng = np.random.default_rng(int(step * 1000))
+    rows, places = [], []
+    for i in range(12):
+        outer, inner = snapped(rng, int(rng.integers(5, 60)), step), snapped(rng, 6, step)
+        rings = [[(x + shift, y - shift) for x, y in outer], [(x / 8 + shift, y / 8 - shift) for x, y in inner][::-1]]
+        rows.append((f"{i}", as_rings(*rings)))
+        corners = rings[0] + rings[1]
+        places += corners + [((a[0] + b[0]) / 2, (a[1] + b[1]) / 2) for a, b in zip(corners, corners[1:])]
+    lattice = [(x * 2.0 + shift, y * 2.0 - shift) for x in range(-22, 23) for y in range(-22, 23)]
+    places += lattice + [(x + shift, y - shift) for x, y in rng.uniform(-45, 45, (1500, 2))]
+    polys = spark.createDataFrame(rows, f"geoid string, rings {g.RINGS}")
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(places)], "id long, x double, y double")
+    want = points.crossJoin(polys).filter(F.expr(g.contains("rings", "x", "y"))).select("id", "geoid").collect()
+    for splits in (None, 3, 40):
+        got = point_in_polygon(points, polys, splits=splits).select("id", "geoid").collect()
+        assert len(got) == len(set(got)) and set(got) == set(want)
