@@ -1,13 +1,18 @@
-"""Boundaries within a distance of points, nearest first."""
+"""Boundaries within a distance of points, nearest first, and the k nearest at any distance."""
 
 from __future__ import annotations
 
+import functools
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
-from plumbline.operators.grid import BROADCAST_BYTES, CELL, IndexStats, cell_size, join_on_cells, zoom
+from plumbline.functions.projection import albers, project_rings
+from plumbline.operators.grid import BROADCAST_BYTES, CELL, IndexStats, box_cells, cell_size, join_on_cells, zoom
 from plumbline.operators.pip import point_in_polygon
+from plumbline.session import spool
 
 
 def _segment_cells(boundaries: DataFrame, key: str, rings: str, reach: float) -> DataFrame:
@@ -57,3 +62,103 @@ def nearest(
     hits = within_distance(points, boundaries, id_col=id_col, key=key, max_distance=max_distance, **kw)
     order = Window.partitionBy(id_col).orderBy(F.col(name), F.col(key))
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
+
+
+def in_metres(points: DataFrame, boundaries: DataFrame, *, lon: str, lat: str, rings: str = "rings") -> tuple[DataFrame, DataFrame]:
+    """Points with `x, y` and boundaries with their rings in the equal-area plane, from longitudes and latitudes."""
+    at = F.expr(albers(lon, lat))
+    placed = points.withColumn("_at", at).withColumns({"x": F.col("_at.x"), "y": F.col("_at.y")}).drop("_at")
+    return placed, boundaries.withColumn(rings, F.expr(project_rings(rings)))
+
+
+def _closing_radius(points: DataFrame, marks: DataFrame, need: int) -> DataFrame:
+    """`points` with `_r`, a distance within which at least `need` of the marks `_vx, _vy` lie.
+
+    Cells of marks are counted together with their eight neighbours. A point whose
+    cell has enough is done; the others look again in cells of twice the size.
+    """
+    ends = [f(c) for c in ("_vx", "_vy") for f in (F.min, F.max)]
+    row, own = marks.agg(F.count("*"), *ends).first(), points.agg(*[f(c) for c in ("_x", "_y") for f in (F.min, F.max)]).first()
+    if own[0] is None:
+        return points.withColumn("_r", F.lit(0.0))
+    width = max(row[2] - row[1], row[4] - row[3], 1e-6)
+    whole = max(max(row[i + 2], own[i + 1]) - min(row[i + 1], own[i]) for i in (0, 2))
+    level = math.ceil(math.log2(width / math.sqrt(max(1.0, row[0] / need))))
+    beside = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    done, rest = [], points
+    while True:
+        size = 2.0**level
+        cell = [F.floor(F.col(c) / F.lit(size)) for c in ("_x", "_y")]
+        counts = marks.groupBy(*[F.floor(F.col(c) / F.lit(size)).alias(c) for c in ("_vx", "_vy")]).agg(F.count("*").alias("n"))
+        around = counts.withColumn("_d", beside).groupBy((F.col("_vx") + F.col("_d.i")).alias("_cx"), (F.col("_vy") + F.col("_d.j")).alias("_cy"))
+        met = rest.withColumns({"_cx": cell[0], "_cy": cell[1]}).join(around.agg(F.sum("n").alias("_n")), ["_cx", "_cy"], "left").drop("_cx", "_cy")
+        met = spool(met.withColumn("_closed", F.coalesce(F.col("_n") >= need, F.lit(False))).drop("_n"), "reach")
+        # The far corner of the neighbours, two cells away along both axes.
+        done.append(met.filter("_closed").drop("_closed").withColumn("_r", F.lit(2.0 * math.sqrt(2.0) * size * (1 + 1e-9))))
+        rest = met.filter("NOT _closed").drop("_closed")
+        if size >= whole or rest.isEmpty():
+            return functools.reduce(DataFrame.union, done)
+        level += 1
+
+
+def k_nearest(
+    points: DataFrame,
+    boundaries: DataFrame,
+    *,
+    id_col: str,
+    key: str,
+    limit: int = 20,
+    max_distance: float | None = None,
+    x: str = "x",
+    y: str = "y",
+    rings: str = "rings",
+    distance: str = "distance_m",
+) -> DataFrame:
+    """`(id, key, distance, rank)`: the `limit` nearest boundaries of each point however far, ties by `key`.
+
+    Inside a boundary the distance is 0. With `max_distance` those farther away
+    are left out. A first bound comes from cells around the point that hold
+    corners of enough boundaries; boundaries whose boxes lie within it are its
+    candidates. Of these only those whose box is no farther than the k-th nearest
+    corner are measured exactly. Points without a position and boundaries
+    without a shape take no part.
+    """
+    shapes = boundaries.filter(F.size(rings) > 0).select(F.col(key), F.col(rings).alias("rings"), F.expr(g.extent(rings)).alias("_box"))
+    shapes = shapes.withColumns({"_vx": F.expr("rings[0][0].x"), "_vy": F.expr("rings[0][0].y"), "_b": F.monotonically_increasing_id()})
+    shapes = spool(shapes, "shapes")
+    pts = points.select(F.col(id_col), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    pts = pts.filter("_x IS NOT NULL AND _y IS NOT NULL AND NOT isnan(_x) AND NOT isnan(_y)")
+    pts = spool(pts.withColumn("_p", F.monotonically_increasing_id()), "points")
+    many = shapes.count()
+    need = min(limit, many)
+    if not need:
+        return pts.join(shapes, F.lit(False)).select(id_col, key, F.lit(0.0).alias(distance), F.lit(1).alias("rank"))
+    reach = _closing_radius(pts, shapes.select("_vx", "_vy"), need)
+    box = "named_struct('minx', _x - _r, 'miny', _y - _r, 'maxx', _x + _r, 'maxy', _y + _r)"
+    own = F.expr(zoom("greatest(_box.maxx - _box.minx, _box.maxy - _box.miny)", 4))
+    boxes_p = spool(reach.withColumn("_box", F.expr(box)).withColumn("_own", own), "boxes")
+    boxes_b = shapes.select("_b", "_vx", "_vy", "_box", own.alias("_own"))
+    zooms = sorted(r[0] for r in boxes_p.select("_own").union(boxes_b.select("_own")).distinct().collect())
+
+    def cells(df: DataFrame) -> DataFrame:
+        return df.withColumn("_c", F.explode(box_cells("_box", "_own", zooms))).select("*", "_c.*").drop("_c")
+
+    # Each pair meets in one cell, that of the lower left corner of what the boxes share.
+    size = "pow(2D, p._z)"
+    corner = " AND ".join(f"p._c{v} = floor(greatest(p._box.min{v}, b._box.min{v}) / {size})" for v in "xy")
+    overlap = " AND ".join(f"p._box.min{v} <= b._box.max{v} AND b._box.min{v} <= p._box.max{v}" for v in "xy")
+    meet = F.expr(f"p._z = greatest(p._own, b._own) AND {overlap} AND {corner}")
+    for c in CELL:
+        meet = (F.col(f"p.{c}") == F.col(f"b.{c}")) & meet
+    gap = lambda v: f"greatest(b._box.min{v} - p._{v}, p._{v} - b._box.max{v}, 0D)"
+    least = F.expr(f"sqrt(pow({gap('x')}, 2) + pow({gap('y')}, 2))").alias("_least")
+    most = F.expr("sqrt(pow(b._vx - p._x, 2) + pow(b._vy - p._y, 2))").alias("_most")
+    pairs = cells(boxes_p).alias("p").join(cells(boxes_b).alias("b"), meet).select(F.col(f"p.{id_col}"), "p._p", "p._x", "p._y", "b._b", least, most)
+    point = Window.partitionBy("_p")
+    pairs = pairs.withColumn("_n", F.row_number().over(point.orderBy("_most", "_b")))
+    pairs = pairs.withColumn("_bound", F.max(F.when(F.col("_n") <= need, F.col("_most"))).over(point)).filter("_least <= _bound * (1 + 1e-9)")
+    exact = F.expr(g.distance("rings", "_x", "_y"))
+    found = pairs.join(shapes.select("_b", key, "rings"), "_b").select("_p", id_col, key, exact.alias(distance))
+    if max_distance is not None:
+        found = found.filter(F.col(distance) <= max_distance)
+    return found.withColumn("rank", F.row_number().over(point.orderBy(distance, key))).filter(F.col("rank") <= limit).drop("_p")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.history import latest_per_key
 from plumbline.operators.pip import point_in_polygon, shape_columns
+from plumbline.operators.proximity import in_metres, k_nearest
 
 # Boundary types, and those looked up when none are named.
 BOUNDARY_TYPES = [
@@ -120,6 +121,33 @@ def boundaries_of_points(
     return hits.groupBy(id_col, "boundary_type").agg(best).select(id_col, "boundary_type", "_b.geoid", "_b.name", "_b.vintage_year")
 
 
+def boundaries_near(
+    points: DataFrame,
+    boundaries: DataFrame,
+    *,
+    boundary_type: str,
+    year: int | None = None,
+    max_distance: float | None = None,
+    limit: int = 20,
+    id_col: str = "id",
+    lon: str = "lon",
+    lat: str = "lat",
+) -> DataFrame:
+    """`(id, geoid, distance_m, rank)`: the nearest boundaries of a type, in metres, from longitudes and latitudes.
+
+    Without `year` every vintage takes part; versions of one geoid are then
+    told apart by `vintage_year`, which comes along.
+    """
+    if boundary_type not in BOUNDARY_TYPES:
+        raise ValueError(f"unknown boundary type {boundary_type!r}; one of {sorted(BOUNDARY_TYPES)}")
+    shapes = boundaries.filter(F.col("boundary_type") == boundary_type)
+    if year:
+        shapes = shapes.filter(F.col("vintage_year") == year)
+    placed, shapes = in_metres(points, shapes.withColumn("_key", F.struct("geoid", "vintage_year")), lon=lon, lat=lat)
+    found = k_nearest(placed, shapes, id_col=id_col, key="_key", limit=limit, max_distance=max_distance)
+    return found.select(id_col, "_key.*", "distance_m", "rank")
+
+
 def overlaps_of(intersections: DataFrame, source_type: str, source_id: str | None = None, year: int | None = None) -> DataFrame:
     """Stored overlaps of a county or VTD with the districts, for one source or all."""
     key = f"{source_type}_geoid"

@@ -359,6 +359,25 @@ def nearest_counties(spark, sf):
     return out.select("id", "geoid", F.round("distance_m", 6).alias("distance_m"), "rank")
 
 
+# Every point against every county's sides, both projected by the checking engine.
+@query(f"""{_PROJECTIONS}, corners AS ({_projected_corners('county')}),
+    pts AS (SELECT id, 6378137 * sqrt(cc - n * qq) / n * sin(n * (lon - radians(-96))) AS x,
+        6378137 * sqrt(cc - n * q0) / n - 6378137 * sqrt(cc - n * qq) / n * cos(n * (lon - radians(-96))) AS y
+      FROM (SELECT id, lon, {_Q} AS qq, cc, n, q0 FROM r, (SELECT c_custkey AS id, radians({b.US_LON}) AS lon, radians({b.US_LAT}) AS lat FROM customer))),
+    sides AS (SELECT id, geoid, x, y, x1, y1, x2 - x1 AS u, y2 - y1 AS v, least(1.0, greatest(0.0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / (pow(x2 - x1, 2) + pow(y2 - y1, 2)))) AS t
+      FROM pts, corners),
+    dist AS (SELECT id, geoid, CASE WHEN min(u * (y - y1) - v * (x - x1)) > 0 THEN 0.0 ELSE min(sqrt(pow(x - x1 - t * u, 2) + pow(y - y1 - t * v, 2))) END AS d FROM sides GROUP BY id, geoid)
+    SELECT id, geoid, round(d, 1) AS distance_m, CAST(row_number() OVER (PARTITION BY id ORDER BY d, geoid) AS INT) AS rank FROM dist
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, geoid) <= 5""")
+def nearest_in_metres(spark, sf):
+    """The five nearest counties of a year, at any distance, from longitudes and latitudes."""
+    points = b.read(spark, sf, "customer").selectExpr("c_custkey AS id", f"{b.US_LON} AS lon", f"{b.US_LAT} AS lat")
+    county, cd = (_lonlat(spark, sf, kind).withColumn("boundary_type", F.lit(kind)) for kind in ("county", "cd"))
+    older = county.withColumns({"vintage_year": F.lit(2010), "geoid": F.concat(F.lit("x"), "geoid")})
+    out = serving.boundaries_near(points, county.unionByName(cd).unionByName(older), boundary_type="county", year=2020, limit=5)
+    return out.select("id", "geoid", F.round("distance_m", 1).alias("distance_m"), "rank")
+
+
 @query(
     b.with_edges("county")
     + """, m AS (SELECT summary_level, geoid, abs(sum(x1 * y2 - x2 * y1)) / 2 AS a, sum(sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2))) AS p FROM edges GROUP BY ALL)

@@ -7,7 +7,7 @@ from shapes import as_rings, box, inside, segment_distance, star
 from plumbline.functions import geometry as g
 from plumbline.operators import grid, skew
 from plumbline.operators.pip import label_matches_space, point_in_polygon
-from plumbline.operators.proximity import nearest, within_distance
+from plumbline.operators.proximity import k_nearest, nearest, within_distance
 
 SCHEMA = f"geoid string, name string, rings {g.RINGS}"
 
@@ -128,6 +128,32 @@ def test_nearest_keeps_the_first_k(world):
     assert set(zip(top.id, top.geoid)) == set(zip(full.id, full.geoid))
 
 
+@pytest.mark.parametrize("limit, most", [(1, None), (4, None), (50, None), (4, 15.0)])
+def test_k_nearest_without_a_radius(spark, world, limit, most):
+    polys, _, shapes, pts = world
+    # Crowded, far away and without a place.
+    rows = [(int(r.id), float(r.x), float(r.y)) for r in pts[pts.id % 20 == 0].itertuples()]
+    rows += [(1000, 5e4, -3e5), (1001, None, 0.0), (1002, float("nan"), 1.0), (1003, 0.0, 0.0), (1003, 0.0, 0.0)]
+    points = spark.createDataFrame(rows, "id long, x double, y double")
+    empty = spark.createDataFrame([("no", "n", []), ("none", "n", None)], SCHEMA)
+    got = k_nearest(points, polys.union(empty), id_col="id", key="geoid", limit=limit, max_distance=most).collect()
+    want = []
+    for i, x, y in rows:
+        if x is None or np.isnan(x):
+            continue
+        found = sorted((0.0 if inside(ring, x, y) else segment_distance(ring, x, y), k) for k, ring in shapes.items())
+        want += [(i, k, r + 1, d) for r, (d, k) in enumerate(found[:limit]) if most is None or d <= most]
+    got, want = sorted((r["id"], r["geoid"], r["rank"], r["distance_m"]) for r in got), sorted(want)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert all(g[3] == pytest.approx(w[3], rel=1e-9, abs=1e-9) for g, w in zip(got, want))
+
+
+def test_k_nearest_of_nothing(spark, world):
+    polys, points, _, _ = world
+    assert k_nearest(points, polys.limit(0), id_col="id", key="geoid").count() == 0
+    assert k_nearest(points.limit(0), polys, id_col="id", key="geoid").count() == 0
+
+
 def test_cells_carry_less_than_all_edges(world):
     polys, _, _, _ = world
     index = grid.cell_index(polys)
