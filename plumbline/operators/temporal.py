@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from plumbline.session import spool
+
 # Decade, first and last year, description, active flag.
 DEFAULT_VINTAGES = [
     (1990, 1990, 1999, "1990 Census boundaries", False),
@@ -98,33 +100,41 @@ def asof_join(
     left_ts: str,
     right_ts: str,
     values: list[str],
-    unit: str = "month",
     tie: list[str] | None = None,
 ) -> DataFrame:
     """Left rows with the `values` of the latest right row of the same key at or before their time.
 
-    A key's history is cut into `unit` steps. The last value of each step is
-    carried over the steps of the key, a short list, and the rows of one step
-    are ordered among themselves, so a key with very many rows is spread over
-    its steps. Right rows of equal time are ordered by `tie`.
+    Both sides are dealt out together in ranges of key and time, so a key with
+    most of the rows, in whatever short time, takes as many ranges as it fills.
+    Each range is scanned by itself; what the ranges before it end with is a
+    table of one row a range, carried forward and broadcast. Right rows of equal
+    time are ordered by `tie`. Left rows without key or time get nulls.
     """
     tie = tie or []
-    payload = F.struct(F.col(right_ts).alias("_t"), *tie, *[F.col(v).alias(f"v_{v}") for v in values])
-    r = right.filter(F.col(right_ts).isNotNull()).select(
-        F.col(key).alias("_key"), F.col(right_ts).alias("_ts"), payload.alias("_payload")
-    )
-    lead = left.select(F.col(key).alias("_key"), F.col(left_ts).alias("_ts"), F.struct(*left.columns).alias("_row"))
-    rows = lead.unionByName(r, allowMissingColumns=True).withColumn("_step", F.date_trunc(unit, "_ts"))
-    steps = rows.groupBy("_key", "_step").agg(F.max("_payload").alias("_last"))
-    earlier = Window.partitionBy("_key").orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
-    carried = steps.select("_key", "_step", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-    within = Window.partitionBy("_key", "_step").orderBy("_ts", F.col("_row").isNotNull(), "_payload").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    found = rows.withColumn("_found", F.last("_payload", ignorenulls=True).over(within)).filter("_row IS NOT NULL")
-    same = F.col("f._key").eqNullSafe(F.col("c._key")) & F.col("f._step").eqNullSafe(F.col("c._step"))
-    hit = F.coalesce(F.col("f._found"), F.col("c._carried"))
-    joined = found.alias("f").join(carried.alias("c"), same, "left").select("f._row", F.col("f._key"), hit.alias("_hit"))
-    return joined.select(
-        "_row.*", *[F.when(F.col("_key").isNotNull(), F.col(f"_hit.v_{v}")).alias(v) for v in values]
-    )
+    placed = F.col(key).isNotNull() & F.col(left_ts).isNotNull()
+    own = F.struct(*[F.col(c) for c in left.columns])
+    payload = F.struct(*tie, *[F.col(v).alias(f"v_{v}") for v in values])
+    r = right.filter(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
+    r = r.select(F.col(key).alias("_key"), F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), payload.alias("_payload"))
+    lead = left.filter(placed).select(F.col(key).alias("_key"), F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), own.alias("_row"))
+    # Rows that are equal up to here may stand in any order, but not all in one range.
+    rows = lead.unionByName(r, allowMissingColumns=True).withColumn("_any", F.xxhash64("_row"))
+    order = ["_key", "_ts", "_side", "_payload", "_any"]
+    # With a number of its own the exchange isn't drawn together where one key is small in bytes.
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = spool(rows.repartitionByRange(parts, *order).withColumn("_slice", F.spark_partition_id()), "ranged")
+    last = F.struct("_key", "_payload")
+    ends = ranged.filter("_side = 0").groupBy("_slice").agg(F.max_by(last, F.struct("_key", "_ts", "_payload")).alias("_last"))
+    slices = ranged.select("_slice").distinct().join(ends, "_slice", "left")
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = slices.select("_slice", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    within = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = F.last(F.when(F.col("_side") == 0, last), ignorenulls=True).over(within)
+    found = ranged.withColumn("_seen", seen).filter("_side = 1").join(F.broadcast(carried), "_slice")
+    newest = F.coalesce("_seen", "_carried")
+    hit = F.when(newest["_key"] == F.col("_key"), newest["_payload"])
+    out = found.withColumn("_hit", hit).select("_row.*", *[F.col(f"_hit.v_{v}").alias(v) for v in values])
+    nowhere = left.filter(~placed)
+    for v in values:
+        nowhere = nowhere.withColumn(v, F.lit(None).cast(right.schema[v].dataType))
+    return out.unionByName(nowhere)

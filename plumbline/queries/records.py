@@ -219,7 +219,7 @@ def boundary_as_of(spark, sf):
     key = "CASE WHEN event_type = 'signup' THEN user_id ELSE -1 - user_id END AS user_id"
     right = events.selectExpr(key, "ts AS started", "event_id AS period_id", "value AS period_value")
     out = temporal.asof_join(
-        left, right, key="user_id", left_ts="ts", right_ts="started", values=["period_id", "period_value"], unit="day", tie=["period_id"]
+        left, right, key="user_id", left_ts="ts", right_ts="started", values=["period_id", "period_value"], tie=["period_id"]
     )
     return out.select("id", "period_id", "period_value")
 

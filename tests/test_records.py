@@ -10,6 +10,7 @@ from plumbline.functions import measures as m
 from plumbline.functions import text as t
 from plumbline.functions.projection import albers, lambert
 from plumbline.operators import history, numbering, quality, temporal, upsert
+from plumbline.session import spool
 from plumbline.operators.components import connected_components
 from plumbline.operators import components, skew
 from plumbline.queries.records import court_plans
@@ -165,7 +166,7 @@ def test_asof_against_pandas(spark):
     left, right = make(300), make(200)
     right["v"] = right["id"]
     got = temporal.asof_join(
-        spark.createDataFrame(left), spark.createDataFrame(right[["k", "ts", "v"]]), key="k", left_ts="ts", right_ts="ts", values=["v"], unit="day", tie=["v"]
+        spark.createDataFrame(left), spark.createDataFrame(right[["k", "ts", "v"]]), key="k", left_ts="ts", right_ts="ts", values=["v"], tie=["v"]
     ).toPandas()
     assert len(got) == len(left)
     for r in got.itertuples():
@@ -174,6 +175,35 @@ def test_asof_against_pandas(spark):
         assert (want is None and pd.isna(r.v)) or r.v == want
 
 
+def test_asof_spreads_one_key_and_keeps_rows_without_a_place(spark, monkeypatch):
+    """Nearly all rows have one key and one month; they fill all ranges, and carry over them."""
+    kept = {}
+    monkeypatch.setattr(temporal, "spool", lambda df, label: kept.setdefault(label, spool(df, label)))
+    rng = np.random.default_rng(6)
+    base, day = pd.Timestamp("2024-03-01"), pd.Timestamp("2024-03-01").to_pydatetime()
+    n = 6000
+
+    def make(n, every):
+        key = np.where(rng.uniform(size=n) < 0.95, 7, rng.integers(0, 4, n))
+        # Many rows share a second, and the right side is thin, so most ranges hold none of it.
+        ts = base + pd.to_timedelta(rng.integers(0, 2_500_000 // every, n) * every, unit="s")
+        return pd.DataFrame({"id": range(n), "k": key.astype("int64"), "ts": ts})
+
+    left, right = make(n, 50_000), make(12, 1)
+    right["v"] = right["id"] % 5
+    l_rows = spark.createDataFrame(left).union(spark.createDataFrame([(-1, None, day), (-2, 7, None), (-3, 7, day), (-3, 7, day)], "id long, k long, ts timestamp"))
+    r_rows = spark.createDataFrame(right[["k", "ts", "v"]]).union(spark.createDataFrame([(None, day, 99), (7, None, 98)], "k long, ts timestamp, v long"))
+    got = temporal.asof_join(l_rows, r_rows, key="k", left_ts="ts", right_ts="ts", values=["v"], tie=["v"]).toPandas()
+    assert len(got) == n + 4
+    frame = pd.concat([left, pd.DataFrame({"id": [-3, -3], "k": [7, 7], "ts": [base, base]})])
+    want = pd.merge_asof(frame.sort_values("ts"), right[["k", "ts", "v"]].sort_values(["ts", "v"]), on="ts", by="k").set_index("id").v
+    for r in got.itertuples():
+        expected = want[r.id].iloc[0] if r.id == -3 else want.get(r.id) if r.id >= 0 else None
+        assert pd.isna(r.v) if expected is None or pd.isna(expected) else r.v == expected
+    per_range = kept["ranged"].filter("_key = 7").groupBy("_slice").count().toPandas()["count"]
+    assert len(per_range) >= 6 and per_range.max() < 0.35 * n
+
+
 # --- Merges, history, checks ---
 
 
