@@ -401,9 +401,10 @@ def representatives(df: DataFrame) -> DataFrame:
     least = keys.filter(worded).groupBy("component").agg(F.min(order).alias("first")).select("first.row", "first.n")
     loose = placed.filter(~worded & F.col("doc_id").isNull()).select("row", F.lit(1).cast("long").alias("n")).distinct()
     kept = spool(least.union(keys.filter(~worded).select("row", "n")).union(loose), "kept")
-    rows = df.withColumn("_row", row_key(df))
-    once, often = (kept.filter(c).select(F.col("row").alias("_row")) for c in ("n = 1", "n > 1"))
-    out = rows.join(once, "_row", "left_semi")
+    # The row travels as one column, so that none of its names can clash.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), row_key(df).alias("_key"))
+    once, often = (kept.filter(c).select(F.col("row").alias("_key")) for c in ("n = 1", "n > 1"))
+    out = rows.join(once, "_key", "left_semi")
     if not often.isEmpty():
-        out = out.unionByName(rows.join(often, "_row", "left_semi").dropDuplicates(["_row"]))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns])
+        out = out.unionByName(rows.join(often, "_key", "left_semi").dropDuplicates(["_key"]))
+    return out.select("_row.*")

@@ -75,3 +75,12 @@ def test_against_all_pairs(spark, monkeypatch, heavy, limit):
 
 def test_empty_table(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_columns_named_like_the_helpers(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "mine1", 5, "a"), (2, text, "mine2", 6, "b"), (2, text, "mine2", 6, "b"), (3, "other words here", None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string, component int, _key string")
+    out = jaccard.representatives(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], rows[3]], key=str)
