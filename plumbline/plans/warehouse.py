@@ -15,6 +15,7 @@ from plumbline.operators.history import validity_windows
 from plumbline.operators.hull import reock_scores
 from plumbline.operators.pivot import to_long
 from plumbline.operators.upsert import insert_if_absent, merge_upsert, upsert_table
+from plumbline.session import spool
 from plumbline.sources.lake import exists, replace_table
 
 # Survey variable groups.
@@ -242,6 +243,51 @@ def roll_up(facts: DataFrame, variables: DataFrame, value: str = "estimate") ->
     return rows.groupBy("variable_code", "level", "geoid").agg(F.sum(value).alias(value))
 
 
+def ancestors(geographies: DataFrame, key: str = "geography_key", parent: str = "parent_key") -> DataFrame:
+    """`key, ancestor` of every geography, itself included, along its chain of parents.
+
+    Found by pointer doubling: each round joins the ancestors known so far with
+    a jump twice as long, so a chain of n parents takes log2(n) rounds. Raises
+    ValueError where parents form a circle.
+    """
+    edges = spool(geographies.filter(F.col(parent).isNotNull()).select(F.col(key).alias("k"), F.col(parent).alias("a")).distinct(), "parents")
+    if not edges.groupBy("k").count().filter("count > 1").isEmpty():
+        raise ValueError("a geography has several parents")
+    limit = max(1, edges.count())
+    own = geographies.select(F.col(key).alias("k")).union(edges.select("a")).distinct()
+    known, jump, span = own.select("k", F.col("k").alias("a")), edges, 1
+    while not jump.isEmpty():
+        if span > limit:
+            raise ValueError("the parents of a geography form a circle")
+        far = jump.select(F.col("k").alias("a"), F.col("a").alias("b"))
+        # All ancestors nearer than `span`, and those as far again beyond the jump.
+        known = spool(known.union(known.join(far, "a").select("k", F.col("b").alias("a"))), "ancestors")
+        jump = spool(jump.join(far, "a").select("k", F.col("b").alias("a")), "jumps")
+        span *= 2
+    return known.select(F.col("k").alias(key), F.col("a").alias("ancestor"))
+
+
+def roll_up_parents(
+    facts: DataFrame, geographies: DataFrame, variables: DataFrame, *, key: str = "geography_key", parent: str = "parent_key", value: str = "estimate"
+) -> DataFrame:
+    """`key, variable_code, value` of every geography with facts at or below it, along `parent`.
+
+    Extensive variables are summed. An intensive one with a `weight_code` is the
+    mean of its values weighted by that variable's at the same geography, over
+    the geographies that have both; one without stays out. `facts` are those of
+    the lowest geographies, so that nothing counts twice.
+    """
+    kinds = variables.select("variable_code", "variable_type", "weight_code")
+    rows = facts.select(F.col(key), "variable_code", F.col(value).cast("double").alias("_v")).join(kinds, "variable_code")
+    weights = facts.select(F.col(key), F.col("variable_code").alias("weight_code"), F.col(value).cast("double").alias("_w"))
+    weighted = rows.filter("variable_type = 'intensive' AND weight_code IS NOT NULL").join(weights, [key, "weight_code"])
+    each = rows.filter("variable_type = 'extensive'").select(key, "variable_code", "_v", F.lit(None).cast("double").alias("_w"))
+    each = each.unionByName(weighted.filter("_v IS NOT NULL AND _w IS NOT NULL").select(key, "variable_code", (F.col("_v") * F.col("_w")).alias("_v"), "_w"))
+    above = each.join(ancestors(geographies, key, parent), key)
+    sums = above.groupBy(F.col("ancestor").alias(key), "variable_code").agg(F.sum("_v").alias("_v"), F.sum("_w").alias("_w"))
+    return sums.select(key, "variable_code", F.when(F.col("_w").isNull(), F.col("_v")).otherwise(F.try_divide("_v", "_w")).alias(value))
+
+
 def urbanicity_facts(overlaps: DataFrame, nces_year: int) -> DataFrame:
     """Locale of each geography from an area overlay: the code with the largest share of the area.
 

@@ -285,17 +285,46 @@ def gold_table(spark, sf):
 
 
 @query(
-    f"""SELECT s.id, CASE WHEN tract_geoid IN (SELECT {b.pad('p_partkey', 11)} FROM part) THEN concat('t', tract_geoid) END AS tract_key, concat('s', state_geoid) AS state_key
-    FROM ({_SILVER.format(customer='customer')}) s WHERE census_year = 2022"""
+    f"""SELECT s.id, CASE WHEN census_year = 2022 AND tract_geoid IN (SELECT {b.pad('p_partkey', 11)} FROM part) THEN concat('t', tract_geoid) END AS tract_key,
+    CASE WHEN census_year = 2022 THEN concat('s', state_geoid) END AS state_key FROM ({_SILVER.format(customer='customer')}) s"""
 )
 def address_boundary_keys(spark, sf):
-    rows = b.sql(spark, sf, _SILVER, "customer").filter("census_year = 2022")
+    """Rows of a vintage without boundaries come back with null keys."""
+    rows = b.sql(spark, sf, _SILVER, "customer")
     tracts = b.read(spark, sf, "part").selectExpr("'tract' AS summary_level", f"{b.pad('p_partkey', 11)} AS geoid")
     states = b.read(spark, sf, "nation").selectExpr("'state' AS summary_level", f"{b.pad('n_nationkey', 2)} AS geoid")
     shapes = tracts.union(states).withColumns({"vintage_year": F.lit(2022), "boundary_key": F.expr("concat(substr(summary_level, 1, 1), geoid)")})
     return assignment.boundary_keys(rows, shapes).select("id", "tract_key", "state_key")
 
 
+# A hierarchy of uneven depth whose codes are no prefixes of each other: tracts in places or straight in counties, states, the country.
+_TREE = """SELECT concat('T', CAST(p_partkey AS VARCHAR(20))) AS geography_key, CASE WHEN p_partkey % 5 = 0 THEN concat('C', CAST(p_partkey % 13 AS VARCHAR(20)))
+      ELSE concat('P', CAST(p_partkey * 7919 % 97 AS VARCHAR(20))) END AS parent_key FROM {part}
+    UNION ALL SELECT DISTINCT concat('P', CAST(p_partkey * 7919 % 97 AS VARCHAR(20))), concat('C', CAST(p_partkey * 7919 % 97 % 13 AS VARCHAR(20))) FROM {part}
+    UNION ALL SELECT DISTINCT concat('C', CAST(p_partkey % 13 AS VARCHAR(20))), concat('S', CAST(p_partkey % 13 % 4 AS VARCHAR(20))) FROM {part}
+    UNION ALL SELECT DISTINCT concat('S', CAST(p_partkey % 4 AS VARCHAR(20))), 'US' FROM {part}"""
+_LEVEL_FACTS = """SELECT concat('T', CAST(l_partkey AS VARCHAR(20))) AS geography_key, 'pop' AS variable_code, CAST(sum(l_quantity) AS BIGINT) AS estimate FROM {lineitem} GROUP BY l_partkey
+    UNION ALL SELECT concat('T', CAST(l_partkey AS VARCHAR(20))), 'rate', CAST(sum(l_linenumber) AS BIGINT) FROM {lineitem} GROUP BY l_partkey
+    UNION ALL SELECT concat('T', CAST(l_partkey AS VARCHAR(20))), 'median', CAST(max(l_linenumber) AS BIGINT) FROM {lineitem} GROUP BY l_partkey"""
+
+
+@query(
+    f"""WITH RECURSIVE g AS ({_TREE.format(part='part')}), f AS ({_LEVEL_FACTS.format(lineitem='lineitem')}),
+    up AS (SELECT geography_key AS k, geography_key AS a FROM g UNION ALL SELECT up.k, g.parent_key FROM up JOIN g ON g.geography_key = up.a),
+    e AS (SELECT a, geography_key AS k, sum(CASE WHEN variable_code = 'pop' THEN estimate END) AS pop, sum(CASE WHEN variable_code = 'rate' THEN estimate END) AS rate
+        FROM up JOIN f ON f.geography_key = up.k GROUP BY a, geography_key)
+    SELECT a AS geography_key, 'pop' AS variable_code, CAST(sum(pop) AS DOUBLE) AS estimate FROM e GROUP BY a
+    UNION ALL SELECT a, 'rate', round(sum(CAST(rate AS DOUBLE) * pop) / sum(pop), 6) FROM e GROUP BY a"""
+)
+def rolled_up_parents(spark, sf):
+    """Sums along parent keys; the rate is weighted by population, the median has no weight and stays out."""
+    variables = spark.createDataFrame(
+        [("pop", "extensive", None), ("rate", "intensive", "pop"), ("median", "intensive", None)], "variable_code string, variable_type string, weight_code string"
+    )
+    out = w.roll_up_parents(b.sql(spark, sf, _LEVEL_FACTS, "lineitem"), b.sql(spark, sf, _TREE, "part"), variables)
+    return out.select("geography_key", "variable_code", F.round("estimate", 6).alias("estimate"))
+
+
 # --- Geocoding ---
 
 _RESULTS = (

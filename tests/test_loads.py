@@ -343,3 +343,29 @@ def test_stream_equals_batch(spark, shapes, tmp_path):
         write_stream(place_stream(stream, shapes).select("id", "geoid"), sink, marks).awaitTermination()
     got = sorted((r.id, r.geoid) for r in spark.read.parquet(sink).collect())
     assert got == sorted((r.id, r.geoid) for r in point_in_polygon(points, shapes).select("id", "geoid").collect())
+
+
+def test_roll_up_along_parents(spark):
+    from plumbline.plans import warehouse
+
+    tree = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("e", None), ("x", "d"), ("lone", None)]
+    geographies = spark.createDataFrame(tree, "geography_key string, parent_key string")
+    pairs = {tuple(r) for r in warehouse.ancestors(geographies).collect()}
+    chain = "abcde"
+    want = {(chain[i], chain[j]) for i in range(5) for j in range(i, 5)} | {("x", "x"), ("x", "d"), ("x", "e"), ("lone", "lone")}
+    assert pairs == want
+    facts = spark.createDataFrame(
+        [("a", "pop", 10.0), ("x", "pop", 30.0), ("lone", "pop", None), ("a", "rate", 1.0), ("x", "rate", 5.0), ("a", "age", 40.0), ("x", "none", 1.0)],
+        "geography_key string, variable_code string, estimate double",
+    )
+    variables = spark.createDataFrame(
+        [("pop", "extensive", None), ("rate", "intensive", "pop"), ("age", "intensive", None)], "variable_code string, variable_type string, weight_code string"
+    )
+    got = {(r[0], r[1]): r[2] for r in warehouse.roll_up_parents(facts, geographies, variables).collect()}
+    assert got == {
+        **{(k, "pop"): 10.0 for k in "abc"}, **{(k, "rate"): 1.0 for k in "abc"}, ("x", "pop"): 30.0, ("x", "rate"): 5.0,
+        ("d", "pop"): 40.0, ("e", "pop"): 40.0, ("d", "rate"): 4.0, ("e", "rate"): 4.0, ("lone", "pop"): None,
+    }
+    circle = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "geography_key string, parent_key string")
+    with pytest.raises(ValueError, match="circle"):
+        warehouse.ancestors(circle)
