@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -49,9 +50,9 @@ TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 BLOCK_BYTES = 8 << 20
 BLOCK_DOCUMENTS = 1 << 20
 # Text for each bucket of chunks and of terms; blocks whose counts a task adds up.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
 MERGED = 256
-CELLS = 1 << 20
+CELLS = 1 << 17
 SOURCES = 512
 SCALE = 1_000_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,6 +64,14 @@ COUNTS = "bucket int, part int, text binary, sizes binary, groups binary, docs b
 KEPT = "lang string, source string, term string, n long, total long"
 
 
+def squeezed(data: bytes) -> bytes:
+    """What a packed cell holds; both exchanges and stored tables are mostly such cells."""
+    return zstandard.compress(data, 1)
+
+
+loose = zstandard.decompress
+
+
 def bucket_of(words: list[bytes], buckets: int) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
 
@@ -101,8 +110,8 @@ def block_rows(block: int, held: list[tuple[str, str, bytes]], buckets: int) ->
     number = {g: i for i, g in enumerate(groups)}
     of = np.array([number[r[:2]] for r in held], np.uint32)
     chunks, place, firsts, packed = postings([r[2] for r in held], buckets)
-    rows = [(block, -1, None, firsts.tobytes(), packed.tobytes(), of.tobytes(), json.dumps(groups))]
-    return rows + [(block, b, b" ".join(chunks[i:j]), None, None, None, None) for b, i, j in _cuts(place)]
+    rows = [(block, -1, None, *map(squeezed, (firsts.tobytes(), packed.tobytes(), of.tobytes())), json.dumps(groups))]
+    return rows + [(block, b, squeezed(b" ".join(chunks[i:j])), None, None, None, None) for b, i, j in _cuts(place)]
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -144,10 +153,11 @@ def tokenized(blocks: DataFrame, buckets: int) -> DataFrame:
         known: dict[bytes, bytes] = {}
         rows = []
         for block, bucket, text in zip(*(table.column(c) for c in ("block", "bucket", "text"))):
-            chunks = text.as_py().split(b" ")
+            chunks = loose(text.as_py()).split(b" ")
             for chunk in set(chunks).difference(known):
                 known[chunk] = b" ".join(_FIND(chunk.translate(_LOWER)))
-            rows.append((block.as_py(), bucket.as_py(), b"\n".join(map(known.__getitem__, chunks)), None, None, None, None))
+            terms = b"\n".join(map(known.__getitem__, chunks))
+            rows.append((block.as_py(), bucket.as_py(), squeezed(terms), None, None, None, None))
         return pa.Table.from_batches([_batch(rows, schema)])
 
     chunks = blocks.filter("bucket >= 0").repartition(buckets, "bucket")
@@ -155,10 +165,11 @@ def tokenized(blocks: DataFrame, buckets: int) -> DataFrame:
 
 
 def _narrow(values: np.ndarray) -> bytes:
-    return values.astype(np.uint32 if values.max(initial=0) < 1 << 32 else np.uint64).tobytes()
+    return squeezed(values.astype(np.uint32 if values.max(initial=0) < 1 << 32 else np.uint64).tobytes())
 
 
 def _wide(data: bytes, n: int) -> np.ndarray:
+    data = loose(data)
     return np.frombuffer(data, np.uint32 if len(data) == 4 * n else np.uint64).astype(np.int64)
 
 
@@ -170,7 +181,7 @@ def count_rows(part: int, terms: list[bytes], place: np.ndarray, term: np.ndarra
         at = slice(firsts[i], firsts[j])
         used, local = np.unique(group[at], return_inverse=True)
         packed = (np.diff(firsts[i : j + 1]), local, docs[at], n[at])
-        rows.append((b, part, b" ".join(terms[i:j]), *map(_narrow, packed), json.dumps([groups[g] for g in used.tolist()])))
+        rows.append((b, part, squeezed(b" ".join(terms[i:j])), *map(_narrow, packed), json.dumps([groups[g] for g in used.tolist()])))
     return rows
 
 
@@ -181,9 +192,9 @@ def block_counts(table: pa.Table, buckets: int, parts: int) -> list[tuple]:
     if not replies:
         return []
     groups = json.loads(head["info"])
-    of = np.frombuffer(head["groups"], np.uint32).astype(np.int64)
-    firsts, packed = np.frombuffer(head["firsts"], np.uint32).astype(np.int64), np.frombuffer(head["postings"], np.uint32)
-    lines = b"\n".join(r["text"] for r in replies).split(b"\n")
+    of, firsts, packed = (np.frombuffer(loose(head[c]), np.uint32) for c in ("groups", "firsts", "postings"))
+    of, firsts = of.astype(np.int64), firsts.astype(np.int64)
+    lines = b"\n".join(loose(r["text"]) for r in replies).split(b"\n")
     times = np.fromiter((line.count(b" ") + 1 if line else 0 for line in lines), np.int64, len(lines))
     words = b" ".join(filter(None, lines)).split()
     terms = list(set(words))
@@ -216,7 +227,7 @@ def merged_counts(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray,
     groups: dict[tuple, int] = {}
     columns: list[list[np.ndarray]] = [[], [], [], []]
     for r in table.to_pylist():
-        words = r["text"].split(b" ")
+        words = loose(r["text"]).split(b" ")
         sizes = _wide(r["sizes"], len(words))
         n = int(sizes.sum())
         names = np.array([groups.setdefault(tuple(g), len(groups)) for g in json.loads(r["info"])])
