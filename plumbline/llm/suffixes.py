@@ -7,7 +7,8 @@ smaller doc_id, or before in the same document. Strings are judged on the input.
    strings have equal keys. Consecutive strings with one key form a run.
 2. Runs meet by key. Of equal runs, all but the first go whole, within a
    batch already, so that what is copied often is sent once for each batch.
-   Runs that share their key with a different run are fetched as text.
+   Runs that share their key with a different run are fetched as text, and so
+   are those in which a string may come twice.
 3. The runs of a key are laid end to end and their suffixes sorted; strings that are equal
    stand beside each other, and all but the earliest go. Keys with more than
    HOT_RUNS different runs are not gathered: their strings are told apart by hash, and
@@ -108,8 +109,12 @@ def suffix_array(text: list[int]) -> list[int]:
     return out
 
 
-def keys_of(data: np.ndarray) -> np.ndarray:
-    """Key of each string of LENGTH bytes: the smallest mixed hash of its pieces."""
+def keys_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Key of each string of LENGTH bytes, the smallest mixed hash of its pieces; and where such a piece comes again.
+
+    A string is marked if its first piece has its key and so has a later one. In a run
+    that holds a string twice, at most RUN - 1 bytes apart, one of its strings is marked.
+    """
     h = (data.astype(np.uint64) + np.uint64(1)) * _MIX
     size, power = 1, _BASE
     with np.errstate(over="ignore"):
@@ -119,19 +124,21 @@ def keys_of(data: np.ndarray) -> np.ndarray:
         h ^= h >> np.uint64(31)
         h *= _MIX
         h ^= h >> np.uint64(29)
-    width, span = LENGTH - GRAM + 1, 1
+    width, span, pieces = LENGTH - GRAM + 1, 1, h
     while 2 * span <= width:
         h = np.minimum(h[:-span], h[span:])
         span *= 2
-    return np.minimum(h[: len(h) - (width - span)], h[width - span :]) if width > span else h
+    keys = np.minimum(h[: len(h) - (width - span)], h[width - span :]) if width > span else h
+    again = np.append((pieces[: len(keys) - 1] == keys[:-1]) & (keys[1:] == keys[:-1]), False)
+    return keys, again
 
 
-def runs_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Key, hash of the text, start and number of strings of each run of a document."""
+def runs_of(data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Key, hash of the text, start and number of strings of each run of a document, and whether one may come twice in it."""
     none = np.zeros(0, np.uint64)
     if len(data) < LENGTH:
-        return none, none, none.astype(np.int64), none.astype(np.int64)
-    keys = keys_of(data)
+        return none, none, none.astype(np.int64), none.astype(np.int64), none.astype(bool)
+    keys, again = keys_of(data)
     new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     counts = np.diff(np.append(new, len(keys)))
     if counts.max() > RUN:
@@ -146,7 +153,7 @@ def runs_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         sums = np.append(np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers))
         # The hash does not depend on where the run stands: shifted to a common power.
         h = (sums[new + counts + LENGTH - 1] - sums[new]) * _inverse_powers(len(data))[new]
-    return keys[new], h ^ (counts.astype(np.uint64) << np.uint64(56)), new, counts
+    return keys[new], h ^ (counts.astype(np.uint64) << np.uint64(56)), new, counts, np.logical_or.reduceat(again, new)
 
 
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -201,7 +208,7 @@ def sent_runs(docs: DataFrame, buckets: int) -> DataFrame:
                     codes.append(np.full(len(found[0]), batch["code"][i], np.int64))
             if not parts:
                 return out
-            keys, hashes, starts, counts = map(np.concatenate, zip(*parts))
+            keys, hashes, starts, counts, twice = map(np.concatenate, zip(*parts))
             ids, codes = np.concatenate(ids), np.concatenate(codes)
             first, gone = _firsts(keys, hashes, ids, starts)
             for doc_id, code, (s, c) in _by_document(ids[gone], codes[gone], [starts[gone], counts[gone]]):
@@ -212,7 +219,7 @@ def sent_runs(docs: DataFrame, buckets: int) -> DataFrame:
             first, place = first[rank], place[rank]
             cuts = np.flatnonzero(np.diff(place)) + 1
             for at, part in zip(np.append(0, cuts).tolist(), np.split(first, cuts)):
-                packed = packed_runs(keys[part], hashes[part], ids[part], codes[part], starts[part], counts[part])
+                packed = packed_runs(*(x[part] for x in (keys, hashes, ids, codes, starts, counts, twice)))
                 for k, v in zip(out, (int(place[at]), 0, 0, packed)):
                     out[k].append(v)
             return out
@@ -222,23 +229,23 @@ def sent_runs(docs: DataFrame, buckets: int) -> DataFrame:
     return map_rows(docs, make, "bucket int, doc_id long, code long, data binary")
 
 
-def packed_runs(keys, hashes, ids, codes, starts, counts) -> bytes:
+def packed_runs(keys, hashes, ids, codes, starts, counts, twice) -> bytes:
     """Columns laid end to end; ids once for each document."""
     new = np.append(True, (ids[1:] != ids[:-1]) | (codes[1:] != codes[:-1]))
     each = np.diff(np.append(np.flatnonzero(new), len(ids))).astype(np.uint32)
     head = np.array([len(keys), len(each)], np.uint32)
-    columns = (head, keys, hashes, ids[new], codes[new], each, starts.astype(np.uint32), counts.astype(np.uint8))
+    columns = (head, keys, hashes, ids[new], codes[new], each, starts.astype(np.uint32), counts.astype(np.uint8), twice)
     return b"".join(c.tobytes() for c in columns)
 
 
 def unpacked_runs(data: bytes) -> tuple[np.ndarray, ...]:
     n, docs = np.frombuffer(data, np.uint32, 2).tolist()
     at, out = 8, []
-    for kind, size in ((np.uint64, n), (np.uint64, n), (np.int64, docs), (np.int64, docs), (np.uint32, docs), (np.uint32, n), (np.uint8, n)):
+    for kind, size in ((np.uint64, n), (np.uint64, n), (np.int64, docs), (np.int64, docs), (np.uint32, docs), (np.uint32, n), (np.uint8, n), (bool, n)):
         out.append(np.frombuffer(data, kind, size, at))
         at += out[-1].nbytes
-    keys, hashes, ids, codes, each, starts, counts = out
-    return keys, hashes, np.repeat(ids, each), np.repeat(codes, each), starts.astype(np.int64), counts.astype(np.int64)
+    keys, hashes, ids, codes, each, starts, counts, twice = out
+    return keys, hashes, np.repeat(ids, each), np.repeat(codes, each), starts.astype(np.int64), counts.astype(np.int64), twice
 
 
 def _firsts(keys, hashes, ids, starts) -> tuple[np.ndarray, np.ndarray]:
@@ -262,14 +269,14 @@ def met_runs(sent: DataFrame, buckets: int) -> DataFrame:
                 rows.append((doc_id, code, REMOVE, data))
         else:
             columns = zip(*map(unpacked_runs, table.column("data").to_pylist()))
-            keys, hashes, ids, codes, starts, counts = map(np.concatenate, columns)
+            keys, hashes, ids, codes, starts, counts, twice = map(np.concatenate, columns)
             first, gone = _firsts(keys, hashes, ids, starts)
             for doc_id, code, (s, c) in _by_document(ids[gone], codes[gone], [starts[gone], counts[gone]]):
                 rows.append((doc_id, code, REMOVE, _spans(s, c)))
-            keys, ids, codes, starts, counts = (x[first] for x in (keys, ids, codes, starts, counts))
+            keys, ids, codes, starts, counts, twice = (x[first] for x in (keys, ids, codes, starts, counts, twice))
             _, which, times = np.unique(keys, return_inverse=True, return_counts=True)
             times = times[which]
-            for kind, chosen in ((FETCH, (times > 1) & (times <= HOT_RUNS)), (FETCH_HOT, times > HOT_RUNS)):
+            for kind, chosen in ((FETCH, ((times > 1) | twice) & (times <= HOT_RUNS)), (FETCH_HOT, times > HOT_RUNS)):
                 for doc_id, code, (k, s, c) in _by_document(ids[chosen], codes[chosen], [keys[chosen], starts[chosen], counts[chosen]]):
                     rows.append((doc_id, code, kind, np.stack([k.view(np.int64), s, c], axis=1).tobytes()))
         columns = zip(*rows) if rows else [[]] * 4
@@ -344,6 +351,30 @@ def anything_common(texts: list[bytes]) -> bool:
     return False
 
 
+def shortened(texts: list[bytes]) -> list[tuple[int, int, int]]:
+    """Stretches `(text, start, end)` around the strings whose hash comes more than once; equal strings are all within."""
+    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64) + np.uint64(1)
+    lengths = np.array([len(t) for t in texts])
+    ends = np.cumsum(lengths)
+    with np.errstate(over="ignore"):
+        sums = np.append(np.uint64(0), np.cumsum(data * np.cumprod(np.full(len(data), _BASE, np.uint64))))
+        at = np.flatnonzero(np.repeat(ends, lengths) - np.arange(len(data)) >= LENGTH)
+        h = (sums[at + LENGTH] - sums[at]) * _inverse_powers(len(data))[at]
+    order = np.argsort(h, kind="stable")
+    same = h[order][1:] == h[order][:-1]
+    chosen = np.zeros(len(h), bool)
+    chosen[order[1:][same]] = chosen[order[:-1][same]] = True
+    at = at[chosen]
+    if not len(at):
+        return []
+    owner = np.searchsorted(ends, at, side="right")
+    cut = np.flatnonzero((np.diff(at) >= LENGTH) | (np.diff(owner) > 0))
+    heads, tails = at[np.append(0, cut + 1)], at[np.append(cut, len(at) - 1)]
+    owner = owner[np.append(0, cut + 1)]
+    first = (ends - lengths)[owner]
+    return list(zip(owner.tolist(), (heads - first).tolist(), (tails - first + LENGTH).tolist()))
+
+
 def repeated_starts(texts: list[bytes], heads: list[tuple[int, int]]) -> list[list[int]]:
     """For runs of one key, with document and start of each: the offsets in each run of strings that also start earlier."""
     joined: list[int] = []
@@ -393,10 +424,12 @@ def repeats(rows: DataFrame, buckets: int) -> DataFrame:
         for members in by_key.values():
             if len(members) <= FEW and not anything_common([m[4] for m in members]):
                 continue
-            gone = repeated_starts([m[4] for m in members], [(m[1], m[3]) for m in members])
-            for (_, doc_id, code, start, _), offsets in zip(members, gone):
+            parts = shortened([m[4] for m in members])
+            gone = repeated_starts([members[n][4][a:b] for n, a, b in parts], [(members[n][1], members[n][3] + a) for n, a, _ in parts])
+            for (n, a, _), offsets in zip(parts, gone):
                 if offsets:
-                    s = np.array(offsets, np.int64) + start
+                    _, doc_id, code, start, _ = members[n]
+                    s = np.array(offsets, np.int64) + start + a
                     found.append((doc_id, code, REMOVE, _spans(s, np.ones(len(s), np.int64))))
         columns = zip(*found) if found else [[]] * 4
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)

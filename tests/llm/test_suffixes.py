@@ -68,3 +68,19 @@ def test_removal(spark, monkeypatch, hot):
     got = sorted((tuple(r) for r in suffixes.removal_digests(df).collect()), key=str)
     assert got == brute(rows)
     assert suffixes.removal_digests(df.limit(0)).count() == 0
+
+
+def test_strings_that_come_again_in_the_only_run_of_their_key(spark):
+    rnd = random.Random(8)
+    prose = lambda n: "".join(rnd.choice("abcdefghij klmé") for _ in range(n))
+    rows = [(0, "-" * 120), (1, "z" * (suffixes.RUN + 99)), (2, prose(40) + "= " * 60 + prose(50))]
+    rows += [(3 + i, prose(rnd.randint(0, 80)) + prose(p) * (rnd.randint(101, 300) // p + 1) + prose(30)) for i, p in enumerate((3, 7, 34, 35, 67, 68, 69, 99))]
+    got = suffixes.removal_digests(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+
+
+def test_only_stretches_with_repeats_are_sorted():
+    same = bytes(range(100, 230))
+    texts = [b"x" * 20 + same, b"no such string " * 3 + b"y" * 60, same[5:125] + b"end"]
+    assert suffixes.shortened(texts) == [(0, 25, 145), (2, 0, 120)]
+    assert suffixes.shortened([same, same[::-1]]) == []
