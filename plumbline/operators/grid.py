@@ -19,6 +19,7 @@ wholly inside.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -82,20 +83,21 @@ def _height(e: str, at: str) -> str:
 
 def _touched(edges: DataFrame) -> DataFrame:
     """A row for each edge and cell it touches, a little beyond the cell included."""
-    size = cell_size("_z")
-    slack = f"({SLACK!r}D * greatest({size}, abs(_e.x1), abs(_e.x2), abs(_e.y1), abs(_e.y2)))"
-    rows = f"sequence(floor((least(_e.y1, _e.y2) - {slack}) / {size}), floor((greatest(_e.y1, _e.y2) + {slack}) / {size}))"
+    # Columns step by step: as one expression the generated code is too long to be compiled.
+    edges = edges.withColumn("_size", F.expr(cell_size("_z")))
+    edges = edges.withColumn("_slack", F.expr(f"{SLACK!r}D * greatest(_size, abs(_e.x1), abs(_e.x2), abs(_e.y1), abs(_e.y2))"))
+    for v in "xy":
+        edges = edges.withColumns({f"_lo{v}": F.expr(f"least(_e.{v}1, _e.{v}2)"), f"_hi{v}": F.expr(f"greatest(_e.{v}1, _e.{v}2)")})
+    edges = edges.withColumn("_cy", F.explode(F.expr("sequence(floor((_loy - _slack) / _size), floor((_hiy + _slack) / _size))")))
     # Where the edge enters and leaves the row of cells.
-    run = "(_e.x2 - _e.x1) / nullif(_e.y2 - _e.y1, 0D)"
-
-    def at(y: str) -> str:
-        within = f"least(greatest(_e.y1, _e.y2), greatest(least(_e.y1, _e.y2), {y}))"
-        return f"least(greatest(_e.x1, _e.x2), greatest(least(_e.x1, _e.x2), coalesce(({within} - _e.y1) * {run} + _e.x1, {{0}})))"
-
-    low, high = at(f"_cy * {size} - {slack}"), at(f"(_cy + 1) * {size} + {slack}")
-    first, last = (f"{pick}({low.format(end)}, {high.format(end)})" for pick, end in (("least", "least(_e.x1, _e.x2)"), ("greatest", "greatest(_e.x1, _e.x2)")))
-    columns = f"sequence(floor(({first} - {slack}) / {size}), floor(({last} + {slack}) / {size}))"
-    return edges.withColumn("_cy", F.explode(F.expr(rows))).withColumn("_cx", F.explode(F.expr(columns)))
+    edges = edges.withColumn("_run", F.expr("(_e.x2 - _e.x1) / nullif(_e.y2 - _e.y1, 0D)"))
+    for name, y in (("_low", "_cy * _size - _slack"), ("_high", "(_cy + 1) * _size + _slack")):
+        edges = edges.withColumn(name, F.expr(f"(least(_hiy, greatest(_loy, {y})) - _e.y1) * _run + _e.x1"))
+    ends = {f"{name}_{end}": F.expr(f"least(_hix, greatest(_lox, coalesce({name}, _{end}x)))") for name in ("_low", "_high") for end in ("lo", "hi")}
+    edges = edges.withColumns(ends)
+    edges = edges.withColumns({"_first": F.expr("least(_low_lo, _high_lo)"), "_last": F.expr("greatest(_low_hi, _high_hi)")})
+    columns = "sequence(floor((_first - _slack) / _size), floor((_last + _slack) / _size))"
+    return edges.withColumn("_cx", F.explode(F.expr(columns))).select("_shape", "_e", *CELL)
 
 
 def _cells(zoomed: DataFrame, keep: list[str]) -> DataFrame:
@@ -121,6 +123,20 @@ def _cells(zoomed: DataFrame, keep: list[str]) -> DataFrame:
     return rows.join(zoomed.select("_shape", *keep), "_shape").select(*keep, *CELL, "_whole", "_odd", "_edges")
 
 
+def smallest_kept(index: DataFrame, least: Column, by: tuple[str, ...] = (), count: int = 1) -> DataFrame:
+    """The index rows that can hold one of the `count` smallest `least` around a point, among rows equal in `by`.
+
+    In a cell, what comes in that order after `count` different values of shapes that
+    cover the whole cell is never among a point's smallest.
+    """
+    order = W.partitionBy(*CELL, *by).orderBy("_least", F.desc("_whole"))
+    rows = index.withColumn("_least", F.struct(least))
+    first = F.col("_whole") & ~F.lag("_least").over(order).eqNullSafe(F.col("_least"))
+    rows = rows.withColumn("_new", first.cast("int"))
+    before = F.coalesce(F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return rows.withColumn("_before", before).filter(F.col("_before") < count).drop("_least", "_new", "_before")
+
+
 def inside_cell(row: str, px: str, py: str) -> str:
     """Whether a point within the cell of index row `row` (a prefix such as `b.`) lies inside its shape."""
     right, top = (f"(({row}_c{v} + 1) * {cell_size(f'{row}_z')})" for v in "xy")
@@ -159,15 +175,17 @@ def index_stats(index: DataFrame, limit: int | None = None) -> IndexStats:
 
 
 def prepared_index(
-    boundaries: DataFrame, rings: str = "rings", splits: int | None = None
+    boundaries: DataFrame, rings: str = "rings", splits: int | None = None, reduce: Callable[[DataFrame], DataFrame] | None = None
 ) -> tuple[DataFrame, IndexStats]:
     """The cell index of the boundaries and its measures.
 
     Extents and edge lists are written once. A bound on the index size comes from
     them; where it does not settle that the index is small, the index is written
-    too and measured.
+    too and measured, less the rows that `reduce` leaves out.
     """
     if "_edges" in boundaries.columns:
+        if reduce:
+            boundaries = spool(reduce(boundaries), "index")
         return boundaries, index_stats(boundaries)
     size = cell_size("_z")
     nx = f"(floor(_box.maxx / {size}) - floor(_box.minx / {size}) + 1)"
@@ -180,7 +198,7 @@ def prepared_index(
     index = _cells(zoomed, keep)
     if (row["bound"] or 0) <= BROADCAST_BYTES:
         return index, IndexStats(sorted(row["z"]), True)
-    index = spool(index, "index")
+    index = spool(reduce(index) if reduce else index, "index")
     return index, index_stats(index)
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.grid import CELL, inside_cell, join_on_cells, prepared_index
+from plumbline.operators.grid import CELL, inside_cell, join_on_cells, prepared_index, smallest_kept
 
 INDEX_COLUMNS = [*CELL, "_whole", "_odd", "_edges"]
 
@@ -27,6 +27,9 @@ def point_in_polygon(
     id_col: str | None = None,
     first_only: str | None = None,
     splits: int | None = None,
+    least: Column | None = None,
+    least_by: tuple[str, ...] = (),
+    least_count: int = 1,
 ) -> DataFrame:
     """Points joined with every boundary that contains them.
 
@@ -35,6 +38,10 @@ def point_in_polygon(
     needs `id_col`, a unique point column. `first_only` names a boundary column:
     of several containing boundaries the one with its smallest value wins.
 
+    `least` is for callers that need no more than the `least_count` smallest values
+    of it around a point, for each combination of the boundary columns `least_by`:
+    boundaries with larger values, or equal ones, may then be missing.
+
     A small index is broadcast; a large one is joined on the cell, with the
     points of crowded cells spread over several tasks (`grid.join_on_cells`).
     """
@@ -42,7 +49,8 @@ def point_in_polygon(
         raise ValueError(f"how must be inner or left, not {how!r}")
     if (how == "left" or first_only) and not id_col:
         raise ValueError("left joins and first_only need id_col")
-    index, stats = prepared_index(boundaries, rings, splits)
+    reduce = None if least is None else lambda rows: smallest_kept(rows, least, (*on, *least_by), least_count)
+    index, stats = prepared_index(boundaries, rings, splits, reduce)
     attrs = [c for c in index.columns if c not in INDEX_COLUMNS and c not in on]
     # With one zoom a point has one probe row, so the outer join is direct.
     direct_left = how == "left" and len(stats.zooms) <= 1

@@ -47,6 +47,11 @@ def top_states(addresses: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def _known_first(name: str) -> Column:
+    """Order in which the minimum is the first, nulls being passed over."""
+    return F.struct(F.col(name).isNull().alias("missing"), F.col(name))
+
+
 def level_geoids(
     points: DataFrame, boundaries: DataFrame, *, id_col: str = "id", x: str = "x", y: str = "y", on: tuple[str, ...] = (),
     levels: dict[str, str] | None = None, splits: int | None = None,
@@ -57,7 +62,10 @@ def level_geoids(
     """
     levels = levels or LEVEL_COLUMNS
     shapes = boundaries.filter(F.col("summary_level").isin(list(levels))).select("geoid", "summary_level", *on, *shape_columns(boundaries))
-    hits = point_in_polygon(points.select(id_col, x, y, *on), shapes, x=x, y=y, on=on, id_col=id_col, splits=splits)
+    hits = point_in_polygon(
+        points.select(id_col, x, y, *on), shapes, x=x, y=y, on=on, id_col=id_col, splits=splits,
+        least=_known_first("geoid"), least_by=("summary_level",),
+    )
     return hits.groupBy(id_col).agg(
         *[F.min(F.when(F.col("summary_level") == k, F.col("geoid"))).alias(c) for k, c in levels.items()]
     )
@@ -107,7 +115,9 @@ def assign_boundaries(
         active = plan_on_date(dated, windows, "_date", ["state_fips"], ["plan_id", "chamber"]).filter("plan_id IS NOT NULL")
         district = F.coalesce(F.nullif("geoid", F.lit("")), "district_number")
         districts = plan_districts.select("plan_id", district.alias("_district"), "rings")
-        hits = point_in_polygon(active.select(id_col, x, y, "plan_id", "chamber"), districts, x=x, y=y, on=("plan_id",), id_col=id_col)
+        hits = point_in_polygon(
+            active.select(id_col, x, y, "plan_id", "chamber"), districts, x=x, y=y, on=("plan_id",), id_col=id_col, least=_known_first("_district")
+        )
         per_plan = active.select(id_col, "plan_id", "chamber", F.lit(None).cast("string").alias("_district")).unionByName(
             hits.select(id_col, "plan_id", "chamber", "_district")
         )

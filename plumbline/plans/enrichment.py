@@ -35,14 +35,16 @@ def add_boundary_names(
     """
     shapes = boundaries.filter((F.col("vintage_year") == vintage_year) & F.col("summary_level").isin(list(levels)))
     points = addresses.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    pair = F.struct("geoid", "name")
     hits = point_in_polygon(
         points.select(id_col, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")),
         shapes.select("geoid", "name", "summary_level", *shape_columns(shapes)),
         id_col=id_col,
+        least=pair if first_only else None,
+        least_by=("summary_level",),
     )
     out = addresses.drop(*[f"{lv}_{c}" for lv in levels for c in ("geoid", "name")])
     if first_only:
-        pair = F.struct("geoid", "name")
         wide = hits.groupBy(id_col).agg(
             *[F.min(F.when(F.col("summary_level") == lv, pair)).alias(f"_{lv}") for lv in levels]
         )

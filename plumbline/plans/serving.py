@@ -116,9 +116,9 @@ def boundaries_of_points(
             & (F.col("effective_to").isNull() | (F.col("effective_to") >= d))
         )
     shapes = shapes.select("boundary_type", "geoid", "name", "vintage_year", *shape_columns(shapes))
-    hits = point_in_polygon(points.select(id_col, "x", "y"), shapes, id_col=id_col)
-    best = F.min(F.struct("geoid", "vintage_year", "name")).alias("_b")
-    return hits.groupBy(id_col, "boundary_type").agg(best).select(id_col, "boundary_type", "_b.geoid", "_b.name", "_b.vintage_year")
+    first = F.struct("geoid", "vintage_year", "name")
+    hits = point_in_polygon(points.select(id_col, "x", "y"), shapes, id_col=id_col, least=first, least_by=("boundary_type",))
+    return hits.groupBy(id_col, "boundary_type").agg(F.min(first).alias("_b")).select(id_col, "boundary_type", "_b.geoid", "_b.name", "_b.vintage_year")
 
 
 def boundaries_near(

@@ -202,3 +202,45 @@ def test_anchored_cells_agree_with_the_full_ray_cast(spark, step, shift):
     for splits in (None, 3, 40):
         got = point_in_polygon(points, polys, splits=splits).select("id", "geoid").collect()
         assert len(got) == len(set(got)) and set(got) == set(want)
+
+
+def _stacked(n):
+    """Squares that all cover much of the same ground, keys in no order of place."""
+    out = []
+    for i in range(n):
+        x, y, r = (i * 37 % 23) / 10, (i * 53 % 19) / 10, 6 + i % 5
+        corners = [(x - r, y - r), (x + r, y - r), (x + r, y + r), (x - r, y + r), (x - r, y - r)]
+        out.append((f"k{i * 7919 % n:04d}", x, y, float(r), [[{"x": a, "y": b} for a, b in corners]]))
+    return out
+
+
+def test_only_shapes_that_may_be_smallest_stay_in_a_cell(spark):
+    rows = _stacked(300)
+    shapes = spark.createDataFrame([(k, r) for k, *_, r in rows], "key string, rings array<array<struct<x: double, y: double>>>")
+    points = [(i, (i * 29 % 240) / 10 - 11.97, (i * 31 % 230) / 10 - 11.47) for i in range(400)]
+    df = spark.createDataFrame(points, "id long, x double, y double")
+    for count in (1, 3):
+        hits = point_in_polygon(df, shapes, id_col="id", least=F.col("key"), least_count=count)
+        got = {}
+        for r in hits.collect():
+            got.setdefault(r.id, set()).add(r.key)
+        want = {i: sorted(k for k, x, y, r, _ in rows if abs(px - x) < r and abs(py - y) < r)[:count] for i, px, py in points}
+        assert {i: sorted(k)[:count] for i, k in got.items()} == {i: k for i, k in want.items() if k}
+    index = grid.cell_index(shapes, splits=8)
+    assert grid.smallest_kept(index, F.col("key")).count() < index.count() / 2
+
+
+def test_nearest_among_many_around_a_point(spark):
+    rows = _stacked(60)
+    shapes = spark.createDataFrame([(k, r) for k, *_, r in rows], "key string, rings array<array<struct<x: double, y: double>>>")
+    points = [(i, (i * 29 % 400) / 10 - 19.97, (i * 31 % 400) / 10 - 19.47) for i in range(150)] + [(None, 0.01, 0.01), (7, 30.0, 30.0), (900, -200.0, 0.0)]
+    df = spark.createDataFrame(points, "id long, x double, y double")
+    got = sorted(((r.id, r.key, round(r.distance_m, 6), r["rank"]) for r in nearest(df, shapes, id_col="id", key="key", max_distance=8.0, limit=3).collect()), key=str)
+    best = {}
+    for i, px, py in points:
+        for k, x, y, r, _ in rows:
+            d = (max(abs(px - x) - r, 0) ** 2 + max(abs(py - y) - r, 0) ** 2) ** 0.5
+            if d <= 8:
+                best.setdefault(i, {})[k] = min(d, best.get(i, {}).get(k, d))
+    want = [(i, k, round(d, 6), n + 1) for i, ds in best.items() for n, (d, k) in enumerate(sorted((d, k) for k, d in ds.items())[:3])]
+    assert got == sorted(want, key=str)
