@@ -14,6 +14,9 @@ from plumbline.operators.grid import BROADCAST_BYTES, CELL, IndexStats, box_cell
 from plumbline.operators.pip import point_in_polygon
 from plumbline.session import spool
 
+# Shares of the greatest distance within which `nearest` looks for edges, one after the other.
+REACHES = (1 / 32, 1 / 8, 1 / 2, 1)
+
 
 def _segment_cells(boundaries: DataFrame, key: str, rings: str, reach: float) -> DataFrame:
     """Edges with the cells their surroundings of width `reach` cover, about 4 x 4 at most."""
@@ -43,24 +46,51 @@ def within_distance(
 ) -> DataFrame:
     """`(id, key, distance)` for every boundary within `max_distance`; 0 inside it. Planar metres."""
     pts = points.select(id_col, x, y)
+    near = _edges_near(pts, boundaries, id_col=id_col, key=key, max_distance=max_distance, x=x, y=y, rings=rings, distance=distance)
+    inside = point_in_polygon(pts, boundaries.select(key, rings), x=x, y=y, rings=rings, id_col=id_col)
+    inside = inside.select(id_col, key, F.lit(0.0).alias(distance))
+    return near.unionByName(inside).groupBy(id_col, key).agg(F.min(distance).alias(distance))
+
+
+def _edges_near(
+    pts: DataFrame, boundaries: DataFrame, *, id_col: str, key: str, max_distance: float, x: str, y: str, rings: str, distance: str
+) -> DataFrame:
+    """`(id, key, distance)` for every edge within `max_distance`."""
     cells = _segment_cells(boundaries, key, rings, max_distance)
     row = cells.agg(F.collect_set("_z").alias("z"), F.count("*").alias("n")).first()
     stats = IndexStats(sorted(row["z"]), row["n"] * 120 <= BROADCAST_BYTES)
     gap = g.segment_distance("b._e", f"p.{x}", f"p.{y}")
     near = join_on_cells(pts, cells, stats, f"{gap} <= {max_distance!r}D", x=x, y=y, id_col=id_col)
-    near = near.select(F.col(f"p.{id_col}"), F.col(f"b.{key}"), F.expr(gap).alias(distance))
-    inside = point_in_polygon(pts, boundaries.select(key, rings), x=x, y=y, rings=rings, id_col=id_col)
-    inside = inside.select(id_col, key, F.lit(0.0).alias(distance))
-    return near.unionByName(inside).groupBy(id_col, key).agg(F.min(distance).alias(distance))
+    return near.select(F.col(f"p.{id_col}"), F.col(f"b.{key}"), F.expr(gap).alias(distance))
 
 
 def nearest(
     points: DataFrame, boundaries: DataFrame, *, id_col: str, key: str, max_distance: float, limit: int = 20, **kw
 ) -> DataFrame:
-    """The `limit` nearest boundaries of each point, ties by `key`, with their `rank`."""
-    name = kw.get("distance", "distance_m")
-    hits = within_distance(points, boundaries, id_col=id_col, key=key, max_distance=max_distance, **kw)
+    """The `limit` nearest boundaries of each point, ties by `key`, with their `rank`.
+
+    Points within enough boundaries need only those with the smallest keys. The others
+    look for edges nearby, and again farther out while they have not met enough.
+    """
+    name, x, y, rings = (kw.get(k, v) for k, v in (("distance", "distance_m"), ("x", "x"), ("y", "y"), ("rings", "rings")))
+    pts = spool(points.select(id_col, x, y), "points")
+    inside = point_in_polygon(pts, boundaries.select(key, rings), x=x, y=y, rings=rings, id_col=id_col, least=F.col(key), least_count=limit)
+    inside = spool(inside.select(id_col, key).distinct().withColumn(name, F.lit(0.0)), "inside")
+    found, rest, hits = [], pts, inside
+    for share in (None, *REACHES):
+        if share is not None:
+            near = _edges_near(rest, boundaries, id_col=id_col, key=key, max_distance=max_distance * share, x=x, y=y, rings=rings, distance=name)
+            hits = near.unionByName(inside.join(rest.select(id_col).distinct().alias("r"), F.col(f"r.{id_col}").eqNullSafe(inside[id_col]), "left_semi"))
+            hits = spool(hits.groupBy(id_col, key).agg(F.min(name).alias(name)), "near")
+        if share == 1:
+            found.append(hits)
+            break
+        done = hits.groupBy(id_col).agg(F.count("*").alias("_n")).filter(F.col("_n") >= limit).select(F.col(id_col).alias("_done"))
+        of = lambda df, how: df.join(done, df[id_col].eqNullSafe(F.col("_done")), how)
+        found.append(of(hits, "left_semi"))
+        rest = spool(of(rest, "left_anti"), "rest")
     order = Window.partitionBy(id_col).orderBy(F.col(name), F.col(key))
+    hits = functools.reduce(DataFrame.unionByName, found)
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
 
 
