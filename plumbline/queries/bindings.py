@@ -17,6 +17,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over a few partitions for each core: tables of few bytes come as one or two, however much work a row is."""
+    parts = 3 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= parts else df.repartition(parts)
+
+
 def sql(spark: SparkSession, sf_dir: str, text: str, *tables: str) -> DataFrame:
     """`text` over the named tables, given to it as arguments rather than session views."""
     return spark.sql(text, **{t: read(spark, sf_dir, t) for t in tables})
@@ -102,7 +108,7 @@ def boundary_texts(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:
     out = None
     for level in levels or SHAPES:
         table, geoid, name, state, parts = SHAPES[level]
-        df = read(spark, sf_dir, table).selectExpr(
+        df = spread(read(spark, sf_dir, table)).selectExpr(
             f"{geoid} AS geoid", f"{name} AS name", f"'{level}' AS summary_level", "2020 AS vintage_year",
             f"{state} AS state_fips", f"{_wkt(parts)} AS wkt",
         )
@@ -115,7 +121,7 @@ def boundaries(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:
 
 
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sql(spark, sf_dir, ADDRESSES, "customer")
+    return spark.sql(ADDRESSES, customer=spread(read(spark, sf_dir, "customer")))
 
 
 # --- The same inputs as common table expressions for the check queries ---

@@ -199,7 +199,7 @@ def _boxes(spark, sf, kind):
     table, geoid, *corners = _BOXES[kind]
     x0, y0, x1, y1 = (b._d(c) for c in corners)
     ring = ", ".join(g.point(x, y) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)))
-    return b.read(spark, sf, table).selectExpr(f"{geoid} AS geoid", "2020 AS vintage_year", f"array(array({ring})) AS rings")
+    return b.spread(b.read(spark, sf, table)).selectExpr(f"{geoid} AS geoid", "2020 AS vintage_year", f"array(array({ring})) AS rings")
 
 
 def _box_rows(kind):
@@ -237,7 +237,7 @@ _LONLAT = {
 def _lonlat(spark, sf, kind):
     table, geoid, x, y, w, h = _LONLAT[kind]
     ring = ", ".join(g.point(px, py) for px, py in (("x", "y"), ("x + w", "y"), ("x + w", "y + h"), ("x", "y + h"), ("x", "y")))
-    return b.read(spark, sf, table).selectExpr(f"{geoid} AS geoid", f"{x} AS x", f"{y} AS y", f"{w} AS w", f"{h} AS h").selectExpr(
+    return b.spread(b.read(spark, sf, table)).selectExpr(f"{geoid} AS geoid", f"{x} AS x", f"{y} AS y", f"{w} AS w", f"{h} AS h").selectExpr(
         "geoid", "2020 AS vintage_year", f"array(array({ring})) AS rings"
     )
 
@@ -371,7 +371,7 @@ def nearest_counties(spark, sf):
     QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, geoid) <= 5""")
 def nearest_in_metres(spark, sf):
     """The five nearest counties of a year, at any distance, from longitudes and latitudes."""
-    points = b.read(spark, sf, "customer").selectExpr("c_custkey AS id", f"{b.US_LON} AS lon", f"{b.US_LAT} AS lat")
+    points = b.spread(b.read(spark, sf, "customer")).selectExpr("c_custkey AS id", f"{b.US_LON} AS lon", f"{b.US_LAT} AS lat")
     county, cd = (_lonlat(spark, sf, kind).withColumn("boundary_type", F.lit(kind)) for kind in ("county", "cd"))
     older = county.withColumns({"vintage_year": F.lit(2010), "geoid": F.concat(F.lit("x"), "geoid")})
     out = serving.boundaries_near(points, county.unionByName(cd).unionByName(older), boundary_type="county", year=2020, limit=5)
