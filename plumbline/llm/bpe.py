@@ -8,7 +8,7 @@ pieces of a batch are encoded once each:
 2. Verify: every adjacent pair of proposed tokens is tested in numpy. A pair is
    compatible if merging the two tokens' symbols together gives the same two
    tokens; a word whose pairs are all compatible is encoded right.
-3. Only words with a failing pair are merged rank by rank.
+3. Only words with a failing pair are merged rank by rank, many side by side.
 
 The normaliser and the word pattern are those stated in the vocabulary file
 (NFC, white space to one space, lower case; byte alphabet with a word-end mark).
@@ -39,6 +39,8 @@ CACHE_WORDS = 600_000
 CACHE_CHARS = 16_000_000
 # Words of more symbols are merged with a heap, whose cost does not grow with the square of the length.
 LONG_WORD = 100
+# Lengths up to which words are merged side by side, each with those of about its own length.
+MERGE_WIDTHS = (6, 9, 12, 16, 24, 40, LONG_WORD)
 # Characters that str.split() takes as white space and the vocabulary does not.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 _SPACE = regex.compile(r"[\s--[\x1c-\x1f]]+", regex.V1)
@@ -70,6 +72,7 @@ class WordBpe:
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.merged = [self.vocab[a + b] for a, b in merges]
+        self.merged_ids = np.array(self.merged, np.int64)
         self.pair_rank = {self.vocab[a] << 32 | self.vocab[b]: r for r, (a, b) in enumerate(merges)}
         size = max(self.texts) + 1
         self.rank = np.full(size, -1, np.int64)
@@ -100,6 +103,10 @@ class WordBpe:
         self.symbol = {c: self.vocab[c] for c in byte_alphabet()}
         self.final_symbol = {c: self.vocab[c + END] for c in byte_alphabet()}
         self.ascii_words = regex.compile(self.words.pattern, regex.ASCII)
+        codes = [ord(c) for c in self.symbol]
+        self.symbol_ids, self.final_ids = (np.zeros(max(codes) + 1, np.int64) for _ in range(2))
+        self.symbol_ids[codes] = list(self.symbol.values())
+        self.final_ids[codes] = list(self.final_symbol.values())
 
     def merge(self, ids: list[int]) -> list[int]:
         """Exact merging: the lowest rank first, the leftmost of equal ones."""
@@ -136,6 +143,59 @@ class WordBpe:
                     heapq.heappush(heap, (s, x, ids[x], ids[y]))
         return [i for i in ids if i >= 0]
 
+    def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair, the number of merges where there is none."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.key_ranks[at], len(self.merged))
+
+    def merge_words(self, words: list[str]) -> list[list[int]]:
+        """`merge` of many words in the byte alphabet at once, one merge in each word a step."""
+        out: list[list[int]] = [[] for _ in words]
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        group = np.searchsorted(MERGE_WIDTHS, lengths)
+        for g in np.unique(group).tolist():
+            which = np.flatnonzero(group == g)
+            if g == len(MERGE_WIDTHS):
+                for n in which.tolist():
+                    ids = list(map(self.symbol.__getitem__, words[n]))
+                    ids[-1] = self.final_symbol[words[n][-1]]
+                    out[n] = self.merge(ids)
+            else:
+                for n, ids in zip(which.tolist(), self._merge_group([words[n] for n in which.tolist()], lengths[which])):
+                    out[n] = ids
+        return out
+
+    def _merge_group(self, words: list[str], lengths: np.ndarray) -> list[list[int]]:
+        none, wide = len(self.merged), int(lengths.max())
+        codes = np.frombuffer("".join([w.ljust(wide, "\0") for w in words]).encode("utf-32-le"), np.uint32).reshape(-1, wide)
+        left, rows = lengths.copy(), np.arange(len(words))
+        # A last column that no word reaches, so that a place can always be looked at to the right.
+        ids = np.zeros((len(words), wide + 1), np.int64)
+        ids[:, :-1] = self.symbol_ids[codes]
+        ids[rows, left - 1] = self.final_ids[codes[rows, left - 1]]
+        ranks = np.full((len(words), wide), none)
+        r, c = np.nonzero(np.arange(wide) < left[:, None] - 1)
+        ranks[r, c] = self.pair_ranks(ids[r, c], ids[r, c + 1])
+        out: list[list[int]] = [[] for _ in words]
+        while len(rows):
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(rows)), at]
+            on = best < none
+            done = np.flatnonzero(~on)
+            for n, row, k in zip(rows[done].tolist(), ids[done].tolist(), left[done].tolist()):
+                out[n] = row[:k]
+            rows, at, best, left = rows[on], at[on], best[on], left[on] - 1
+            here, column = np.arange(len(rows)), np.arange(ids.shape[1] - 1)
+            # The place to the right of the merge closes up.
+            ids = np.take_along_axis(ids[on], column + (column > at[:, None]), axis=1)
+            ranks = np.take_along_axis(ranks[on], column[:-1] + (column[:-1] >= at[:, None]), axis=1)
+            ids[here, at] = self.merged_ids[best]
+            for k, ok in ((at - 1, at > 0), (at, at + 1 < left)):
+                k = k[ok]
+                ranks[here[ok], k] = self.pair_ranks(ids[here[ok], k], ids[here[ok], k + 1])
+        return out
+
     def propose(self, word: str) -> list[int]:
         """Greedy longest match."""
         ids, at, end = [], 0, len(word)
@@ -188,16 +248,15 @@ class WordBpe:
         first = np.flatnonzero(inside)
         keys, which = np.unique(flat[first] << 32 | flat[first + 1], return_inverse=True)
         good = self.compatible(keys >> 32, keys & 0xFFFFFFFF)
-        final, single = self.final_symbol, self.symbol
-        for n in np.unique(owner[~good[which]]).tolist():
-            word = words[n]
-            ids = list(map(single.__getitem__, word))
-            ids[-1] = final[word[-1]]
-            proposed[n] = self.merge(ids)
+        failing = np.unique(owner[~good[which]]).tolist()
+        for n, ids in zip(failing, self.merge_words([words[n] for n in failing])):
+            proposed[n] = ids
         return proposed
 
     def pieces_words(self, piece: str) -> list[str | int]:
         """Words of a piece without white space in the byte alphabet; ids of special tokens."""
+        if piece.isascii() and piece.isalpha():
+            return [piece.lower()]
         if piece.isascii() and piece.isprintable() and "<|" not in piece:
             return self.ascii_words.findall(piece.lower())
         out: list[str | int] = []

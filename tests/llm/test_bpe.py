@@ -71,3 +71,14 @@ def test_table_with_nulls_and_repeats(spark, library):
     assert bpe.encoding_digests(df.limit(0), vocabulary()).count() == 0
     whole = bpe.encode_table(df, vocabulary()).collect()
     assert sorted(len(r.ids) for r in whole) == [0, 0, 0, 2, 2]
+
+
+def test_merging_side_by_side():
+    e = bpe.encoder(vocabulary())
+    rnd = random.Random(3)
+    letters = [*"eeettaaoinshr", *bpe.byte_alphabet()]
+    words = ["".join(rnd.choices(letters[: rnd.choice((5, 13, 60, len(letters)))], k=rnd.choice((1, 2, 3, 6, 9, 14, 30, 99, 100, 101, 300)))) for _ in range(3000)]
+    want = []
+    for w in words:
+        want.append(e.merge([*map(e.symbol.__getitem__, w[:-1]), e.final_symbol[w[-1]]]))
+    assert e.merge_words(words) == want and e.merge_words([]) == []
