@@ -16,6 +16,8 @@ from plumbline.session import spool
 
 # Shares of the greatest distance within which `nearest` looks for edges, one after the other.
 REACHES = (1 / 32, 1 / 8, 1 / 2, 1)
+# How many times as many boundaries `k_nearest` looks at in each of its steps.
+SHRINK = 8
 
 
 def _segment_cells(boundaries: DataFrame, key: str, rings: str, reach: float) -> DataFrame:
@@ -146,12 +148,16 @@ def k_nearest(
 ) -> DataFrame:
     """`(id, key, distance, rank)`: the `limit` nearest boundaries of each point however far, ties by `key`.
 
-    Inside a boundary the distance is 0. With `max_distance` those farther away
-    are left out. A first bound comes from cells around the point that hold
-    corners of enough boundaries; boundaries whose boxes lie within it are its
-    candidates. Of these only those whose box is no farther than the k-th nearest
-    corner are measured exactly. Points without a position and boundaries
-    without a shape take no part.
+    Inside a boundary the distance is 0, so points within enough boundaries need
+    only the smallest keys of those, however many lie around them. With
+    `max_distance` boundaries farther away are left out. For the other points a
+    first bound comes from cells around the point that hold corners of enough
+    boundaries of a small sample. The k-th nearest of a sample bounds the search
+    in one SHRINK times as large, up to all boundaries, so that however dense they
+    are a point meets few in each. Boundaries whose boxes lie within the bound are its
+    candidates; of these only those whose box is no farther than the k-th smallest
+    bound on a distance, from a corner and from the sides of the box, are measured
+    exactly. Points without a position and boundaries without a shape take no part.
     """
     shapes = boundaries.filter(F.size(rings) > 0).select(F.col(key), F.col(rings).alias("rings"), F.expr(g.extent(rings)).alias("_box"))
     shapes = shapes.withColumns({"_vx": F.expr("rings[0][0].x"), "_vy": F.expr("rings[0][0].y"), "_b": F.monotonically_increasing_id()})
@@ -163,7 +169,40 @@ def k_nearest(
     need = min(limit, many)
     if not need:
         return pts.join(shapes, F.lit(False)).select(id_col, key, F.lit(0.0).alias(distance), F.lit(1).alias("rank"))
-    reach = _closing_radius(pts, shapes.select("_vx", "_vy"), need)
+    point = Window.partitionBy("_p")
+    inside = point_in_polygon(
+        pts, shapes.select("_b", key, "rings"), x="_x", y="_y", id_col="_p", least=F.struct(F.col(key), F.col("_b")), least_count=need
+    )
+    first = F.row_number().over(point.orderBy(key, "_b"))
+    inside = inside.select("_p", id_col, key, "_b").withColumn("_n", first).filter(F.col("_n") <= need)
+    inside = spool(inside, "inside")
+    full = inside.filter(F.col("_n") == need).select("_p")
+    within = inside.join(full, "_p", "left_semi").select("_p", id_col, key, F.lit(0.0).alias(distance))
+    rest = spool(pts.join(full, "_p", "left_anti"), "rest")
+    # Each shape is in a sample with one in SHRINK of the shapes of the sample below; the last is all shapes.
+    deepest = int(math.log(max(1.0, many / need), SHRINK))
+    sample = F.lit(0)
+    for n in range(1, deepest + 1):
+        sample = F.when(F.pmod(F.xxhash64("_b"), F.lit(SHRINK**n)) == 0, n).otherwise(sample)
+    sizes = {r["n"]: r["count"] for r in shapes.groupBy(sample.alias("n")).count().collect()}
+    top = max(n for n in range(deepest + 1) if not n or sum(c for m, c in sizes.items() if m >= n) >= 4 * need)
+    shapes = shapes.withColumn("_sample", sample)
+    reach = _closing_radius(rest, shapes.filter(F.col("_sample") >= top).select("_vx", "_vy"), need)
+    for n in range(top, 0, -1):
+        # The k-th nearest of a sample is about as near as the k * SHRINK-th of the next one.
+        found = _measured(reach, shapes.filter(F.col("_sample") >= n), need).withColumn("_n", F.row_number().over(point.orderBy("_d")))
+        near = F.col("_d") * (1 + 1e-9) + F.greatest(F.abs("_x"), F.abs("_y")) * 1e-12
+        reach = spool(found.filter(F.col("_n") == need).select("_p", "_x", "_y", near.alias("_r")), "reach")
+    found = _measured(reach, shapes, need).join(rest.select("_p", id_col), "_p").join(shapes.select("_b", key), "_b")
+    found = found.select("_p", id_col, key, F.col("_d").alias(distance)).unionByName(within)
+    if max_distance is not None:
+        found = found.filter(F.col(distance) <= max_distance)
+    return found.withColumn("rank", F.row_number().over(point.orderBy(distance, key))).filter(F.col("rank") <= limit).drop("_p")
+
+
+def _measured(reach: DataFrame, shapes: DataFrame, need: int) -> DataFrame:
+    """`_p, _x, _y, _b, _d`: the distances of the shapes that can be among the `need` nearest of a point, which lie within `_r`."""
+    point = Window.partitionBy("_p")
     box = "named_struct('minx', _x - _r, 'miny', _y - _r, 'maxx', _x + _r, 'maxy', _y + _r)"
     own = F.expr(zoom("greatest(_box.maxx - _box.minx, _box.maxy - _box.miny)", 4))
     boxes_p = spool(reach.withColumn("_box", F.expr(box)).withColumn("_own", own), "boxes")
@@ -182,13 +221,13 @@ def k_nearest(
         meet = (F.col(f"p.{c}") == F.col(f"b.{c}")) & meet
     gap = lambda v: f"greatest(b._box.min{v} - p._{v}, p._{v} - b._box.max{v}, 0D)"
     least = F.expr(f"sqrt(pow({gap('x')}, 2) + pow({gap('y')}, 2))").alias("_least")
-    most = F.expr("sqrt(pow(b._vx - p._x, 2) + pow(b._vy - p._y, 2))").alias("_most")
-    pairs = cells(boxes_p).alias("p").join(cells(boxes_b).alias("b"), meet).select(F.col(f"p.{id_col}"), "p._p", "p._x", "p._y", "b._b", least, most)
-    point = Window.partitionBy("_p")
+    # A shape has a corner on each side of its box, so it is no farther than the far end of the nearer side.
+    side = lambda v: f"least(abs(p._{v} - b._box.min{v}), abs(p._{v} - b._box.max{v}))"
+    end = lambda v: f"greatest(abs(p._{v} - b._box.min{v}), abs(p._{v} - b._box.max{v}))"
+    ends = [f"pow({side(v)}, 2) + pow({end(w)}, 2)" for v, w in ("xy", "yx")]
+    most = F.expr(f"sqrt(least(pow(b._vx - p._x, 2) + pow(b._vy - p._y, 2), {', '.join(ends)}))").alias("_most")
+    pairs = cells(boxes_p).alias("p").join(cells(boxes_b).alias("b"), meet).select("p._p", "p._x", "p._y", "b._b", least, most)
     pairs = pairs.withColumn("_n", F.row_number().over(point.orderBy("_most", "_b")))
     pairs = pairs.withColumn("_bound", F.max(F.when(F.col("_n") <= need, F.col("_most"))).over(point)).filter("_least <= _bound * (1 + 1e-9)")
-    exact = F.expr(g.distance("rings", "_x", "_y"))
-    found = pairs.join(shapes.select("_b", key, "rings"), "_b").select("_p", id_col, key, exact.alias(distance))
-    if max_distance is not None:
-        found = found.filter(F.col(distance) <= max_distance)
-    return found.withColumn("rank", F.row_number().over(point.orderBy(distance, key))).filter(F.col("rank") <= limit).drop("_p")
+    exact = F.expr(g.distance("rings", "_x", "_y")).alias("_d")
+    return pairs.join(shapes.select("_b", "rings"), "_b").select("_p", "_x", "_y", "_b", exact)

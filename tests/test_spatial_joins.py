@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shapes import as_rings, box, inside, segment_distance, star
 
 from plumbline.functions import geometry as g
-from plumbline.operators import grid, skew
+from plumbline.operators import grid, proximity, skew
 from plumbline.operators.pip import label_matches_space, point_in_polygon
 from plumbline.operators.proximity import k_nearest, nearest, within_distance
 
@@ -244,3 +244,27 @@ def test_nearest_among_many_around_a_point(spark):
                 best.setdefault(i, {})[k] = min(d, best.get(i, {}).get(k, d))
     want = [(i, k, round(d, 6), n + 1) for i, ds in best.items() for n, (d, k) in enumerate(sorted((d, k) for k, d in ds.items())[:3])]
     assert got == sorted(want, key=str)
+
+
+def test_k_nearest_meets_few_of_many_boundaries(spark, monkeypatch):
+    """However dense the boundaries are, a point is measured against few of them; results equal all pairs."""
+    rows = [(f"k{i * 7919 % 3000:04d}", (i * 37 % 500) / 10, (i * 53 % 301) / 10, 0.3 + i % 4 * 0.4, i) for i in range(3000)]
+    box = lambda x, y, r: [[(x - r, y - r), (x + r, y - r), (x + r, y + r), (x - r, y + r), (x - r, y - r)]]
+    shapes = spark.createDataFrame([(k, box(x, y, r)) for k, x, y, r, _ in rows], "key string, rings array<array<struct<x: double, y: double>>>")
+    points = [(i, (i * 29 % 800) / 10 - 14.97, (i * 31 % 600) / 10 - 14.53) for i in range(120)] + [(None, 25.01, 15.01), (7, -80.0, 3.0), (900, 51.3, 15.0)]
+    df = spark.createDataFrame(points, "id long, x double, y double")
+    counts, measured = [], proximity._measured
+
+    def counted(reach, some, need):
+        out = measured(reach, some, need)
+        counts.append((reach.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(proximity, "_measured", counted)
+    got = sorted(((r.id, r.key, round(r.distance_m, 6), r["rank"]) for r in k_nearest(df, shapes, id_col="id", key="key", limit=3).collect()), key=str)
+    assert len(counts) > 1 and all(points < len(df.collect()) and met < 60 * points for points, met in counts)
+    want = []
+    for i, px, py in points:
+        near = sorted((((max(abs(px - x) - r, 0) ** 2 + max(abs(py - y) - r, 0) ** 2) ** 0.5), k) for k, x, y, r, _ in rows)
+        want += [(i, k, round(d, 6), n + 1) for n, (d, k) in enumerate(near[:3])]
+    assert got == sorted(want, key=str)
