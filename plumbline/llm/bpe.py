@@ -95,11 +95,11 @@ class WordBpe:
                 else:
                     self.inner[text] = i
         self.longest_final = max(map(len, self.final))
-        # The longest token that starts with each three characters (fewer at the end of a token).
+        # The longest token that starts with each four characters (fewer at the end of a token).
         self.reach: dict[str, int] = {}
         for text in self.inner:
-            for start in {text[:1], text[:2], text[:3]}:
-                self.reach[start] = max(self.reach.get(start, 1), len(text) if len(start) == 3 else len(start))
+            for start in {text[:1], text[:2], text[:3], text[:4]}:
+                self.reach[start] = max(self.reach.get(start, 1), len(text) if len(start) == 4 else len(start))
         self.symbol = {c: self.vocab[c] for c in byte_alphabet()}
         self.final_symbol = {c: self.vocab[c + END] for c in byte_alphabet()}
         self.ascii_words = regex.compile(self.words.pattern, regex.ASCII)
@@ -204,7 +204,7 @@ class WordBpe:
             if end - at <= self.longest_final and (i := final.get(word[at:])) is not None:
                 ids.append(i)
                 return ids
-            stop = at + (reach.get(word[at : at + 3]) or reach.get(word[at : at + 2]) or 1)
+            stop = at + (reach.get(word[at : at + 4]) or reach.get(word[at : at + 3]) or reach.get(word[at : at + 2]) or 1)
             if stop >= end:
                 stop = end - 1
             while (i := inner.get(word[at:stop])) is None:
