@@ -29,6 +29,7 @@ each; rows with a null id take the smallest id they are linked with, if any.
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,8 @@ BITMAP_LONGS = 8
 HUBS = 3
 VERIFIED_HUBS = 2
 CACHE_WORDS = 400_000
+# Parts in which a bucket's hashes are sorted, one after the other; divides 256.
+SLICES = 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FINAL = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -179,45 +182,65 @@ def _numbered(sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sigs[order[new]], which
 
 
+def _repeated(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes that more than one owner has, their owners and how many there are; an owner's repeats count once."""
+    order = np.lexsort((owner, hashes))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    hashes, owner = hashes[new], owner[new]
+    starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+    times = np.diff(np.append(starts, len(hashes))).astype(np.uint32)
+    df = np.repeat(times, times)
+    keep = df > 1
+    return hashes[keep], owner[keep], df[keep]
+
+
+def _packed_binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], ends * values.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def shared_in_bucket(table: pa.Table, out: pa.Schema) -> pa.Table:
+    """Shingles of one bucket in more than one set, a row for each set; in little more memory than the hashes take."""
+    # Views on what Arrow holds; only the hashes and the number of each one's set are laid end to end.
+    packed, blobs = ([v.as_buffer() for chunk in table.column(c).chunks for v in chunk] for c in ("sig", "hashes"))
+    many = table.column("n").to_pylist()
+    sigs = np.concatenate([np.frombuffer(s, "V16", n) for s, n in zip(packed, many)])
+    counts = np.concatenate([np.frombuffer(s, np.uint32, n, 16 * n) for s, n in zip(packed, many)])
+    names, which = _numbered(sigs)
+    owner = np.repeat(which.astype(np.uint32), counts)
+    hashes = np.concatenate([np.frombuffer(h, np.uint64) for h in blobs])
+    # By the lowest byte of the hash, so that what is sorted at once stays small.
+    part = hashes.view(np.uint8)[::8] % SLICES if sys.byteorder == "little" else (hashes % SLICES).astype(np.uint8)
+    kept = [_repeated(hashes[at], owner[at]) for at in (np.flatnonzero(part == s) for s in range(SLICES))]
+    del hashes, owner, part
+    hashes, owner, df = (np.concatenate(k) for k in zip(*kept))
+    del kept
+    order = np.argsort(owner, kind="stable")
+    owner = owner[order]
+    last = np.flatnonzero(np.append(owner[1:] != owner[:-1], True)[: len(owner)])
+    ends = last + 1
+    columns = [
+        _packed_binary(names[owner[last]], np.arange(1, len(last) + 1)),
+        pa.array(np.zeros(len(last), np.int64)),
+        _packed_binary(hashes[order], ends),
+        _packed_binary(df[order].astype(np.int64), ends),
+    ]
+    return pa.table(columns, schema=out)
+
+
 def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
     """`sig, n, hashes, df`: light shingles in more than one set, and for each set a row of its heavy ones with `n`."""
     schema = "sig binary, n long, hashes binary, df binary"
     out = arrow_schema(schema)
 
-    def shared(rows: list[tuple[bytes, int, bytes]]) -> list[tuple]:
-        sigs = np.concatenate([np.frombuffer(s[: 16 * n], "V16") for s, n, _ in rows])
-        counts = np.concatenate([np.frombuffer(s[16 * n :], np.uint32) for s, n, _ in rows])
-        hashes = np.frombuffer(b"".join(h for _, _, h in rows), np.uint64)
-        names, which = _numbered(sigs)
-        owner = np.repeat(which, counts)
-        # A set met in several batches counts once.
-        order = np.lexsort((owner, hashes))
-        hashes, owner = hashes[order], owner[order]
-        new = np.ones(len(hashes), bool)
-        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-        hashes, owner = hashes[new], owner[new]
-        starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-        times = np.diff(np.append(starts, len(hashes)))
-        df = np.repeat(times, times)
-        keep = df > 1
-        hashes, owner, df = hashes[keep], owner[keep], df[keep]
-        if not len(owner):
-            return []
-        order = np.argsort(owner, kind="stable")
-        hashes, owner, df = hashes[order], owner[order], df[order]
-        cuts = np.flatnonzero(np.diff(owner)) + 1
-        heads = owner[np.concatenate([[0], cuts])]
-        parts = zip(heads, np.split(hashes, cuts), np.split(df, cuts))
-        return [(names[o].tobytes(), 0, h.tobytes(), d.astype(np.int64).tobytes()) for o, h, d in parts]
-
     def run(table: pa.Table) -> pa.Table:
-        rows = list(zip(*(table.column(c).to_pylist() for c in ("sig", "n", "hashes"))))
-        if table.column("bucket")[0].as_py() < 0:
-            found = [(sig, n, h, None) for sig, (n, h) in {sig: (n, h) for sig, n, h in rows}.items()]
-        else:
-            found = shared(rows)
-        columns = zip(*found) if found else [[]] * len(out)
-        return pa.table([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
+        if table.column("bucket")[0].as_py() >= 0:
+            return shared_in_bucket(table, out)
+        rows = zip(*(table.column(c).to_pylist() for c in ("sig", "n", "hashes")))
+        found = [(sig, n, h, None) for sig, (n, h) in {sig: (n, h) for sig, n, h in rows}.items()]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*found), out)], schema=out)
 
     # As many partitions as buckets, so that what a task gathers stays the same at every size.
     return packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, schema)

@@ -84,3 +84,36 @@ def test_columns_named_like_the_helpers(spark):
     out = jaccard.representatives(df)
     assert out.columns == df.columns
     assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], rows[3]], key=str)
+
+
+def test_a_bucket_takes_little_more_than_its_hashes():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from plumbline.llm.frames import arrow_schema
+
+    rnd = np.random.default_rng(1)
+    names = [bytes([i % 256, i // 256]) + b"x" * 14 for i in range(600)]
+    common = rnd.integers(0, 2**64, 50, np.uint64)
+    sets = [np.unique(np.concatenate([rnd.integers(0, 2**64, 4000, np.uint64), rnd.choice(common, 5)])) for _ in names]
+    # The last row repeats sets of the first.
+    rows = [list(range(i, i + 20)) for i in range(0, 600, 20)] + [[0, 1, 2]]
+    table = pa.table({
+        "bucket": pa.array([0] * len(rows), pa.int32()),
+        "sig": [b"".join(names[i] for i in r) + np.array([len(sets[i]) for i in r], np.uint32).tobytes() for r in rows],
+        "n": [len(r) for r in rows],
+        "hashes": [np.concatenate([sets[i] for i in r]).tobytes() for r in rows],
+    })
+    tracemalloc.start()
+    got = jaccard.shared_in_bucket(table, arrow_schema("sig binary, n long, hashes binary, df binary"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * sum(8 * len(s) for s in sets)
+    found, times = np.unique(np.concatenate(sets), return_counts=True)
+    many = dict(zip(found[times > 1].tolist(), times[times > 1].tolist()))
+    want = {n: {h: many[h] for h in s.tolist() if h in many} for n, s in zip(names, sets)}
+    made = {r["sig"]: dict(zip(np.frombuffer(r["hashes"], np.uint64).tolist(), np.frombuffer(r["df"], np.int64).tolist())) for r in got.to_pylist()}
+    assert made == {n: w for n, w in want.items() if w}
+    assert jaccard.shared_in_bucket(table.slice(0, 1), got.schema).num_rows <= 20
