@@ -61,6 +61,25 @@ def read_attributes(dbf: bytes) -> Iterator[dict[str, str] | None]:
         yield out
 
 
+def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Records of `(stem, shp, dbf)` rows; files of few records share a batch, as one for each costs more than its records."""
+    batch = []
+    for frame in frames:
+        for stem, shapes, table in frame[["stem", "shp", "dbf"]].itertuples(index=False):
+            attributes = read_attributes(bytes(table)) if table is not None else iter(())
+            for record, rings in enumerate(read_records(bytes(shapes))):
+                values = next(attributes, {}) if table is not None else {}
+                if values is None:
+                    continue
+                shape = None if rings is None else [[{"x": float(x), "y": float(y)} for x, y in r] for r in rings]
+                batch.append((stem, record, list(values.items()), shape))
+                if len(batch) == _BATCH:
+                    yield pd.DataFrame(batch, columns=["stem", "record", "attributes", "rings"])
+                    batch = []
+    if batch:
+        yield pd.DataFrame(batch, columns=["stem", "record", "attributes", "rings"])
+
+
 def decode_files(files: DataFrame) -> DataFrame:
     """`(stem, record, attributes, rings)` from `(path, content)` rows of `.shp` and `.dbf` files."""
     named = files.select(
@@ -71,23 +90,6 @@ def decode_files(files: DataFrame) -> DataFrame:
     shp = named.filter("kind = 'shp'").select("stem", F.col("content").alias("shp"))
     dbf = named.filter("kind = 'dbf'").select("stem", F.col("content").alias("dbf"))
 
-    def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for stem, shapes, table in frame[["stem", "shp", "dbf"]].itertuples(index=False):
-                attributes = read_attributes(bytes(table)) if table is not None else iter(())
-                batch = []
-                for record, rings in enumerate(read_records(bytes(shapes))):
-                    values = next(attributes, {}) if table is not None else {}
-                    if values is None:
-                        continue
-                    shape = None if rings is None else [[{"x": float(x), "y": float(y)} for x, y in r] for r in rings]
-                    batch.append((stem, record, list(values.items()), shape))
-                    if len(batch) == _BATCH:
-                        yield pd.DataFrame(batch, columns=["stem", "record", "attributes", "rings"])
-                        batch = []
-                if batch:
-                    yield pd.DataFrame(batch, columns=["stem", "record", "attributes", "rings"])
-
     schema = f"stem string, record int, attributes array<struct<key string, value string>>, rings {g.RINGS}"
     out = shp.join(dbf, "stem", "left").select("stem", "shp", "dbf").mapInPandas(decode, schema)
     return out.withColumn("attributes", F.map_from_entries("attributes"))

@@ -82,6 +82,19 @@ def test_shapefile_folder(spark, tmp_path):
     assert records[0][0].tolist() == [[3.0, 4.0]] and records[1] is None
 
 
+def test_small_shapefiles_share_batches():
+    import pandas as pd
+
+    shapes = pd.DataFrame([(f"{i:04d}", f"County {i}", [[{"x": x, "y": y} for x, y in box(i, 0, i + 1, 2)]]) for i in range(1500)], columns=["geoid", "name", "rings"])
+    files = _shape_bytes(shapes)["content"].tolist()
+    pairs = pd.DataFrame({"stem": shapes["geoid"], "shp": files[::2], "dbf": files[1::2]})
+    got = list(shapefile.decode(iter([pairs[:700], pairs[700:]])))
+    assert [len(f) for f in got] == [1000, 500]
+    rows = pd.concat(got)
+    assert rows["stem"].tolist() == [dict(a)["GEOID"] for a in rows["attributes"]] == shapes["geoid"].tolist()
+    assert set(rows["record"]) == {0} and rows["rings"].iloc[7][0][0]["x"] in (7.0, 8.0)
+
+
 def test_plan_file(spark, tmp_path):
     (tmp_path / "plans.json").write_text(
         '[{"model": "x", "fields": {"state_fips": "01", "chamber": "congress", "cycle_year": 2020, "effective_from": "2022-01-01", "effective_to": null}}]'
