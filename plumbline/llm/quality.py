@@ -174,6 +174,8 @@ def good_documents(df: DataFrame) -> DataFrame:
 
         return pd.DataFrame([counts_of(t) for t in texts], columns=COUNTS)
 
+    # Or the optimizer would copy it below the filter and count twice, with a second Python worker for each task.
+    counts = counts.asNondeterministic()
     cuts = wide(cutoffs(sketch(spool(measured(df), "counts"))))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")

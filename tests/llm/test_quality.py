@@ -147,3 +147,11 @@ def test_cutoffs_follow_the_group(spark):
     got = kept_of(spark, rows)
     assert not got[2000].kept
     assert sum(got[i].kept for i in range(1000, 1300)) > 280
+
+
+def test_kept_documents_are_counted_once(spark):
+    """The Python function stands in the plan once, so a task needs one Python worker."""
+    rows = [(i, clean(random.Random(i), 60), "en", "s") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    plan = quality.good_documents(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
