@@ -3,12 +3,15 @@
 A word's vector is the sum of hashed embeddings of the word, of its first four
 and of its first five letters. Filters of one, two and three words with
 rectifiers are pooled by their maximum over the whole text, and a logistic layer
-gives the score. The network is trained in numpy on at most TRAIN_EACH labelled
-documents of either label, chosen by a hash of their id.
+gives the score. All labelled documents that are not held out are dealt by id into
+shards of about SHARD. The network starts on the first shard; then each shard's
+task goes over its documents from the same network, and the changes are averaged,
+those of a word's embedding over the shards that have it.
 
 The score is shifted so that 0.5 is the calibrated threshold of the language the
-text itself points to, by word counts; a quarter of the sample, not trained on,
-sets the thresholds. Null and empty texts get the score of a text without words.
+text itself points to, by word counts of all labelled documents; a quarter of
+them, not trained on, sets the thresholds, from counts by language and logit in
+steps of 1 / STEPS. Null and empty texts get the score of a text without words.
 Without labels of both kinds, every score is the share of label 1, or 0. Rows
 with a null id are scored and never learnt from; repeated rows are scored each.
 """
@@ -16,15 +19,22 @@ with a null id are scored and never learnt from; repeated rows are scored each.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark import RDD
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from plumbline.llm.frames import map_rows
 
-TRAIN_EACH = 2500
+# Labelled documents of a shard, which one task holds as word buckets.
+SHARD = 6000
+STEPS = 1024
+# Numbers added up at once, and tasks that do so; keys of the network's sums, others are languages.
+BLOCK, SUM_TASKS = 16_384, 64
+NET, PAST = -1, -2
 BUCKETS = 1 << 15
 WIDTH = 16
 FILTERS = 12
@@ -78,6 +88,13 @@ class Network:
     def parameters(self) -> list[np.ndarray]:
         return [self.embed, *self.filters, *self.bias, self.out, self.base]
 
+    @classmethod
+    def of(cls, parameters: list[np.ndarray]) -> Network:
+        net = cls()
+        for q, p in zip(net.parameters(), parameters):
+            q[...] = p
+        return net
+
     def logits(self, vectors: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return np.maximum(self.pooled(vectors, starts)[0], 0) @ self.out + self.base
 
@@ -121,14 +138,11 @@ def gradients(net: Network, ids: np.ndarray, starts: np.ndarray, labels: np.ndar
     return grads
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 11) -> Network:
-    """Adagrad on the logistic loss; gradients flow through the pooled windows only."""
-    net, rnd = Network(seed), np.random.default_rng(seed)
+def train(net: Network, past: list[np.ndarray], texts: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, rounds: int, seed: int = 11) -> None:
+    """Adagrad on the logistic loss, in place; gradients flow through the pooled windows only."""
+    rnd = np.random.default_rng(seed)
     params = net.parameters()
-    past = [np.full_like(p, 1e-4) for p in params]
-    # Both labels weigh the same.
-    weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())).astype(np.float32)
-    for _ in range(max(EPOCHS, -(-LEAST_SEEN // len(texts)))):
+    for _ in range(rounds):
         order = rnd.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
@@ -136,7 +150,6 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 11) -> Networ
             for q, g, h in zip(params, grads, past):
                 h += g * g
                 q -= RATE * g / np.sqrt(h)
-    return net
 
 
 class Scorer:
@@ -180,73 +193,194 @@ class WordVectors:
         return self.scorer.shifted(self.scorer.net.logits(rows[:, :WIDTH], starts), evidence)
 
 
-def fit(examples: list[tuple[np.ndarray, int, str | None]]) -> Scorer | float:
-    """Scorer of `(word buckets, label, language)` triples in a fixed order; the share of label 1 if all are alike."""
-    labels = np.array([y for _, y, _ in examples], np.float32)
-    if len(set(labels.tolist())) < 2:
-        return float(labels.mean()) if len(labels) else 0.0
-    names = sorted({lang for _, _, lang in examples if lang is not None}) or [""]
-    counts = np.full((BUCKETS, len(names)), 0.1)
-    for words, _, lang in examples:
+class Hasher:
+    """Word buckets of texts; words are hashed once each."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, tuple] = {}
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        words = (text or "").lower().split()
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        self.known.update((w, hashed(w)) for w in set(words).difference(self.known))
+        # BUCKETS fit into 16 bits with the sign.
+        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int16).reshape(-1, 3)
+
+
+def shard_of(rows: Iterator[Row], few: bool, alone: bool) -> list[tuple[np.ndarray, int, str | None, bool, bool]]:
+    """Word buckets, label, language, whether to learn from and whether to set thresholds by, in a fixed order.
+
+    Every fourth document is kept aside to set the thresholds; where a label is rare, all train and set them.
+    """
+    buckets = Hasher()
+    found = [(r.h, r.doc_id, buckets(r.text), r) for r in rows]
+    found.sort(key=lambda f: (f[0], f[1], f[2].size, f[2].tobytes(), f[3].lang or ""))
+    aside = [n % 4 == 3 for n in range(len(found))]
+    if alone:
+        few = few or any(len({r.toxic for (*_, r), a in zip(found, aside) if a == kept}) < 2 for kept in (True, False))
+    return [(words, r.toxic, r.lang, few or not a, few or a) for (_, _, words, r), a in zip(found, aside)]
+
+
+def word_counts(shard: list[tuple]) -> dict[str, np.ndarray]:
+    """Words by bucket for each language."""
+    counts: dict[str, np.ndarray] = {}
+    for words, _, lang, _, _ in shard:
         if lang is not None:
-            np.add.at(counts[:, names.index(lang)], words[:, 0], 1)
+            counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
+            np.add.at(counts[lang], words[:, 0], 1)
+    return counts
+
+
+def trained(shard: list[tuple], net: Network, past: list[np.ndarray], share: float | None, rounds: int, least: int = 0) -> None:
+    """Goes over a shard's documents to learn from; both labels weigh the same where `share` have label 1, the shard's own if None."""
+    learning = [e for e in shard if e[3]]
+    if learning:
+        labels = np.array([e[1] for e in learning], np.float32)
+        share = labels.mean() if share is None else share
+        weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
+        train(net, past, [e[0] for e in learning], labels, weight, max(rounds, -(-least // len(learning))))
+
+
+def flat(arrays: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([a.ravel() for a in arrays])
+
+
+def unflat(vector: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
+    cuts = np.cumsum([a.size for a in like])
+    return [v.reshape(a.shape) for v, a in zip(np.split(vector, cuts[:-1]), like)]
+
+
+def summed(vectors: RDD) -> dict:
+    """Sums of `(key, vector)` by key; added up in blocks, so that no task holds many vectors."""
+    blocks = vectors.flatMap(lambda kv: [((kv[0], at), kv[1][at : at + BLOCK]) for at in range(0, len(kv[1]), BLOCK)])
+    found: dict = {}
+    for (key, _), block in sorted(blocks.reduceByKey(np.add, SUM_TASKS).collect(), key=lambda b: b[0]):
+        found.setdefault(key, []).append(block)
+    return {key: np.concatenate(parts) for key, parts in found.items()}
+
+
+def network_and_counts(rows: RDD, names: list[str], share: float, few: bool, total: int) -> tuple[Network, dict[int, np.ndarray]]:
+    """The network after rounds over all shards, and the words of all labelled documents by language and bucket."""
+    many = rows.getNumPartitions()
+    alone = many == 1
+
+    def counted(shard):
+        return [(names.index(lang), n) for lang, n in word_counts(shard).items()]
+
+    def first(number, part):
+        if number:
+            return []
+        shard, net = shard_of(part, few, alone), Network()
+        past = [np.full_like(p, 1e-4) for p in net.parameters()]
+        trained(shard, net, past, None if alone else share, EPOCHS, LEAST_SEEN)
+        return [(NET, flat(net.parameters())), (PAST, flat(past)), *(counted(shard) if alone else [])]
+
+    found = summed(rows.mapPartitionsWithIndex(first))
+    start = unflat(found[NET], Network().parameters())
+    past = unflat(found[PAST], start)
+    counts = found
+    for turn in range(0 if alone else -(-LEAST_SEEN // total)):
+        sent = rows.context.broadcast((start, past))
+
+        def each(part, turn=turn, sent=sent):
+            shard = shard_of(part, few, alone)
+            if not shard:
+                return []
+            start, before = sent.value
+            # Broadcast values are shared by the tasks of a worker.
+            net, past = Network.of(start), [p.copy() for p in before]
+            trained(shard, net, past, share, 1)
+            met = (past[0] != before[0]).any(axis=1).astype(np.float32)
+            change = [q - p for q, p in zip(net.parameters(), start)]
+            return [(NET, flat([*change, met, np.ones(1, np.float32)])), *([] if turn else counted(shard))]
+
+        found = summed(rows.mapPartitions(each))
+        counts = counts if turn else found
+        *changes, met, shards = unflat(found[NET], [*start, start[0][:, 0], np.ones(1)])
+        over = [np.maximum(met, 1)[:, None]] + [shards] * (len(start) - 1)
+        start = [p + change / n for p, change, n in zip(start, changes, over)]
+    return Network.of(start), counts
+
+
+def fit(examples: DataFrame) -> Scorer | float:
+    """Scorer learned from all `examples`; the share of label 1 if all labels are alike."""
+    groups = examples.groupBy("lang", "toxic").count().collect()
+    total, toxic = sum(r["count"] for r in groups), sum(r["count"] for r in groups if r.toxic == 1)
+    if toxic in (0, total):
+        return toxic / total if total else 0.0
+    names = sorted({r.lang for r in groups if r.lang is not None}) or [""]
+    rows = examples.rdd
+    alone = rows.getNumPartitions() == 1
+    # Over several shards both labels have to be among those aside in any deal.
+    few = min(toxic, total - toxic) < ASIDE_LEAST * (1 if alone else 4)
+    net, found = network_and_counts(rows, names, toxic / total, few, total)
+    counts = np.full((BUCKETS, len(names)), 0.1)
+    for n in range(len(names)):
+        counts[:, n] += found.get(n, 0)
     counts[0] = 1
     tongues = np.log(counts / counts.sum(axis=0)).astype(np.float32)
     tongues -= tongues.mean(axis=1, keepdims=True)
     tongues[0] = 0
-    # Every fourth example is kept aside to set the thresholds; where a label is rare, all train and set them.
-    aside = np.arange(len(examples)) % 4 == 3
-    few = min(np.bincount(labels.astype(int))) < ASIDE_LEAST or len(set(labels[aside].tolist())) < 2 or len(set(labels[~aside].tolist())) < 2
-    learning = np.ones(len(examples), bool) if few else ~aside
-    aside = learning if few else aside
-    net = train([e[0] for e, a in zip(examples, learning) if a], labels[learning])
-    logits, tongue = np.zeros(len(examples)), np.zeros(len(examples), np.int64)
-    for at in range(0, len(examples), BATCH):
-        ids, starts = lay_out([e[0] for e in examples[at : at + BATCH]])
-        vectors = net.embed[ids[:, 0]] + net.embed[ids[:, 1]] + net.embed[ids[:, 2]]
-        logits[at : at + BATCH] = net.logits(vectors, starts)
-        tongue[at : at + BATCH] = np.add.reduceat(tongues[ids[:, 0]], starts).argmax(axis=1)
-    overall = threshold(logits[aside], labels[aside])
-    own = [(aside & (tongue == n)) for n in range(len(names))]
-    enough = [min(np.bincount(labels[o].astype(int), minlength=2)) >= ASIDE_LEAST for o in own]
-    cuts = [threshold(logits[o], labels[o]) if ok else overall for o, ok in zip(own, enough)]
-    return Scorer(net, tongues, np.array(cuts))
-
-
-def threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """Middle of the gap between logits with the fewest errors, the widest such gap of equal ones."""
+    sent = rows.context.broadcast((net, tongues))
+
+    def logits(part):
+        net, tongues = sent.value
+        shard = [e for e in shard_of(part, few, alone) if e[4]]
+        met: dict[tuple[int, int], list[int]] = {}
+        for at in range(0, len(shard), BATCH):
+            ids, starts = lay_out([e[0] for e in shard[at : at + BATCH]])
+            vectors = net.embed[ids[:, 0]] + net.embed[ids[:, 1]] + net.embed[ids[:, 2]]
+            steps = np.floor(np.clip(net.logits(vectors, starts), -30, 30) * STEPS).astype(int)
+            tongue = np.add.reduceat(tongues[ids[:, 0]], starts).argmax(axis=1)
+            for key, e in zip(zip(tongue.tolist(), steps.tolist()), shard[at : at + BATCH]):
+                n = met.setdefault(key, [0, 0])
+                n[0] += e[1]
+                n[1] += 1
+        return list(met.items())
+
+    # At most 60 * STEPS rows a language.
+    binned = rows.mapPartitions(logits).reduceByKey(lambda a, b: [a[0] + b[0], a[1] + b[1]]).collect()
+
+    def cut(tongue: int | None) -> float | None:
+        of: dict[int, np.ndarray] = {}
+        for (t, step), n in binned:
+            if tongue in (None, t):
+                of[step] = of.get(step, 0) + np.array(n)
+        ones, many = np.array([of[s] for s in sorted(of)]).reshape(-1, 2).T
+        if tongue is not None and min(ones.sum(), (many - ones).sum()) < ASIDE_LEAST:
+            return None
+        return threshold((np.array(sorted(of)) + 0.5) / STEPS, ones, many)
+
+    overall = cut(None)
+    own = [cut(n) for n in range(len(names))]
+    return Scorer(net, tongues, np.array([overall if c is None else c for c in own]))
+
+
+def threshold(logits: np.ndarray, labels: np.ndarray, many: np.ndarray | int = 1) -> float:
+    """Middle of the gap between logits with the fewest errors, the widest such gap of equal ones.
+
+    A logit may stand for `many` documents, of which `labels` have label 1.
+    """
     order = np.argsort(logits)
-    x, y = logits[order], labels[order]
-    errors = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
+    x, y, others = logits[order], labels[order], (many - labels)[order]
+    errors = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum(others[::-1])[::-1], [0]])
     edges = np.concatenate([[x[0] - 1], (x[1:] + x[:-1]) / 2, [x[-1] + 1]])
     gaps = np.concatenate([[0], np.diff(x), [0]])
     return float(edges[max(range(len(edges)), key=lambda i: (-errors[i], gaps[i]))])
 
 
-def examples(documents: DataFrame, labels: DataFrame) -> list[tuple[np.ndarray, int, str | None]]:
-    """A bounded sample of the labelled documents that are not held out, as word buckets."""
-    known = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).withColumn("h", F.xxhash64("doc_id"))
-    parts = [known.filter(F.col("toxic") == y).orderBy("h", "doc_id").limit(TRAIN_EACH) for y in (0, 1)]
-    # At most twice TRAIN_EACH ids.
-    chosen = documents.select("doc_id", "text", "lang").join(F.broadcast(parts[0].union(parts[1])), "doc_id")
-
-    def make():
-        def run(batch):
-            memo: dict[str, tuple] = {}
-            out = []
-            for text in batch["text"]:
-                words = (text or "").lower().split()
-                memo.update((w, hashed(w)) for w in set(words).difference(memo))
-                out.append(np.fromiter(chain.from_iterable(map(memo.__getitem__, words)), np.int32).tobytes())
-            return {k: batch[k] for k in ("h", "doc_id", "toxic", "lang")} | {"words": out}
-
-        return run
-
-    schema = "h long, doc_id long, toxic int, lang string, words binary"
-    found = map_rows(chosen.select("h", "doc_id", "toxic", "lang", "text"), make, schema).collect()
-    found.sort(key=lambda r: (r["h"], r["doc_id"], len(r["words"])))
-    return [(np.frombuffer(bytes(r["words"]), np.int32).reshape(-1, 3), r["toxic"], r["lang"]) for r in found]
+def examples(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """`doc_id, text, lang, toxic, h` of all labelled documents that are not held out, a partition for each shard."""
+    known = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    shards = max(1, -(-known.count() // SHARD))
+    # With fewer partitions than usual the join would deal the texts out again.
+    parts = max(shards, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = documents.select("doc_id", "text", "lang").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    # A broadcast of either side would keep the other's partitions.
+    found = rows.repartition(parts, "doc_id").join(known.repartition(parts, "doc_id").hint("merge"), "doc_id").coalesce(shards)
+    return found.withColumn("h", F.xxhash64("doc_id"))
 
 
 def score(df: DataFrame, scorer: Scorer | float) -> DataFrame:

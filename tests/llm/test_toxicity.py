@@ -100,3 +100,17 @@ def test_few_labels_still_train(spark):
     got = {r.doc_id: r for r in toxicity.toxicity(df, known).collect()}
     assert len({r.score for r in got.values()}) > 10
     assert all(got[i].predicted == (i % 8 == 0) for i in range(400))
+
+
+def test_all_labelled_documents_train(spark, monkeypatch):
+    """Far more documents of a label than a shard has: all are examples, and shards together learn words that few of them have."""
+    docs = [(i, f"kalo mite {f'vile{i % 40}soru nape' if i % 4 == 0 else f'sona{i % 39} peru'} tena", "xx", "s") for i in range(8000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    known = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(8000)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD", 1500, raising=False)
+    found = toxicity.examples(df, known)
+    assert found.count() == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(8000)) > 6000
+    assert found.rdd.getNumPartitions() == 5
+    got = toxicity.score(df, toxicity.fit(found)).collect()
+    assert sum(r.predicted == (r.doc_id % 4 == 0) for r in got) > 7950
+    assert toxicity.threshold(np.array([-1.0, 0.0, 2.0]), np.array([1, 0, 5]), np.array([9, 4, 6])) == 1.0
