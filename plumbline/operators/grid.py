@@ -15,6 +15,11 @@ Cells are built from edges as rows. The anchors' parities are running sums of th
 edges that cross a column's right border, from the top down; where no edge
 touches the cells between two rows of a column, the sum says whether they lie
 wholly inside.
+
+Joins that may give many rows a point take the cells cut into slabs (`slabs`): between
+two neighbouring corner heights the same edges count for every point, and what the
+others add is one bit. With at most SLOTS edges left, they stand in columns of their
+own, and the join compares numbers where it would walk through an array.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
-from plumbline.operators.skew import key_spread, repeat_rows, spread_rows
+from plumbline.operators.skew import hot_keys, repeat_rows, spread_rows
 from plumbline.session import spool
 
 CELL = ["_z", "_cx", "_cy"]
@@ -36,6 +41,12 @@ MIN_ZOOM, MAX_ZOOM = -24, 40
 # Bytes of an index a broadcast side may hold, and those of a row beside its edges and other columns.
 BROADCAST_BYTES = 64 << 20
 ROW_BYTES = 150
+# Edges a slab holds as columns, and edges of a cell up to which it is cut into slabs.
+SLOTS, SLAB_EDGES = 4, 64
+# Probe rows beyond which a large index is joined by sorting.
+MANY_PROBES = 100_000
+# Bytes of the rows that an edge of a cell adds when the cell is cut into slabs.
+SLAB_BYTES = 250
 # An edge so close to a cell, against the largest number involved, touches it.
 SLACK = 1e-12
 
@@ -153,10 +164,82 @@ def inside_cell(row: str, px: str, py: str) -> str:
     return f"({row}_whole OR ({crossed}) != {row}_odd)"
 
 
+def _tangled(edges: str) -> str:
+    """Whether a cell with these edges stays whole: too many of them, at one height or in all, or coordinates without end."""
+    endless = f"exists({edges}, ta_e -> NOT coalesce(abs(ta_e.x1) + abs(ta_e.x2) + abs(ta_e.y1) + abs(ta_e.y2) < double('Infinity'), false))"
+    at = lambda y: f"size(filter({edges}, ta_f -> (ta_f.y1 > {y}) != (ta_f.y2 > {y}))) > {SLOTS}"
+    crowded = f"exists({edges}, ta_e -> {at('ta_e.y1')} OR {at('ta_e.y2')})"
+    return f"CASE WHEN size({edges}) > {SLAB_EDGES} THEN true WHEN {endless} THEN true WHEN size({edges}) <= {SLOTS} THEN false ELSE {crowded} END"
+
+
+def tangled(index: DataFrame) -> DataFrame:
+    """The index rows that `slabs` leaves out."""
+    return index.filter(_tangled("_edges"))
+
+
+def slabs(index: DataFrame) -> DataFrame:
+    """Index rows cut at the heights of their corners, for `inside_slab`; those of `tangled` are left out.
+
+    For a point between `_lo` and `_hi`, `_flip` and each edge in `_e0` and on that
+    the point lies to the left of turn the answer over once. The edges follow from
+    `inside_cell`: left of the border both ends count by the ray alone; an edge across
+    the border counts by the ray as well, for beyond the border it is passed anyway,
+    and by a fixed bit that only depends on its place above, below or at the height.
+    Slabs that lie wholly outside are left out.
+    """
+    keep = [c for c in index.columns if c not in ("_whole", "_odd", "_edges")]
+    rows = index.filter(f"NOT ({_tangled('_edges')})").withColumn("_size", F.expr(cell_size("_z")))
+    rows = rows.withColumns({"_right": F.expr("(_cx + 1) * _size"), "_low": F.expr("_cy * _size"), "_top": F.expr("(_cy + 1) * _size")})
+    bend = "((sl_e.x1 > _right) != (sl_e.x2 > _right))"
+    rising = "((sl_e.x2 > sl_e.x1) = (sl_e.y2 > sl_e.y1))"
+    over = f"({_height('sl_e', '_right')} > _top)"
+    own = (
+        f"transform(filter(_edges, sl_e -> NOT (sl_e.x1 > _right AND sl_e.x2 > _right)), sl_e -> named_struct('e', sl_e, "
+        f"'lo', least(sl_e.y1, sl_e.y2), 'hi', greatest(sl_e.y1, sl_e.y2), "
+        f"'at', {bend} AND {rising} != {over}, 'above', {bend} AND NOT {over}, 'below', {bend} AND {over}))"
+    )
+    rows = rows.withColumn("_own", F.expr(own))
+    heights = "concat(transform(_own, sl_o -> sl_o.lo), transform(_own, sl_o -> sl_o.hi))"
+    rows = rows.withColumn("_ys", F.expr(f"array_sort(array_distinct(filter({heights}, sl_y -> sl_y > _low AND sl_y < _top)))"))
+    cuts = (
+        "transform(sequence(0, size(_ys)), sl_i -> named_struct("
+        "'lo', coalesce(get(_ys, sl_i - 1), _low), 'hi', coalesce(get(_ys, sl_i), _top), "
+        "'first', sl_i = 0, 'last', sl_i = size(_ys)))"
+    )
+    flips = (
+        "aggregate(_own, _odd, (sl_b, sl_o) -> sl_b != CASE WHEN sl_o.lo >= sl_s.hi THEN sl_o.above "
+        "WHEN sl_o.hi <= sl_s.lo THEN sl_o.below ELSE sl_o.at END)"
+    )
+    cut = (
+        f"transform({cuts}, sl_s -> named_struct("
+        "'_lo', CASE WHEN sl_s.first THEN double('-Infinity') ELSE sl_s.lo END, "
+        "'_hi', CASE WHEN sl_s.last THEN double('Infinity') ELSE sl_s.hi END, "
+        f"'_flip', {flips}, "
+        "'_met', transform(filter(_own, sl_o -> sl_o.lo < sl_s.hi AND sl_o.hi > sl_s.lo), sl_o -> sl_o.e)))"
+    )
+    none = f"CAST(array() AS ARRAY<{g.EDGE}>)"
+    all_in = f"array(named_struct('_lo', double('-Infinity'), '_hi', double('Infinity'), '_flip', true, '_met', {none}))"
+    rows = rows.withColumn("_slab", F.explode(F.expr(f"CASE WHEN _whole THEN {all_in} ELSE {cut} END")))
+    rows = rows.select(*keep, "_slab.*").filter("_flip OR size(_met) > 0")
+    return rows.select(*keep, "_lo", "_hi", "_flip", *[F.expr(f"get(_met, {i})").alias(f"_e{i}") for i in range(SLOTS)])
+
+
+def inside_slab(row: str, px: str, py: str) -> str:
+    """Whether a point within the cell of slab row `row` (a prefix such as `b.`) lies inside its shape."""
+    turned = f"{row}_flip"
+    for i in range(SLOTS):
+        e = f"{row}_e{i}"
+        left = f"({e} IS NOT NULL AND {px} < ({e}.x2 - {e}.x1) * ({py} - {e}.y1) / ({e}.y2 - {e}.y1) + {e}.x1)"
+        turned = f"({turned} != {left})"
+    return f"({py} >= {row}_lo AND {py} < {row}_hi AND {turned})"
+
+
 @dataclass(frozen=True)
 class IndexStats:
     zooms: list[int]
     small: bool
+    # Whether there may be rows that `slabs` leaves out.
+    tangled: bool = True
 
 
 def row_bytes(columns: list[str]) -> Column:
@@ -165,17 +248,22 @@ def row_bytes(columns: list[str]) -> Column:
     return F.octet_length(shown) + ROW_BYTES
 
 
-def index_stats(index: DataFrame, limit: int | None = None) -> IndexStats:
+def index_stats(index: DataFrame, limit: int | None = None, edge_bytes: int = 48) -> IndexStats:
     """Zooms in use and whether the index is small enough to broadcast: one aggregate job."""
     row = index.agg(
         F.collect_set("_z").alias("z"),
-        F.sum(F.size("_edges") * 48 + row_bytes(index.drop("_edges").columns)).alias("bytes"),
+        F.sum(F.size("_edges") * edge_bytes + row_bytes(index.drop("_edges").columns)).alias("bytes"),
+        F.expr(f"bool_or({_tangled('_edges')})").alias("tangled"),
     ).first()
-    return IndexStats(sorted(row["z"]), (row["bytes"] or 0) <= (BROADCAST_BYTES if limit is None else limit))
+    return IndexStats(sorted(row["z"]), (row["bytes"] or 0) <= (BROADCAST_BYTES if limit is None else limit), bool(row["tangled"]))
 
 
 def prepared_index(
-    boundaries: DataFrame, rings: str = "rings", splits: int | None = None, reduce: Callable[[DataFrame], DataFrame] | None = None
+    boundaries: DataFrame,
+    rings: str = "rings",
+    splits: int | None = None,
+    reduce: Callable[[DataFrame], DataFrame] | None = None,
+    edge_bytes: int = 48,
 ) -> tuple[DataFrame, IndexStats]:
     """The cell index of the boundaries and its measures.
 
@@ -186,20 +274,21 @@ def prepared_index(
     if "_edges" in boundaries.columns:
         if reduce:
             boundaries = spool(reduce(boundaries), "index")
-        return boundaries, index_stats(boundaries)
+        return boundaries, index_stats(boundaries, edge_bytes=edge_bytes)
     size = cell_size("_z")
     nx = f"(floor(_box.maxx / {size}) - floor(_box.minx / {size}) + 1)"
     ny = f"(floor(_box.maxy / {size}) - floor(_box.miny / {size}) + 1)"
     met = f"aggregate(_all, 0D, (pi_s, pi_e) -> pi_s + (abs(pi_e.x2 - pi_e.x1) + abs(pi_e.y2 - pi_e.y1)) / {size} + 3)"
     keep = [c for c in boundaries.columns if c != rings]
     zoomed = _stored(_zoomed(boundaries, rings, splits, keep))
-    held = F.expr(f"{nx} * {ny}") * row_bytes(keep) + F.expr(f"48 * {met}")
-    row = zoomed.agg(F.collect_set("_z").alias("z"), F.sum(held).alias("bound")).first()
+    held = F.expr(f"{nx} * {ny}") * row_bytes(keep) + F.expr(f"{edge_bytes} * {met}")
+    # No cell has more edges at a height than its shape.
+    row = zoomed.agg(F.collect_set("_z").alias("z"), F.sum(held).alias("bound"), F.expr(f"bool_or({_tangled('_all')})").alias("tangled")).first()
     index = _cells(zoomed, keep)
     if (row["bound"] or 0) <= BROADCAST_BYTES:
-        return index, IndexStats(sorted(row["z"]), True)
+        return index, IndexStats(sorted(row["z"]), True, bool(row["tangled"]))
     index = spool(reduce(index) if reduce else index, "index")
-    return index, index_stats(index)
+    return index, index_stats(index, edge_bytes=edge_bytes)
 
 
 def point_cells(x: str, y: str, zooms: list[int]) -> Column:
@@ -246,7 +335,8 @@ def join_on_cells(
 
     A small side is broadcast and the points never move. Otherwise the points per
     cell are counted; those of a crowded cell are spread over several tasks and
-    the cell's few rows repeated, so one cell fills no single task.
+    the cell's few rows repeated, so one cell fills no single task. Unless the
+    points are few, both sides are sorted by cell.
     """
     keys = [*CELL, *on]
     if stats.zooms:
@@ -257,9 +347,15 @@ def join_on_cells(
     if stats.small:
         side = F.broadcast(side)
     else:
-        hot = None if points.isStreaming else key_spread(probe.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+        hot, many = None, True
+        if not points.isStreaming:
+            counts = probe.groupBy(*keys).agg(F.count("*").alias("n"))
+            row = counts.agg(F.sum("n").alias("total"), F.max("n").alias("top")).first()
+            hot, many = hot_keys(counts, keys, row["total"], row["top"]), (row["total"] or 0) > MANY_PROBES
         probe = spread_rows(probe, hot, keys, F.col(id_col) if id_col else F.struct(*points.columns))
         side = repeat_rows(side, hot, keys)
+        # Sorted, the rows of a cell lie together for all its points; points that seem few by their bytes are not sent to every task.
+        side = side.hint("merge") if many else side
         keys = [*keys, "_salt"]
     cond = F.expr(condition)
     for key in keys:

@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.grid import CELL, inside_cell, join_on_cells, prepared_index, smallest_kept
+from plumbline.operators.grid import (
+    CELL,
+    SLAB_BYTES,
+    index_stats,
+    inside_cell,
+    inside_slab,
+    join_on_cells,
+    prepared_index,
+    slabs,
+    smallest_kept,
+    tangled,
+)
+from plumbline.session import spool
 
 INDEX_COLUMNS = [*CELL, "_whole", "_odd", "_edges"]
 
@@ -43,29 +57,38 @@ def point_in_polygon(
     boundaries with larger values, or equal ones, may then be missing.
 
     A small index is broadcast; a large one is joined on the cell, with the
-    points of crowded cells spread over several tasks (`grid.join_on_cells`).
+    points of crowded cells spread over several tasks (`grid.join_on_cells`). Cells
+    take part as slabs; the few whose edges do not fit them have a join of their own.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     if (how == "left" or first_only) and not id_col:
         raise ValueError("left joins and first_only need id_col")
     reduce = None if least is None else lambda rows: smallest_kept(rows, least, (*on, *least_by), least_count)
-    index, stats = prepared_index(boundaries, rings, splits, reduce)
+    index, stats = prepared_index(boundaries, rings, splits, reduce, SLAB_BYTES)
+    if stats.small and stats.tangled and "_edges" not in boundaries.columns:
+        # Known by the whole shapes only; their cells settle it.
+        index = spool(index, "index")
+        stats = replace(stats, tangled=index_stats(index).tangled)
     attrs = [c for c in index.columns if c not in INDEX_COLUMNS and c not in on]
     # With one zoom a point has one probe row, so the outer join is direct.
     direct_left = how == "left" and len(stats.zooms) <= 1
-    joined = join_on_cells(
-        points,
-        index,
-        stats,
-        inside_cell("b.", f"p.{x}", f"p.{y}"),
-        x=x,
-        y=y,
-        on=on,
-        how="left" if direct_left else "inner",
-        id_col=id_col,
-    )
-    out = joined.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"b.{c}") for c in attrs])
+
+    def joined(side: DataFrame, inside: str) -> DataFrame:
+        kind = "left" if direct_left else "inner"
+        rows = join_on_cells(points, side, stats, inside, x=x, y=y, on=on, how=kind, id_col=id_col)
+        return rows.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"b.{c}") for c in attrs])
+
+    whole_cells = inside_cell("b.", f"p.{x}", f"p.{y}")
+    if direct_left and stats.tangled:
+        out = joined(index, whole_cells)
+    else:
+        cut = slabs(index)
+        # Every micro-batch reads them.
+        cut = spool(cut, "slabs") if points.isStreaming else cut
+        out = joined(cut, inside_slab("b.", f"p.{x}", f"p.{y}"))
+        if stats.tangled:
+            out = out.unionAll(joined(tangled(index), whole_cells))
 
     if first_only:
         best = out.groupBy(id_col).agg(F.min_by(F.struct(*attrs), first_only).alias("_hit"))

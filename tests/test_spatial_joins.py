@@ -268,3 +268,57 @@ def test_k_nearest_meets_few_of_many_boundaries(spark, monkeypatch):
         near = sorted((((max(abs(px - x) - r, 0) ** 2 + max(abs(py - y) - r, 0) ** 2) ** 0.5), k) for k, x, y, r, _ in rows)
         want += [(i, k, round(d, 6), n + 1) for n, (d, k) in enumerate(near[:3])]
     assert got == sorted(want, key=str)
+
+
+def _joins(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line for line in plan.splitlines() if "Join " in line]
+
+
+def test_pairs_are_compared_by_columns(spark):
+    """The join looks at numbers for each pair, whatever the number of shapes around a point."""
+    rows = _stacked(200)
+    shapes = spark.createDataFrame([(k, r) for k, *_, r in rows], "key string, rings array<array<struct<x: double, y: double>>>")
+    points = [(i, (i * 29 % 240) / 10 - 11.97, (i * 31 % 230) / 10 - 11.47) for i in range(300)] + [(7, 0.01, 0.01), (None, 0.01, 0.01), (8, None, 0.0)]
+    df = spark.createDataFrame(points, "id long, x double, y double")
+    out = point_in_polygon(df, shapes)
+    joins = [line for line in _joins(out) if "_flip" in line]
+    assert len(joins) == 1 and "lambda" not in joins[0]
+    want = sorted(((i, k) for i, px, py in points if px is not None for k, x, y, r, _ in rows if abs(px - x) < r and abs(py - y) < r), key=str)
+    assert sorted(((r.id, r.key) for r in out.collect()), key=str) == want
+
+
+def comb(teeth, width=0.05):
+    """Thin teeth side by side, so that one height meets two edges a tooth."""
+    ring = [(0.0, 0.0)]
+    for i in range(teeth):
+        ring += [(i * width, 1.0), ((i + 0.5) * width, 0.1), ((i + 0.6) * width, 0.1)]
+    return [*ring, (teeth * width, 0.0), (0.0, 0.0)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_cells_with_many_edges_at_one_height(spark, how):
+    """They do not fit the columns of a slab and are joined by themselves, once."""
+    shapes = {"comb": comb(20), "big": comb(90, 0.02), "box": box(0.1, 0.1, 2.1, 2.1), "bow": [(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]}
+    polys = spark.createDataFrame([(k, k, as_rings(v)) for k, v in shapes.items()], SCHEMA)
+    rng = np.random.default_rng(3)
+    places = [(float(x), float(y)) for x, y in rng.uniform(-0.2, 2.3, (1500, 2))] + [c for ring in shapes.values() for c in ring]
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(places)], "id long, x double, y double")
+    for few in (polys.filter("geoid = 'comb'"), polys):
+        want = points.join(few, F.expr(g.contains("rings", "x", "y")), how).select("id", "geoid").collect()
+        for splits in (None, 2):
+            index = grid.cell_index(few, splits=splits)
+            assert grid.tangled(index).count() > 0
+            for given in (few, index):
+                got = point_in_polygon(points, given, splits=splits, how=how, id_col="id").select("id", "geoid").collect()
+                assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_many_points_do_not_travel_to_every_task(spark, world, monkeypatch):
+    """A large index is joined by sorting, however small the points look by their bytes."""
+    polys, points, shapes, pts = world
+    monkeypatch.setattr(grid, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(grid, "MANY_PROBES", 500)
+    out = point_in_polygon(points, polys).select("id", "geoid")
+    assert "SortMergeJoin" in out._jdf.queryExecution().sparkPlan().toString()
+    assert {(r.id, r.geoid) for r in out.collect()} == want(shapes, pts)
