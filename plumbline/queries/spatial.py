@@ -176,7 +176,7 @@ def stream_point_placement(spark, sf):
     """The county join on a file stream, drained once; each input row arrives exactly once."""
     customers = b.read(spark, sf, "customer")
     source, out, marks = (new_path(spark, n) for n in ("source", "placed", "marks"))
-    customers.write.parquet(source)
+    b.spread(customers).write.parquet(source)
     stream = spark.readStream.schema(customers.schema).parquet(source).selectExpr(
         "c_custkey AS id", f"{b.ADDRESS_X} AS x", f"{b.ADDRESS_Y} AS y"
     )

@@ -382,3 +382,24 @@ def test_roll_up_along_parents(spark):
     circle = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "geography_key string, parent_key string")
     with pytest.raises(ValueError, match="circle"):
         warehouse.ancestors(circle)
+
+
+def test_placement_of_a_stream_is_spread(spark, tmp_path, monkeypatch):
+    """The small input comes as files for every core, and each micro-batch compares plain columns of a written index."""
+    from plumbline.queries import spatial
+
+    plans = []
+
+    def kept(stream, boundaries):
+        out = place_stream(stream, boundaries)
+        plans.append((out._jdf.queryExecution().analyzed().toString(), len(list((tmp_path / "source").glob("*.parquet")))))
+        return out
+
+    spark.createDataFrame([(k, f"Supplier#{k}", k % 25) for k in range(1, 60)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.range(1, 500).selectExpr("id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey", "'M' AS c_mktsegment").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    monkeypatch.setattr(spatial, "new_path", lambda s, name: str(tmp_path / name))
+    monkeypatch.setattr(spatial, "place_stream", kept)
+    got = sorted(spatial.stream_point_placement(spark, str(tmp_path)).collect())
+    assert got and got == sorted(spatial.counties_of_address(spark, str(tmp_path)).collect())
+    text, files = plans[0]
+    assert files >= spark.sparkContext.defaultParallelism and "lambda" not in text and "_flip" in text
