@@ -64,9 +64,12 @@ def cell_size(z: str) -> str:
 def _zoomed(boundaries: DataFrame, rings: str, splits: int | None, keep: list[str]) -> DataFrame:
     """Boundaries with an area, their extent, edges and zoom."""
     fitting = splits or "greatest(3, ceil(sqrt(size(_all))))"
+    # Conditions on what a generator gives stay behind it: on the rings themselves they go down to the scan, which
+    # then makes the rings once for each mention, in as few tasks as the table has files.
+    shape = f"CASE WHEN size({rings}) > 0 THEN array(named_struct('_box', {g.extent(rings)}, '_all', {g.edges(rings)})) END"
     return (
-        boundaries.filter(F.size(rings) > 0)
-        .select(*keep, F.expr(g.extent(rings)).alias("_box"), F.expr(g.edges(rings)).alias("_all"))
+        boundaries.select(*keep, F.explode_outer(F.expr(shape)).alias("_s"))
+        .select(*keep, "_s.*")
         .filter("_box.maxx > _box.minx AND _box.maxy > _box.miny")
         .withColumn("_z", F.expr(zoom("greatest(_box.maxx - _box.minx, _box.maxy - _box.miny)", fitting)))
     )
@@ -86,6 +89,11 @@ def _stored(zoomed: DataFrame) -> DataFrame:
     return spool(zoomed.withColumn("_shape", F.monotonically_increasing_id()), "shapes")
 
 
+def _exploded(df: DataFrame, name: str, array: str) -> DataFrame:
+    """A row for each element; an inner explode has Spark compute the array once more, to leave out empty ones beforehand."""
+    return df.withColumn(name, F.explode_outer(F.expr(array))).filter(F.col(name).isNotNull())
+
+
 def _height(e: str, at: str) -> str:
     """Height at which edge `e` crosses the vertical line through `at`, between its ends."""
     raw = f"({e}.y2 - {e}.y1) * ({at} - {e}.x1) / nullif({e}.x2 - {e}.x1, 0D) + {e}.y1"
@@ -99,7 +107,7 @@ def _touched(edges: DataFrame) -> DataFrame:
     edges = edges.withColumn("_slack", F.expr(f"{SLACK!r}D * greatest(_size, abs(_e.x1), abs(_e.x2), abs(_e.y1), abs(_e.y2))"))
     for v in "xy":
         edges = edges.withColumns({f"_lo{v}": F.expr(f"least(_e.{v}1, _e.{v}2)"), f"_hi{v}": F.expr(f"greatest(_e.{v}1, _e.{v}2)")})
-    edges = edges.withColumn("_cy", F.explode(F.expr("sequence(floor((_loy - _slack) / _size), floor((_hiy + _slack) / _size))")))
+    edges = _exploded(edges, "_cy", "sequence(floor((_loy - _slack) / _size), floor((_hiy + _slack) / _size))")
     # Where the edge enters and leaves the row of cells.
     edges = edges.withColumn("_run", F.expr("(_e.x2 - _e.x1) / nullif(_e.y2 - _e.y1, 0D)"))
     for name, y in (("_low", "_cy * _size - _slack"), ("_high", "(_cy + 1) * _size + _slack")):
@@ -108,7 +116,7 @@ def _touched(edges: DataFrame) -> DataFrame:
     edges = edges.withColumns(ends)
     edges = edges.withColumns({"_first": F.expr("least(_low_lo, _high_lo)"), "_last": F.expr("greatest(_low_hi, _high_hi)")})
     columns = "sequence(floor((_first - _slack) / _size), floor((_last + _slack) / _size))"
-    return edges.withColumn("_cx", F.explode(F.expr(columns))).select("_shape", "_e", *CELL)
+    return _exploded(edges, "_cx", columns).select("_shape", "_e", *CELL)
 
 
 def _cells(zoomed: DataFrame, keep: list[str]) -> DataFrame:
@@ -129,8 +137,7 @@ def _cells(zoomed: DataFrame, keep: list[str]) -> DataFrame:
     own = "array(named_struct('_cy', _cy, '_whole', false, '_odd', _above % 2 = 1, '_edges', _edges))"
     none = f"CAST(array() AS ARRAY<{g.EDGE}>)"
     whole = f"transform({below}, ce_y -> named_struct('_cy', ce_y, '_whole', true, '_odd', true, '_edges', {none}))"
-    rows = cells.select("_shape", "_z", "_cx", F.explode(F.expr(f"concat({own}, {whole})")).alias("_c"))
-    rows = rows.select("_shape", "_z", "_cx", "_c.*")
+    rows = _exploded(cells, "_c", f"concat({own}, {whole})").select("_shape", "_z", "_cx", "_c.*")
     return rows.join(zoomed.select("_shape", *keep), "_shape").select(*keep, *CELL, "_whole", "_odd", "_edges")
 
 
@@ -219,7 +226,7 @@ def slabs(index: DataFrame) -> DataFrame:
     )
     none = f"CAST(array() AS ARRAY<{g.EDGE}>)"
     all_in = f"array(named_struct('_lo', double('-Infinity'), '_hi', double('Infinity'), '_flip', true, '_met', {none}))"
-    rows = rows.withColumn("_slab", F.explode(F.expr(f"CASE WHEN _whole THEN {all_in} ELSE {cut} END")))
+    rows = _exploded(rows, "_slab", f"CASE WHEN _whole THEN {all_in} ELSE {cut} END")
     rows = rows.select(*keep, "_slab.*").filter("_flip OR size(_met) > 0")
     return rows.select(*keep, "_lo", "_hi", "_flip", *[F.expr(f"get(_met, {i})").alias(f"_e{i}") for i in range(SLOTS)])
 
@@ -258,8 +265,36 @@ def index_stats(index: DataFrame, limit: int | None = None, edge_bytes: int = 48
     return IndexStats(sorted(row["z"]), (row["bytes"] or 0) <= (BROADCAST_BYTES if limit is None else limit), bool(row["tangled"]))
 
 
+@dataclass(frozen=True)
+class Shapes:
+    """Extents and edges of boundaries, written once, with the measures of the index they give."""
+
+    rows: DataFrame
+    keep: list[str]
+    zooms: list[int]
+    count: int
+    # Whether the index is small for sure.
+    small: bool
+    tangled: bool
+
+
+def measured_shapes(boundaries: DataFrame, rings: str = "rings", splits: int | None = None, edge_bytes: int = 48) -> Shapes:
+    size = cell_size("_z")
+    nx = f"(floor(_box.maxx / {size}) - floor(_box.minx / {size}) + 1)"
+    ny = f"(floor(_box.maxy / {size}) - floor(_box.miny / {size}) + 1)"
+    met = f"aggregate(_all, 0D, (pi_s, pi_e) -> pi_s + (abs(pi_e.x2 - pi_e.x1) + abs(pi_e.y2 - pi_e.y1)) / {size} + 3)"
+    keep = [c for c in boundaries.columns if c != rings]
+    zoomed = _stored(_zoomed(boundaries, rings, splits, keep))
+    held = F.expr(f"{nx} * {ny}") * row_bytes(keep) + F.expr(f"{edge_bytes} * {met}")
+    # No cell has more edges at a height than its shape.
+    row = zoomed.agg(
+        F.collect_set("_z").alias("z"), F.sum(held).alias("bound"), F.expr(f"bool_or({_tangled('_all')})").alias("tangled"), F.count("*").alias("n")
+    ).first()
+    return Shapes(zoomed, keep, sorted(row["z"]), row["n"], (row["bound"] or 0) <= BROADCAST_BYTES, bool(row["tangled"]))
+
+
 def prepared_index(
-    boundaries: DataFrame,
+    boundaries: DataFrame | Shapes,
     rings: str = "rings",
     splits: int | None = None,
     reduce: Callable[[DataFrame], DataFrame] | None = None,
@@ -271,26 +306,37 @@ def prepared_index(
     them; where it does not settle that the index is small, the index is written
     too and measured, less the rows that `reduce` leaves out.
     """
-    if "_edges" in boundaries.columns:
+    if isinstance(boundaries, DataFrame) and "_edges" in boundaries.columns:
         if reduce:
             boundaries = spool(reduce(boundaries), "index")
         return boundaries, index_stats(boundaries, edge_bytes=edge_bytes)
-    size = cell_size("_z")
-    nx = f"(floor(_box.maxx / {size}) - floor(_box.minx / {size}) + 1)"
-    ny = f"(floor(_box.maxy / {size}) - floor(_box.miny / {size}) + 1)"
-    met = f"aggregate(_all, 0D, (pi_s, pi_e) -> pi_s + (abs(pi_e.x2 - pi_e.x1) + abs(pi_e.y2 - pi_e.y1)) / {size} + 3)"
-    keep = [c for c in boundaries.columns if c != rings]
-    zoomed = _stored(_zoomed(boundaries, rings, splits, keep))
-    held = F.expr(f"{nx} * {ny}") * row_bytes(keep) + F.expr(f"{edge_bytes} * {met}")
-    # No cell has more edges at a height than its shape.
-    row = zoomed.agg(F.collect_set("_z").alias("z"), F.sum(held).alias("bound"), F.expr(f"bool_or({_tangled('_all')})").alias("tangled")).first()
-    index = _cells(zoomed, keep)
-    if (row["bound"] or 0) <= BROADCAST_BYTES:
-        return index, IndexStats(sorted(row["z"]), True, bool(row["tangled"]))
+    shapes = boundaries if isinstance(boundaries, Shapes) else measured_shapes(boundaries, rings, splits, edge_bytes)
+    index = _cells(shapes.rows, shapes.keep)
+    if shapes.small:
+        return index, IndexStats(shapes.zooms, True, shapes.tangled)
     index = spool(reduce(index) if reduce else index, "index")
     return index, index_stats(index, edge_bytes=edge_bytes)
 
 
+def index_within(shapes: DataFrame, keep: list[str], cells: DataFrame | None, on: tuple[str, ...]) -> DataFrame:
+    """The index of `shapes`, written once; given `cells`, a short list by `on` and cell, its rows in those cells.
+
+    Shapes whose extent meets none of the cells are not cut.
+    """
+    if cells is None:
+        return spool(_cells(shapes, keep), "index")
+    keys = [*on, *CELL]
+    cells = F.broadcast(cells.select(*keys))
+    size = cell_size("_z")
+    slack = f"({SLACK!r}D * greatest({size}, abs(_box.minx), abs(_box.maxx), abs(_box.miny), abs(_box.maxy)))"
+    around = shapes.select("_shape", *on, "_z", *[
+        F.expr(f"sequence(floor((_box.min{v} - {slack}) / {size}), floor((_box.max{v} + {slack}) / {size}))").alias(f"_c{v}s") for v in "xy"
+    ])
+    around = _exploded(_exploded(around, "_cx", "_cxs"), "_cy", "_cys")
+    met = spool(around.join(cells, keys, "left_semi").select("_shape").distinct(), "met")
+    return spool(_cells(shapes.join(met, "_shape", "left_semi"), keep).join(cells, keys, "left_semi"), "index")
+
+
 def point_cells(x: str, y: str, zooms: list[int]) -> Column:
     """The point's cell at each zoom in use, as an array of structs; null cells for NaN."""
     ok = f"NOT isnan({x}) AND NOT isnan({y})"
@@ -302,6 +348,13 @@ def point_cells(x: str, y: str, zooms: list[int]) -> Column:
     return F.expr(f"array({', '.join(cells)})")
 
 
+def listed_cells(points: DataFrame, x: str, y: str, zooms: str) -> DataFrame:
+    """A row for each point and its cell at each zoom listed in its column `zooms`; null cells for NaN."""
+    ok = f"NOT isnan({x}) AND NOT isnan({y})"
+    rows = points.withColumn("_z", F.explode(zooms))
+    return rows.withColumns({f"_c{v}": F.expr(f"CASE WHEN {ok} THEN floor({at} / {cell_size('_z')}) END") for v, at in (("x", x), ("y", y))})
+
+
 def box_cells(box: str, own_zoom: str, zooms: list[int]) -> Column:
     """Cells of a box at its own zoom and every coarser one in use.
 
@@ -330,20 +383,26 @@ def join_on_cells(
     on: tuple[str, ...] = (),
     how: str = "inner",
     id_col: str | None = None,
+    zooms: str | None = None,
 ) -> DataFrame:
     """Points (alias `p`) joined with cell rows (alias `b`) of the same cell where `condition` holds.
 
+    Points are looked up at every zoom in use, or those listed in their column `zooms`.
+
     A small side is broadcast and the points never move. Otherwise the points per
     cell are counted; those of a crowded cell are spread over several tasks and
     the cell's few rows repeated, so one cell fills no single task. Unless the
     points are few, both sides are sorted by cell.
     """
     keys = [*CELL, *on]
-    if stats.zooms:
+    if zooms:
+        probe = listed_cells(points, x, y, zooms)
+    elif stats.zooms:
         probe = points.withColumn("_cell", F.explode(point_cells(x, y, stats.zooms)))
     else:
         probe = points.withColumn("_cell", F.expr("named_struct('_z', 0, '_cx', 0L, '_cy', 0L)"))
-    probe = probe.select(*points.columns, *[F.col(f"_cell.{c}").alias(c) for c in CELL])
+    if not zooms:
+        probe = probe.select(*points.columns, *[F.col(f"_cell.{c}").alias(c) for c in CELL])
     if stats.small:
         side = F.broadcast(side)
     else:

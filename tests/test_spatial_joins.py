@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from shapes import as_rings, box, inside, segment_distance, star
 
 from plumbline.functions import geometry as g
-from plumbline.operators import grid, proximity, skew
+from plumbline.operators import grid, pip, proximity, skew
 from plumbline.operators.pip import label_matches_space, point_in_polygon
 from plumbline.operators.proximity import k_nearest, nearest, within_distance
+from plumbline.sources.boundaries import with_rings
 
 SCHEMA = f"geoid string, name string, rings {g.RINGS}"
 
@@ -322,3 +323,52 @@ def test_many_points_do_not_travel_to_every_task(spark, world, monkeypatch):
     out = point_in_polygon(points, polys).select("id", "geoid")
     assert "SortMergeJoin" in out._jdf.queryExecution().sparkPlan().toString()
     assert {(r.id, r.geoid) for r in out.collect()} == want(shapes, pts)
+
+
+def test_boundaries_over_each_other_come_in_rounds(spark, monkeypatch):
+    """The smallest of many boundaries that cover no cell wholly: later ones are cut only where points are left."""
+    monkeypatch.setattr(grid, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(pip, "BROADCAST_BYTES", 1 << 20)
+    monkeypatch.setattr(pip, "FIRST_ROUND", 8)
+    met, within = [], pip.index_within
+
+    def counted(shapes, keep, cells, on):
+        out = within(shapes, keep, cells, on)
+        met.append((shapes.count(), out.select("no").distinct().count()))
+        return out
+
+    monkeypatch.setattr(pip, "index_within", counted)
+    rows = []
+    for i in range(600):
+        # Triangles of three kinds, one without a name; some lie far off, keys come twice or are missing.
+        x, y, r, kind = (i * 37 % 23) / 10 + (40.0 if i % 50 == 49 else 0.0), (i * 53 % 19) / 10, 3 + i % 3, ["a", "b", None][i % 3]
+        key = f"k{i * 7919 % 600 // 2:04d}" if i % 97 else None
+        rows.append((i, key, kind, [(x - r, y - r), (x + r, y - r - 1), (x, y + r), (x - r, y - r)]))
+    shapes = spark.createDataFrame([(*row, as_rings(ring)) for *row, ring in rows], f"no int, key string, kind string, rings {g.RINGS}")
+    places = [((i * 29 % 30) / 10 - 0.47, (i * 31 % 25) / 10 - 0.47) for i in range(200)] + [(41.03, 1.02), (44.2, 0.3), (500.0, 1.0), (float("nan"), 0.0)]
+    # Ids come twice, for different places, and the last places have none, or no place.
+    points = [(i // 2, x, y) for i, (x, y) in enumerate(places)] + [(None, 0.51, 0.52), (9, None, 0.0)]
+    df = spark.createDataFrame(points, "id long, x double, y double")
+    known = lambda key: (key is None, key or "")
+    for by in ((), ("kind",)):
+        met.clear()
+        out = point_in_polygon(df, shapes, least=F.struct(F.col("key").isNull(), F.col("key")), least_by=by)
+        assert out.columns == ["id", "x", "y", "no", "key", "kind"]
+        got = [(str(r.id), r.x, r.y, str(r.kind) if by else "", known(r.key)) for r in out.collect()]
+        best = {}
+        for n, (i, px, py) in enumerate(points):
+            for _, key, kind, ring in rows:
+                if px is not None and inside(ring, px, py):
+                    at = (n, str(i), px, py, str(kind) if by else "")
+                    best[at] = min(known(key), best.get(at, known(key)))
+        assert sorted(got) == sorted((*at[1:], key) for at, key in best.items())
+        assert len(met) == 3 and sum(n for n, _ in met) == 600 and sum(cut for _, cut in met) < 300
+
+
+def test_shapes_are_read_once_and_where_their_rows_are(spark):
+    """Conditions on rings do not go below the exchange that spreads few large files, nor repeat the reading."""
+    texts = spark.range(9).selectExpr("id", "concat('POLYGON ((0 0, ', id, ' 0, ', id, ' 1, 0 0))') AS wkt").repartition(3)
+    shapes = grid._zoomed(with_rings(texts), "rings", None, ["id"])
+    plan = shapes._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("RLIKE") == 1 and plan.index("RLIKE") < plan.index("REPARTITION")
+    assert sorted(r.id for r in shapes.collect()) == list(range(1, 9))
